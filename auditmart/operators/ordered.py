@@ -15,7 +15,9 @@ rows sharing a key, which is quadratic in a hot user.  Here:
    broadcast) carries the counts of earlier chunks forward.
 
 Everything is DataFrame operations; no group is ever gathered in one task and
-no pair of rows is materialised.
+no pair of rows is materialised.  The range-partitioned union is checkpointed
+(reliable checkpoint in ``spark.checkpoint.dir``) because three branches read
+it.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_dir
+
 _SIDE = "_om_side"  # 0 = probe, 1 = build: probes sort first on ties (strict <)
 _PART = "_om_part"
 _LOCAL = "_om_local"
@@ -68,6 +72,12 @@ def ordered_counts(
         if num_partitions
         else u.repartitionByRange(*range_keys)
     ).withColumn(_PART, F.spark_partition_id())
+    # The range-partitioned rows feed three branches (chunk counts, partition
+    # bounds, last-key counts).  Materialise them once in the checkpoint folder:
+    # one sampling job and one scan instead of one per branch, partition ids that
+    # cannot change on a retry, and a lineage cut that survives executor loss.
+    shared_dir(probe.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
 
     # (2) running count inside the chunk; groups are bounded by a partition.
     w = (

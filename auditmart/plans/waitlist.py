@@ -4,8 +4,8 @@ Plan (SURVEY §4 item 2):
 
 * one aggregate per (program, season, actor) gives the first action, the
   first waitlist sign-up, a "scheduled an interview" flag and the invitation
-  counts.  Its shuffle is shared (exchange reuse) by the invitation roll-up and
-  the first-action join;
+  counts.  It is checkpointed once and read by both the invitation roll-up and
+  the first-action join, so the log is aggregated once;
 * waitlist sign-ups are joined to the actors whose first action was a waitlist
   sign-up (J5) on four keys, timestamp included;
 * the scheduled test (J6) is the flag from the same aggregate instead of a
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .. import model as m
 from ..functions import nvl_zero, percent
 from ..operators import audit as ops
+from ..sources.tables import shared_dir
 
 K = m.GROUP_KEYS
 
@@ -73,7 +74,12 @@ def waitlist_measures(faw: DataFrame, states: DataFrame) -> DataFrame:
 
 def base(audit: DataFrame, states: DataFrame) -> DataFrame:
     """J3 + E1: the waitlist base table."""
-    summary = ops.actor_summary(audit)
+    # Two consumers read the per-actor summary and each keeps only the columns
+    # it needs, so Catalyst would plan (and scan the log for) it twice.  It is
+    # an aggregate, far smaller than the log: materialise it once in the
+    # checkpoint folder (lineage cut, nothing recomputed on executor loss).
+    shared_dir(audit.sparkSession)
+    summary = ops.actor_summary(audit).checkpoint(eager=True)
     faw = ops.first_action_waitlist(audit, summary)
     joined = invites_from_summary(summary).join(waitlist_measures(faw, states), K, "left")
     return joined.select(*K, *[nvl_zero(c).cast("long").alias(c) for c in MEASURES])

@@ -15,6 +15,7 @@ from .plans import daily_cancel, program_audit, signup_time, waitlist
 from .sources import cluster, read_table, scratch_path, write_table
 from .sources import driver_tables as dt
 from .sources.staging import denormalize, incremental_load, stage_full_copy
+from .streaming import single_file_glob, stage_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,18 @@ def q_staging_incremental(spark, sf_dir):
     return read_table(spark, target)
 
 
+def q_staging_incremental_stream(spark, sf_dir):
+    """W2 as a file-stream job: the run stages every file of the source not
+    yet recorded in its checkpoint; a second run stages nothing."""
+    src = dt.table_path(sf_dir, "events")
+    schema = read_table(spark, src).schema
+    base = scratch_path(spark, "staging/events_stream")
+    target, ckpt = f"{base}/table", f"{base}/_checkpoint"
+    for _ in range(2):  # the rerun is a no-op: exactly-once per file
+        stage_new_files(spark, single_file_glob(src), schema, target, ckpt)
+    return read_table(spark, target)
+
+
 # --- projections / filters -------------------------------------------------------
 
 
@@ -306,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "staging_full_copy": q_staging_full_copy,
     "warehouse_denormalize": q_warehouse_denormalize,
     "staging_incremental": q_staging_incremental,
+    "staging_incremental_stream": q_staging_incremental_stream,
     "expr_nvl_zero": q_expr_nvl_zero,
     "expr_round_div": q_expr_round_div,
     "expr_percent": q_expr_percent,

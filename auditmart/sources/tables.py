@@ -148,8 +148,8 @@ def write_clustered(
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch folder: the checkpoint directory the session
-    names in ``spark.checkpoint.dir``.  Only when none is configured (local
-    tests) a temporary folder is created and registered."""
+    names in ``spark.checkpoint.dir``.  Only a local-mode session without one
+    (tests) gets a temporary folder; on a cluster it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -158,6 +158,9 @@ def shared_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not shared by executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     import tempfile
 
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="auditmart-ckpt-"))

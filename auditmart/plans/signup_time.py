@@ -5,25 +5,32 @@ The source joins schedules to waitlist sign-ups on (user, event) keeping
 (user, program, season) keeping "invited earlier" (J9, F6).  The result is a
 bag: one row per (invitation, schedule, waitlist) triple (Q5).
 
-Plan without pair enumeration:
-
-* pass A, :func:`ordered_counts` on (user, event): for every schedule, the
-  number of waitlist rows strictly later (a null waitlist time counts for every
-  schedule) = the schedule's multiplicity;
-* pass B, :func:`ordered_counts` on (user, program, season): for every
-  schedule, the number of earlier invitations, and for every invitation its
-  rank in time;
-* a schedule with ``c`` earlier invitations and multiplicity ``w`` produces
-  ``c * w`` rows; row ``i`` is paired with the invitation of rank ``i mod c``
-  through an equi-join on (user, program, season, rank), which is unique on
-  the invitation side.
-
-Work is proportional to input plus output; no task holds a whole user.
+Two exact plans; the choice is made on a measured bound, the way a broadcast
+is chosen on a checked size:
+
+``join``
+    the source's equi-joins with residual inequalities, with identical rows
+    first collapsed into counts.  Its cost is the number of candidate pairs
+    sharing a key, so it runs only when :func:`pair_profile` proves that
+    number small per key and in total.
+
+``ordered`` (no pair enumeration; what a hot user gets)
+    * pass A, :func:`ordered_counts` on (user, event): for every schedule the
+      number of waitlist rows strictly later (an undated waitlist counts for
+      every schedule) = the schedule's multiplicity;
+    * pass B, :func:`ordered_counts` on (user, program, season): for every
+      schedule the number of earlier invitations, for every invitation its
+      rank in time;
+    * a schedule with ``c`` earlier invitations and multiplicity ``w`` yields
+      ``c * w`` rows; row ``i`` is paired with the invitation of rank
+      ``i mod c`` by an equi-join on (user, program, season, rank), unique on
+      the invitation side.  Work is input plus output; no task holds a whole
+      user.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import model as m
@@ -32,12 +39,19 @@ from ..operators.ordered import ordered_counts, with_range
 
 INVITE_DATE = "invite_date"
 SCHEDULE_DATE = "schedule_date"
+WAITLIST_DATE = "waitlist_date"
 N_WAITLISTS = "n_waitlists"
 N_INVITES_BEFORE = "n_invites_before"
 INVITE_RANK = "invite_rank"
 SIGNUP_TIME = "signup_time"
 _ORDER = "_order"
 
+AUTO, JOIN, ORDERED = "auto", "join", "ordered"
+
+# --- fixed values: when the plain equi-join is provably cheap ------------------
+MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs one key may create
+MAX_PAIRS_PER_ROW = 4  # candidate pairs over all keys, per input row
+
 _LONG_MIN = -(2**63)
 # Pass A orders by descending time: a waitlist sign-up with an unknown time sorts
 # before everything (counts for every schedule); a schedule with an unknown time
@@ -46,68 +60,161 @@ _WAITLIST_NULL_ORDER = _LONG_MIN
 _SCHEDULE_NULL_ORDER = _LONG_MIN + 1
 
 REPORT_COLUMNS = [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SIGNUP_TIME]
+SW_COLUMNS = [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE, N_WAITLISTS]
 
 
-def _desc_time(null_order: int):
-    ts = F.col(m.CREATED_DATE)
-    return F.when(ts.isNull(), F.lit(null_order)).otherwise(-epoch_micros(ts)).cast("long")
 
+def _op() -> Column:
+    return F.col(m.AUDIT_OPERATION_ID)
 
-def schedules_with_waitlists(audit: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """J8 + F5 as counts: interview sign-ups with the number of waitlist
-    sign-ups for the same user and event that are later or undated."""
-    op = F.col(m.AUDIT_OPERATION_ID)
-    user_event = F.col(m.USER_ID).isNotNull() & F.col(m.INTERVIEW_EVENT_ID).isNotNull()
-    schedules = audit.where((op == m.SIGNUP_INTERVIEW) & user_event).select(
-        m.PROGRAM_ID,
-        m.CALENDAR_SEASON_ID,
-        m.USER_ID,
-        m.INTERVIEW_EVENT_ID,
+
+def _user_event() -> Column:
+    return F.col(m.USER_ID).isNotNull() & F.col(m.INTERVIEW_EVENT_ID).isNotNull()
+
+
+def _group_keys() -> Column:
+    return F.col(m.PROGRAM_ID).isNotNull() & F.col(m.CALENDAR_SEASON_ID).isNotNull()
+
+
+def _schedules(audit: DataFrame) -> DataFrame:
+    """Interview sign-ups that can meet a waitlist row (user and event set)."""
+    return audit.where((_op() == m.SIGNUP_INTERVIEW) & _user_event()).select(
+        m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, m.INTERVIEW_EVENT_ID,
         F.col(m.CREATED_DATE).alias(SCHEDULE_DATE),
-        _desc_time(_SCHEDULE_NULL_ORDER).alias(_ORDER),
     )
-    waitlists = audit.where((op == m.SIGNUP_WAITLIST) & user_event).select(
-        m.USER_ID, m.INTERVIEW_EVENT_ID, _desc_time(_WAITLIST_NULL_ORDER).alias(_ORDER)
+
+
+def _waitlists(audit: DataFrame) -> DataFrame:
+    return audit.where((_op() == m.SIGNUP_WAITLIST) & _user_event()).select(
+        m.USER_ID, m.INTERVIEW_EVENT_ID, F.col(m.CREATED_DATE).alias(WAITLIST_DATE)
+    )
+
+
+def _invites(audit: DataFrame) -> DataFrame:
+    """Dated invitations that can meet a schedule (all join keys set)."""
+    return audit.where(
+        (_op() == m.INVITE) & _group_keys() & F.col(m.USER_ID).isNotNull() & F.col(m.CREATED_DATE).isNotNull()
+    ).select(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, F.col(m.CREATED_DATE).alias(INVITE_DATE))
+
+
+# --- strategy choice ------------------------------------------------------------
+
+
+def pair_profile(audit: DataFrame) -> dict:
+    """Candidate pairs the plain joins would enumerate: per-key maximum and
+    total for both joins, and the rows involved.  One scan, one grouping-sets
+    aggregate, one row to the driver."""
+    rows = audit.where(_op().isin(m.INVITE, m.SIGNUP_INTERVIEW, m.SIGNUP_WAITLIST) & F.col(m.USER_ID).isNotNull())
+    per_key = rows.groupingSets(
+        [[m.USER_ID, m.INTERVIEW_EVENT_ID], [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]],
+        m.USER_ID, m.INTERVIEW_EVENT_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID,
+    ).agg(
+        F.grouping(m.INTERVIEW_EVENT_ID).alias("_by_group"),
+        F.count(F.when((_op() == m.SIGNUP_INTERVIEW) & _user_event(), 1)).alias("_s_a"),
+        F.count(F.when((_op() == m.SIGNUP_WAITLIST) & _user_event(), 1)).alias("_w_a"),
+        F.count(F.when((_op() == m.INVITE) & _group_keys() & F.col(m.CREATED_DATE).isNotNull(), 1)).alias("_i_b"),
+        F.count(F.when((_op() == m.SIGNUP_INTERVIEW) & _group_keys(), 1)).alias("_s_b"),
+    )
+    pairs = F.when(F.col("_by_group") == 0, F.col("_s_a") * F.col("_w_a")).otherwise(F.col("_i_b") * F.col("_s_b"))
+    involved = F.when(F.col("_by_group") == 0, F.col("_s_a") + F.col("_w_a")).otherwise(F.col("_i_b") + F.col("_s_b"))
+    r = per_key.agg(
+        F.max(pairs).alias("max_pairs"), F.sum(pairs).alias("pairs"), F.sum(involved).alias("rows")
+    ).first()
+    return {k: int(r[k] or 0) for k in ("max_pairs", "pairs", "rows")}
+
+
+def choose_strategy(audit: DataFrame) -> str:
+    p = pair_profile(audit)
+    cheap = p["max_pairs"] <= MAX_PAIRS_PER_KEY and p["pairs"] <= MAX_PAIRS_PER_ROW * max(p["rows"], 1)
+    return JOIN if cheap else ORDERED
+
+
+def _resolve(audit: DataFrame, strategy: str) -> str:
+    if strategy not in (AUTO, JOIN, ORDERED):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return choose_strategy(audit) if strategy == AUTO else strategy
+
+
+# --- J8 + F5: schedules with their waitlist multiplicity -----------------------------
+
+
+def _desc_time(col: str, null_order: int):
+    ts = F.col(col)
+    return F.when(ts.isNull(), F.lit(null_order)).otherwise(-epoch_micros(ts)).cast("long")
+
+
+def _sw_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
+    schedules = _schedules(audit).withColumn(_ORDER, _desc_time(SCHEDULE_DATE, _SCHEDULE_NULL_ORDER))
+    waitlists = _waitlists(audit).select(
+        m.USER_ID, m.INTERVIEW_EVENT_ID, _desc_time(WAITLIST_DATE, _WAITLIST_NULL_ORDER).alias(_ORDER)
     )
     counted, _ = ordered_counts(
         schedules, waitlists, [m.USER_ID, m.INTERVIEW_EVENT_ID], _ORDER, count_col=N_WAITLISTS,
         num_partitions=num_partitions,
     )
-    return counted.where(F.col(N_WAITLISTS) > 0).select(
-        m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE, N_WAITLISTS
+    return counted.where(F.col(N_WAITLISTS) > 0).select(*SW_COLUMNS)
+
+
+def _sw_join(audit: DataFrame) -> DataFrame:
+    s = _schedules(audit).groupBy(
+        m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, m.INTERVIEW_EVENT_ID, SCHEDULE_DATE
+    ).agg(F.count(F.lit(1)).alias("_ns"))
+    w = _waitlists(audit).groupBy(m.USER_ID, m.INTERVIEW_EVENT_ID, WAITLIST_DATE).agg(F.count(F.lit(1)).alias("_nw"))
+    later = F.col(WAITLIST_DATE).isNull() | (F.col(WAITLIST_DATE) > F.col(SCHEDULE_DATE))
+    return (
+        s.join(w, [m.USER_ID, m.INTERVIEW_EVENT_ID])
+        .where(later)
+        .groupBy(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE)
+        .agg(F.sum(F.col("_ns") * F.col("_nw")).alias(N_WAITLISTS))
+        .select(*SW_COLUMNS)
     )
 
 
-def schedule_before_waitlist(audit: DataFrame) -> DataFrame:
+def schedules_with_waitlists(audit: DataFrame, strategy: str = AUTO, num_partitions: int | None = None) -> DataFrame:
+    """J8 + F5 as counts: (program, season, user, schedule_date) with the
+    number of matching waitlist sign-ups (later or undated, same user and
+    event).  A bag after expanding ``n_waitlists``."""
+    if _resolve(audit, strategy) == JOIN:
+        return _sw_join(audit)
+    return _sw_ordered(audit, num_partitions)
+
+
+def schedule_before_waitlist(audit: DataFrame, strategy: str = AUTO) -> DataFrame:
     """J8 output as the source materialises it: one (program, season, user,
     schedule_date) row per matching waitlist sign-up."""
-    counted = schedules_with_waitlists(audit)
+    counted = schedules_with_waitlists(audit, strategy)
     return with_range(counted, N_WAITLISTS, "_copy").select(
         m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE
     )
 
 
-def report(audit: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """(program, season, user, signup_time seconds), a bag."""
-    keys = [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]
-    not_null = F.col(m.PROGRAM_ID).isNotNull() & F.col(m.CALENDAR_SEASON_ID).isNotNull()
-    schedules = (
-        schedules_with_waitlists(audit, num_partitions)
-        .where(not_null & F.col(SCHEDULE_DATE).isNotNull())
-        .withColumn(_ORDER, epoch_micros(SCHEDULE_DATE))
+# --- J9 + F6 + E4: the report ---------------------------------------------------------
+
+
+def _report_join(audit: DataFrame) -> DataFrame:
+    sw = _sw_join(audit).where(_group_keys() & F.col(SCHEDULE_DATE).isNotNull())
+    inv = _invites(audit).groupBy(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, INVITE_DATE).agg(
+        F.count(F.lit(1)).alias("_ni")
+    )
+    pairs = inv.join(sw, [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]).where(
+        F.col(INVITE_DATE) < F.col(SCHEDULE_DATE)
     )
-    invites = audit.where(
-        (F.col(m.AUDIT_OPERATION_ID) == m.INVITE)
-        & not_null
-        & F.col(m.USER_ID).isNotNull()
-        & F.col(m.CREATED_DATE).isNotNull()
-    ).select(
+    return with_range(pairs, F.col("_ni") * F.col(N_WAITLISTS), "_copy").select(
         m.PROGRAM_ID,
         m.CALENDAR_SEASON_ID,
         m.USER_ID,
-        F.col(m.CREATED_DATE).alias(INVITE_DATE),
-        epoch_micros(m.CREATED_DATE).alias(_ORDER),
+        seconds_between(INVITE_DATE, SCHEDULE_DATE).alias(SIGNUP_TIME),
+    )
+
+
+def _report_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
+    keys = [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]
+    schedules = (
+        _sw_ordered(audit, num_partitions)
+        .where(_group_keys() & F.col(SCHEDULE_DATE).isNotNull())
+        .withColumn(_ORDER, epoch_micros(SCHEDULE_DATE))
     )
+    invites = _invites(audit).withColumn(_ORDER, epoch_micros(INVITE_DATE))
     counted, ranked = ordered_counts(
         schedules, invites, keys, _ORDER, count_col=N_INVITES_BEFORE, rank_col=INVITE_RANK,
         num_partitions=num_partitions,
@@ -123,3 +230,10 @@ def report(audit: DataFrame, num_partitions: int | None = None) -> DataFrame:
         m.USER_ID,
         seconds_between(INVITE_DATE, SCHEDULE_DATE).alias(SIGNUP_TIME),
     )
+
+
+def report(audit: DataFrame, strategy: str = AUTO, num_partitions: int | None = None) -> DataFrame:
+    """(program, season, user, signup_time seconds), a bag."""
+    if _resolve(audit, strategy) == JOIN:
+        return _report_join(audit)
+    return _report_ordered(audit, num_partitions)

@@ -56,9 +56,10 @@ def test_waitlist_parts_equal_fused(case):
     assert bag(waitlist.base(audit, states).collect()) == bag(waitlist.base_from_parts(audit, states).collect())
 
 
-def test_signup_time_is_a_bag(case):
+@pytest.mark.parametrize("strategy", [signup_time.JOIN, signup_time.ORDERED, signup_time.AUTO])
+def test_signup_time_is_a_bag(case, strategy):
     name, audit, _, _ = case
-    out = signup_time.report(audit)
+    out = signup_time.report(audit, strategy)
     assert out.columns == signup_time.REPORT_COLUMNS
     expected = SIGNUP_A if name == "A" else SIGNUP_B
     assert bag(out.collect()) == bag(expected)

@@ -45,7 +45,22 @@ def test_reports_invariant_under_row_order_and_partitioning(spark):
     st = states(spark, SF["0.01"])
     assert bag(program_audit.report(a, s)) == bag(program_audit.report(shuffled, s))
     assert bag(waitlist.report(a, st)) == bag(waitlist.report(shuffled, st))
-    assert bag(signup_time.report(a)) == bag(signup_time.report(shuffled, num_partitions=23))
+    assert bag(signup_time.report(a, signup_time.JOIN)) == bag(signup_time.report(shuffled, signup_time.ORDERED, num_partitions=23))
+
+
+MAX_RATIO_SEEN = 2
+
+
+def test_signup_strategy_choice(spark):
+    a = audit(spark, SF["0.01"])
+    prof = signup_time.pair_profile(a)
+    assert prof["rows"] > 0 and 0 < prof["max_pairs"] <= prof["pairs"]
+    assert signup_time.choose_strategy(a) == signup_time.JOIN  # the test data has no hot user
+    # one user holding a third of the log: per-key pairs explode, the ordered plan is chosen
+    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
+    hot_prof = signup_time.pair_profile(hot)
+    assert hot_prof["pairs"] > MAX_RATIO_SEEN * prof["pairs"]
+    assert signup_time.choose_strategy(hot) == signup_time.ORDERED
 
 
 def test_ordered_counts_empty_sides(spark):

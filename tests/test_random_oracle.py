@@ -93,6 +93,9 @@ def test_reports_match_sql_on_adversarial_logs(spark, seed):
     assert same(program_audit.base(audit, slots), duck_rows(con, o.PA + "SELECT * FROM pa_base"))
     assert same(waitlist.report(audit, states), duck_rows(con, o.WL_REPORT))
     assert same(waitlist.base(audit, states), duck_rows(con, o.WL + "SELECT * FROM wl_base"))
-    assert same(signup_time.schedule_before_waitlist(audit), duck_rows(con, o.SU + "SELECT * FROM su_schedule"))
-    assert same(signup_time.report(audit, num_partitions=5), duck_rows(con, o.SU_REPORT))
+    sbw = duck_rows(con, o.SU + "SELECT * FROM su_schedule")
+    su = duck_rows(con, o.SU_REPORT)
+    for strategy in (signup_time.JOIN, signup_time.ORDERED):
+        assert same(signup_time.schedule_before_waitlist(audit, strategy), sbw)
+        assert same(signup_time.report(audit, strategy, num_partitions=5), su)
     assert same(daily_cancel.report(audit), duck_rows(con, o.DAILY_CANCEL))

@@ -49,8 +49,9 @@ _ORDER = "_order"
 AUTO, JOIN, ORDERED = "auto", "join", "ordered"
 
 # --- fixed values: when the plain equi-join is provably cheap ------------------
-MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs one key may create
-MAX_PAIRS_PER_ROW = 4  # candidate pairs over all keys, per input row
+MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs one key (one task) may create
+MAX_PAIRS_PER_ROW = 4  # candidate pairs over all keys, per input row ...
+SMALL_PAIRS = 50_000_000  # ... unless the whole job enumerates fewer than this
 
 _LONG_MIN = -(2**63)
 # Pass A orders by descending time: a waitlist sign-up with an unknown time sorts
@@ -123,10 +124,18 @@ def pair_profile(audit: DataFrame) -> dict:
     return {k: int(r[k] or 0) for k in ("max_pairs", "pairs", "rows")}
 
 
-def choose_strategy(audit: DataFrame) -> str:
+def choose_strategy(
+    audit: DataFrame,
+    max_pairs_per_key: int = MAX_PAIRS_PER_KEY,
+    max_pairs_per_row: int = MAX_PAIRS_PER_ROW,
+    small_pairs: int = SMALL_PAIRS,
+) -> str:
+    """``join`` when no key creates more than ``max_pairs_per_key`` candidate
+    pairs and all keys together create at most ``max_pairs_per_row`` per input
+    row or fewer than ``small_pairs``; else ``ordered``."""
     p = pair_profile(audit)
-    cheap = p["max_pairs"] <= MAX_PAIRS_PER_KEY and p["pairs"] <= MAX_PAIRS_PER_ROW * max(p["rows"], 1)
-    return JOIN if cheap else ORDERED
+    bounded_total = p["pairs"] <= max_pairs_per_row * max(p["rows"], 1) or p["pairs"] <= small_pairs
+    return JOIN if p["max_pairs"] <= max_pairs_per_key and bounded_total else ORDERED
 
 
 def _resolve(audit: DataFrame, strategy: str) -> str:

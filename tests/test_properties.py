@@ -60,7 +60,20 @@ def test_signup_strategy_choice(spark):
     hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
     hot_prof = signup_time.pair_profile(hot)
     assert hot_prof["pairs"] > MAX_RATIO_SEEN * prof["pairs"]
-    assert signup_time.choose_strategy(hot) == signup_time.ORDERED
+    # at cluster scale the same shape fails the bounds (small_pairs=0 removes
+    # the small-job allowance, a per-key bound of 10k stands for one task)
+    assert signup_time.choose_strategy(hot, small_pairs=0) == signup_time.ORDERED
+    assert signup_time.choose_strategy(hot, max_pairs_per_key=10_000) == signup_time.ORDERED
+    assert signup_time.choose_strategy(hot) == signup_time.JOIN
+
+
+def test_hot_user_both_signup_plans_agree(spark):
+    a = audit(spark, SF["0.01"])
+    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
+    ordered = signup_time.report(hot, signup_time.ORDERED)
+    joined = signup_time.report(hot, signup_time.JOIN)
+    assert ordered.exceptAll(joined).count() == 0 and joined.exceptAll(ordered).count() == 0
+    assert ordered.count() > 100_000
 
 
 def test_ordered_counts_empty_sides(spark):

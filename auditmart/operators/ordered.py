@@ -128,10 +128,11 @@ def ordered_counts(
 
 
 def explode_range(n: Column | str, name: str, chunk: int = 4096) -> list[Column]:
-    """Columns generating ``name`` = 0 .. n-1, one row each, in two bounded
-    steps (chunks of ``chunk`` values) so no single array grows with ``n``
-    below ``chunk**2``.  Use with two ``withColumn`` calls: the first returned
-    column creates the chunk index, the second the value."""
+    """Two generator columns producing ``name`` = 0 .. n-1, one row each, in
+    two bounded steps: first one row per chunk of ``chunk`` values, then the
+    values of the chunk, so no generated array holds more than
+    ``max(chunk, n / chunk)`` elements.  Apply them in two selects, as
+    :func:`with_range` does."""
     n = F.col(n) if isinstance(n, str) else n
     chunk_col = f"_{name}_chunk"
     n_chunks = F.ceil(n / F.lit(chunk)).cast("long")

@@ -43,6 +43,20 @@ def stored_audit(spark):
     return ops.audit_base(read_table(spark, path))
 
 
+@pytest.mark.parametrize("strategy", ["join", "ordered"])
+def test_signup_plans_have_no_cartesian_or_python(spark, strategy):
+    from auditmart.plans import signup_time
+    from auditmart.queries import audit
+
+    df = signup_time.report(audit(spark, SF["0.001"]), strategy)
+    p = plan(df)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+    # the only explicit broadcasts are the per-partition summaries of the ordered path
+    if strategy == "ordered":
+        assert "BroadcastHashJoin" in p
+
+
 def test_daily_cancel_prunes_columns_of_driver_view(spark):
     p = plan(QUERIES["daily_cancel_report"](spark, SF["0.001"]))
     schema = re.search(r"ReadSchema: (struct<[^>]*>)", p).group(1)

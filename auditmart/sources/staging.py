@@ -64,16 +64,18 @@ def denormalize(
     return child.join(par, child_key, "left").select(*child.columns, *carry)
 
 
-def high_watermark(spark: SparkSession, target: TableRef | str, ts_col: str):
-    """Largest ``ts_col`` already in the target, or ``None`` when the target
-    does not exist yet or is empty.  One scalar reaches the driver."""
+def high_watermark(spark: SparkSession, target: TableRef | str, ts_col: str) -> str | None:
+    """Largest ``ts_col`` already in the target, in Spark's own text form, or
+    ``None`` when the target does not exist yet or is empty.  One scalar
+    reaches the driver.  Text (not a Python datetime) keeps the value exact
+    and independent of the driver's and the session's time zones."""
     try:
         existing = read_table(spark, target)
     except Exception as exc:  # missing path / table
         if "PATH_NOT_FOUND" in str(exc) or "TABLE_OR_VIEW_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return None
         raise
-    return existing.agg(F.max(ts_col).alias("wm")).first()["wm"]
+    return existing.agg(F.max(ts_col).cast("string").alias("wm")).first()["wm"]
 
 
 def incremental_load(
@@ -82,12 +84,15 @@ def incremental_load(
     target: TableRef | str,
     ts_col: str,
     text_limit: int = TEXT_LIMIT,
-) -> int | None:
+) -> str | None:
     """Append only source rows newer than the target's high watermark.
-    The watermark becomes a literal filter, so it is pushed into the source
-    scan (Parquet row-group skipping, or a JDBC ``WHERE``).  Returns nothing
-    heavier than the watermark used."""
+    The watermark becomes a literal of the column's own type, so the filter is
+    pushed into the source scan (Parquet row-group skipping, or a JDBC
+    ``WHERE``).  Returns the watermark used."""
     wm = high_watermark(spark, target, ts_col)
-    batch = source if wm is None else source.where(F.col(ts_col) > F.lit(wm))
+    if wm is None:
+        batch = source
+    else:
+        batch = source.where(F.col(ts_col) > F.lit(wm).cast(source.schema[ts_col].dataType))
     write_table(staging_projection(batch, text_limit), target, mode="append")
     return wm

@@ -72,6 +72,20 @@ def test_incremental_load_only_appends_newer_rows(spark):
     assert high_watermark(spark, target, "ts") is None
     incremental_load(spark, src.where("id < 4"), target, "ts")
     wm = incremental_load(spark, src, target, "ts")
-    assert wm == dt.datetime(2024, 1, 1, 3)
+    assert wm == "2024-01-01 03:00:00"
     incremental_load(spark, src, target, "ts")  # nothing new: idempotent
     assert sorted(r["id"] for r in read_table(spark, target).collect()) == list(range(10))
+
+
+def test_incremental_load_is_time_zone_independent(spark):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i, microseconds=7)) for i in range(10)]
+    src = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+    target = scratch_path(spark, "test/incremental_tz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        incremental_load(spark, src.where("id < 4"), target, "ts")
+        incremental_load(spark, src, target, "ts")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert sorted(r["id"] for r in read_table(spark, target).collect()) == list(range(10))

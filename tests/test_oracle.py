@@ -41,3 +41,19 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 10  # program audit at sf0.001 (SURVEY §5)
     assert df.columns[:2] == ["program_id", "calendar_season_id"]
+
+
+def test_all_queries_time_zone_independent(spark, duck_small):
+    """The driver's session zone is unknown: every query must give the
+    oracle's answer under a non-UTC zone too (timestamps are timestamp_ntz)."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        bad = [
+            name
+            for name in NAMES
+            if not compare(spark, duck_small, name, queries()[name], oracle_sql()[name], SF["0.001"])["ok"]
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert bad == []

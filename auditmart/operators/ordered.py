@@ -44,6 +44,34 @@ def _key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
+def range_split(
+    probe: DataFrame,
+    build: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Step 1: probe (side 0) and build (side 1) rows unioned and
+    range-partitioned on ``(keys, order, side)``, each row tagged with its range
+    partition (``_om_part``), materialised in the checkpoint folder.
+
+    The rows feed three branches (chunk counts, partition bounds, last-key
+    counts).  The checkpoint gives one sampling job and one scan instead of one
+    per branch, partition ids that cannot change on a retry, and a lineage cut
+    that survives executor loss."""
+    u = probe.withColumn(_SIDE, F.lit(0)).unionByName(
+        build.withColumn(_SIDE, F.lit(1)), allowMissingColumns=True
+    )
+    range_keys = [*keys, order, _SIDE]
+    ranged = (
+        u.repartitionByRange(num_partitions, *range_keys)
+        if num_partitions
+        else u.repartitionByRange(*range_keys)
+    ).withColumn(_PART, F.spark_partition_id())
+    shared_dir(probe.sparkSession)
+    return ranged.checkpoint(eager=True)
+
+
 def ordered_counts(
     probe: DataFrame,
     build: DataFrame,
@@ -63,21 +91,7 @@ def ordered_counts(
     keys = list(keys)
     probe_cols = probe.columns
     build_cols = build.columns
-    u = probe.withColumn(_SIDE, F.lit(0)).unionByName(
-        build.withColumn(_SIDE, F.lit(1)), allowMissingColumns=True
-    )
-    range_keys = [*keys, order, _SIDE]
-    ranged = (
-        u.repartitionByRange(num_partitions, *range_keys)
-        if num_partitions
-        else u.repartitionByRange(*range_keys)
-    ).withColumn(_PART, F.spark_partition_id())
-    # The range-partitioned rows feed three branches (chunk counts, partition
-    # bounds, last-key counts).  Materialise them once in the checkpoint folder:
-    # one sampling job and one scan instead of one per branch, partition ids that
-    # cannot change on a retry, and a lineage cut that survives executor loss.
-    shared_dir(probe.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = range_split(probe, build, keys, order, num_partitions)
 
     # (2) running count inside the chunk; groups are bounded by a partition.
     w = (

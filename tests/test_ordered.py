@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from auditmart.operators.ordered import ordered_counts, with_range
+from auditmart.operators.ordered import ordered_counts, range_split, with_range
 
 
 def _data(seed, n_probe=400, n_build=900, hot_share=0.4):
@@ -61,3 +61,20 @@ def test_with_range(spark):
     got = {r["id"]: (r["c"], r["lo"], r["hi"]) for r in out.collect()}
     assert got == {2: (1, 0, 0), 3: (5, 0, 4), 4: (10000, 0, 9999)}
     assert Counter(r["i"] for r in with_range(df.where("id = 4"), "n", "i", chunk=64).collect()) == Counter(range(10000))
+
+
+def test_range_split_bounds_every_chunk_under_a_hot_key(spark):
+    """One key holds 90% of the rows; no range partition (hence no window
+    group, no task) may hold much more than an even share."""
+    probe, build = _data(6, n_probe=3000, n_build=9000, hot_share=0.9)
+    p = spark.createDataFrame(probe, "pid long, k1 long, k2 long, o long")
+    b = spark.createDataFrame(build, "k1 long, k2 long, o long")
+    parts = 24
+    ranged = range_split(p, b, ["k1", "k2"], "o", num_partitions=parts)
+    sizes = {r["_om_part"]: r["n"] for r in ranged.groupBy("_om_part").agg(F.count("*").alias("n")).collect()}
+    hot_rows = sum(1 for r in probe + build if (r[-3], r[-2]) == (1, 1))
+    even = (len(probe) + len(build)) / parts
+    assert hot_rows > 0.85 * (len(probe) + len(build))
+    assert max(sizes.values()) < 3 * even  # the hot key is spread over many chunks
+    hot_parts = ranged.where("k1 = 1 AND k2 = 1").select("_om_part").distinct().count()
+    assert hot_parts >= parts // 2

@@ -31,6 +31,17 @@ def created_day() -> Column:
     return F.col(m.CREATED_DATE).cast("date")
 
 
+# --- key contracts ---------------------------------------------------------------
+
+
+def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once.  The warehouse does not enforce primary
+    keys; the totals drop the source's join to the program table on the
+    assumption that programs are unique (SURVEY Q19), and this is how a job
+    or a test checks it (an aggregate, no collect of the table)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
 # --- S4 / P1-P5: projections ---------------------------------------------------
 
 

@@ -38,6 +38,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # catalog tables of local runs go to a scratch folder, not the cwd
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="auditmart-wh-"))
     )
     spark = builder.getOrCreate()
     sc = spark.sparkContext

@@ -6,7 +6,9 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from auditmart.sources import cluster, read_table, scratch_path, write_clustered, write_table
+from auditmart.operators.audit import duplicate_keys
+from auditmart.queries import programs, states
+from auditmart.sources import TableRef, cluster, read_table, scratch_path, write_clustered, write_table
 from auditmart.sources.staging import denormalize, high_watermark, incremental_load, staging_projection
 from conftest import SF
 
@@ -89,3 +91,19 @@ def test_incremental_load_is_time_zone_independent(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert sorted(r["id"] for r in read_table(spark, target).collect()) == list(range(10))
+
+
+def test_catalog_table_roundtrip(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    ref = TableRef("auditmart_catalog_test", catalog=True)
+    spark.sql("DROP TABLE IF EXISTS auditmart_catalog_test")
+    write_table(df, ref, mode="overwrite")
+    write_table(df, ref)  # append
+    assert bag(read_table(spark, ref)) == Counter({(1, "a"): 2, (2, "b"): 2})
+    spark.sql("DROP TABLE IF EXISTS auditmart_catalog_test")
+
+
+def test_dimension_keys_are_unique(spark):
+    for sf in SF.values():
+        assert duplicate_keys(programs(spark, sf), ["program_id"]).count() == 0
+        assert duplicate_keys(states(spark, sf), ["application_id"]).count() == 0

@@ -21,6 +21,8 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # checkpointed intermediates are deleted once no plan references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -38,6 +40,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # catalog tables of local runs go to a scratch folder, not the cwd
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="auditmart-wh-"))
     )

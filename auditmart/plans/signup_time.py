@@ -9,10 +9,10 @@ Two exact plans; the choice is made on a measured bound, the way a broadcast
 is chosen on a checked size:
 
 ``join``
-    the source's equi-joins with residual inequalities, with identical rows
-    first collapsed into counts.  Its cost is the number of candidate pairs
-    sharing a key, so it runs only when :func:`pair_profile` proves that
-    number small per key and in total.
+    the source's equi-joins with residual inequalities (schedule-waitlist
+    pairs are counted per schedule before the second join).  Its cost is the
+    number of candidate pairs sharing a key, so it runs only when
+    :func:`pair_profile` proves that number small per key and in total.
 
 ``ordered`` (no pair enumeration; what a hot user gets)
     * pass A, :func:`ordered_counts` on (user, event): for every schedule the
@@ -164,17 +164,23 @@ def _sw_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
     return counted.where(F.col(N_WAITLISTS) > 0).select(*SW_COLUMNS)
 
 
-def _sw_join(audit: DataFrame) -> DataFrame:
-    s = _schedules(audit).groupBy(
-        m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, m.INTERVIEW_EVENT_ID, SCHEDULE_DATE
-    ).agg(F.count(F.lit(1)).alias("_ns"))
-    w = _waitlists(audit).groupBy(m.USER_ID, m.INTERVIEW_EVENT_ID, WAITLIST_DATE).agg(F.count(F.lit(1)).alias("_nw"))
+def _sw_pairs(audit: DataFrame) -> DataFrame:
+    """J8 + F5 as the source writes it: one row per (schedule, waitlist) pair
+    of the same user and event with the waitlist later or undated."""
     later = F.col(WAITLIST_DATE).isNull() | (F.col(WAITLIST_DATE) > F.col(SCHEDULE_DATE))
     return (
-        s.join(w, [m.USER_ID, m.INTERVIEW_EVENT_ID])
+        _schedules(audit)
+        .join(_waitlists(audit), [m.USER_ID, m.INTERVIEW_EVENT_ID])
         .where(later)
+        .select(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE)
+    )
+
+
+def _sw_join(audit: DataFrame) -> DataFrame:
+    return (
+        _sw_pairs(audit)
         .groupBy(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE)
-        .agg(F.sum(F.col("_ns") * F.col("_nw")).alias(N_WAITLISTS))
+        .agg(F.count(F.lit(1)).alias(N_WAITLISTS))
         .select(*SW_COLUMNS)
     )
 
@@ -191,7 +197,9 @@ def schedules_with_waitlists(audit: DataFrame, strategy: str = AUTO, num_partiti
 def schedule_before_waitlist(audit: DataFrame, strategy: str = AUTO) -> DataFrame:
     """J8 output as the source materialises it: one (program, season, user,
     schedule_date) row per matching waitlist sign-up."""
-    counted = schedules_with_waitlists(audit, strategy)
+    if _resolve(audit, strategy) == JOIN:
+        return _sw_pairs(audit)
+    counted = _sw_ordered(audit, None)
     return with_range(counted, N_WAITLISTS, "_copy").select(
         m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE
     )
@@ -201,14 +209,13 @@ def schedule_before_waitlist(audit: DataFrame, strategy: str = AUTO) -> DataFram
 
 
 def _report_join(audit: DataFrame) -> DataFrame:
+    """J9 + F6 on schedules carrying their waitlist multiplicity (the pairs of
+    J8 aggregated per schedule), then one output row per multiplicity."""
     sw = _sw_join(audit).where(_group_keys() & F.col(SCHEDULE_DATE).isNotNull())
-    inv = _invites(audit).groupBy(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, INVITE_DATE).agg(
-        F.count(F.lit(1)).alias("_ni")
-    )
-    pairs = inv.join(sw, [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]).where(
+    pairs = _invites(audit).join(sw, [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]).where(
         F.col(INVITE_DATE) < F.col(SCHEDULE_DATE)
     )
-    return with_range(pairs, F.col("_ni") * F.col(N_WAITLISTS), "_copy").select(
+    return with_range(pairs, N_WAITLISTS, "_copy").select(
         m.PROGRAM_ID,
         m.CALENDAR_SEASON_ID,
         m.USER_ID,

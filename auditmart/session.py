@@ -50,3 +50,18 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="auditmart-ckpt-"))
     sc.setLogLevel("ERROR")
     return spark
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> dict:
+    """Set the runtime SQL settings of :data:`CLUSTER_CONF` (plus
+    ``overrides``) on an existing session.  Static settings (``spark.cleaner.*``
+    and the like) cannot change after start-up; they are returned so the caller
+    can put them into ``spark-submit --conf``."""
+    conf = {**CLUSTER_CONF, **(overrides or {})}
+    static = {}
+    for key, value in conf.items():
+        if key.startswith("spark.sql.") and key != "spark.sql.warehouse.dir":
+            spark.conf.set(key, value)
+        else:
+            static[key] = value
+    return static

@@ -107,3 +107,21 @@ def test_dimension_keys_are_unique(spark):
     for sf in SF.values():
         assert duplicate_keys(programs(spark, sf), ["program_id"]).count() == 0
         assert duplicate_keys(states(spark, sf), ["application_id"]).count() == 0
+
+
+def test_apply_cluster_conf_sets_sql_keys_and_returns_static_ones(spark):
+    from auditmart.session import CLUSTER_CONF, apply_cluster_conf
+
+    keys = [k for k in CLUSTER_CONF if k.startswith("spark.sql.")]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        static = apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": "8"})
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+        assert "spark.cleaner.referenceTracking.cleanCheckpoints" in static
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -21,11 +21,11 @@ is chosen on a checked size:
     * pass B, :func:`ordered_counts` on (user, program, season): for every
       schedule the number of earlier invitations, for every invitation its
       rank in time;
-    * a schedule with ``c`` earlier invitations and multiplicity ``w`` yields
-      ``c * w`` rows; row ``i`` is paired with the invitation of rank
-      ``i mod c`` by an equi-join on (user, program, season, rank), unique on
-      the invitation side.  Work is input plus output; no task holds a whole
-      user.
+    * a schedule with ``c`` earlier invitations pairs with the invitations
+      of rank 0 .. c-1, fetched in blocks of ``RANK_BLOCK`` ranks by an
+      equi-join on (user, program, season, block) with the residual
+      ``rank < c``; its ``w`` copies are generated after the join.  The
+      shuffles carry input-sized rows only; work is input plus output.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ N_INVITES_BEFORE = "n_invites_before"
 INVITE_RANK = "invite_rank"
 SIGNUP_TIME = "signup_time"
 _ORDER = "_order"
+_BLOCK = "_rank_block"
 
 AUTO, JOIN, ORDERED = "auto", "join", "ordered"
 
@@ -52,6 +53,7 @@ AUTO, JOIN, ORDERED = "auto", "join", "ordered"
 MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs one key (one task) may create
 MAX_PAIRS_PER_ROW = 4  # candidate pairs over all keys, per input row ...
 SMALL_PAIRS = 50_000_000  # ... unless the whole job enumerates fewer than this
+RANK_BLOCK = 256  # invitation ranks fetched per probe row in the ordered plan
 
 _LONG_MIN = -(2**63)
 # Pass A orders by descending time: a waitlist sign-up with an unknown time sorts
@@ -235,12 +237,20 @@ def _report_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
         schedules, invites, keys, _ORDER, count_col=N_INVITES_BEFORE, rank_col=INVITE_RANK,
         num_partitions=num_partitions,
     )
+    # A schedule pairs with the invitations ranked 0 .. c-1 of its key.  They
+    # are fetched in blocks of RANK_BLOCK ranks: one probe row per block, an
+    # equi-join on (key, block) and the residual rank < c.  Only input-sized
+    # rows cross the shuffle (ceil(c / RANK_BLOCK) per schedule); the output
+    # rows are generated after the join, and fewer than RANK_BLOCK candidates
+    # per schedule are discarded.
     c = F.col(N_INVITES_BEFORE)
-    rows = with_range(counted.where(c > 0), c * F.col(N_WAITLISTS), "_i").withColumn(
-        INVITE_RANK, F.col("_i") % c
+    n_blocks = ((c + F.lit(RANK_BLOCK - 1)) / F.lit(RANK_BLOCK)).cast("long")
+    probe_blocks = with_range(counted.where(c > 0), n_blocks, _BLOCK)
+    invite_blocks = ranked.select(
+        *keys, INVITE_RANK, INVITE_DATE, (F.col(INVITE_RANK) / F.lit(RANK_BLOCK)).cast("long").alias(_BLOCK)
     )
-    pairs = rows.join(ranked.select(*keys, INVITE_RANK, INVITE_DATE), [*keys, INVITE_RANK])
-    return pairs.select(
+    pairs = probe_blocks.join(invite_blocks, [*keys, _BLOCK]).where(F.col(INVITE_RANK) < c)
+    return with_range(pairs, N_WAITLISTS, "_copy").select(
         m.PROGRAM_ID,
         m.CALENDAR_SEASON_ID,
         m.USER_ID,

@@ -3,6 +3,8 @@ order / partitioning."""
 
 from collections import Counter
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from auditmart.operators.ordered import ordered_counts
@@ -92,3 +94,26 @@ def test_ordered_counts_more_partitions_than_rows(spark):
     b = spark.createDataFrame([(1, 1), (1, 4), (1, 5), (2, 8)], "k long, o long")
     out, _ = ordered_counts(p, b, ["k"], "o", count_col="n", num_partitions=50)
     assert sorted((r["pid"], r["n"]) for r in out.collect()) == [(1, 2), (2, 0)]
+
+
+@pytest.mark.parametrize("block", [3, 7])
+def test_ordered_plan_with_small_rank_blocks(spark, monkeypatch, block):
+    """Schedules with more earlier invitations than one block span several
+    (key, block) join keys; the bag must not change."""
+    monkeypatch.setattr(signup_time, "RANK_BLOCK", block)
+    a = audit(spark, SF["0.01"])
+    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
+    keys = ["user_id", "program_id", "calendar_season_id"]
+    earlier = (
+        signup_time._invites(hot)
+        .join(signup_time._sw_join(hot), keys)
+        .where(F.col("invite_date") < F.col("schedule_date"))
+        .groupBy(*keys, "schedule_date")
+        .count()
+        .agg(F.max("count"))
+        .first()[0]
+    )
+    assert earlier > 3 * block  # several blocks per schedule are exercised
+    ordered = signup_time.report(hot, signup_time.ORDERED, num_partitions=6)
+    joined = signup_time.report(hot, signup_time.JOIN)
+    assert ordered.exceptAll(joined).count() == 0 and joined.exceptAll(ordered).count() == 0

@@ -91,3 +91,16 @@ def test_waitlist_shares_the_actor_aggregate(spark):
 def test_partial_aggregation_before_shuffle(spark):
     p = plan(QUERIES["program_audit_report"](spark, SF["0.001"]))
     assert "partial_count" in p and "partial_sum" in p
+
+
+def test_season_partitioned_audit_prunes_partitions(spark):
+    """A warehouse audit table written partitioned by season: a report for one
+    season reads only that season's files (PartitionFilters in the scan)."""
+    path = scratch_path(spark, "test/audit_by_season")
+    write_table(QUERIES["audit_base"](spark, SF["0.01"]), path, mode="overwrite", partition_by=["calendar_season_id"])
+    stored = ops.audit_base(read_table(spark, path))
+    one_season = daily_cancel.report(stored.where("calendar_season_id = 2"))
+    p = plan(one_season)
+    assert re.search(r"PartitionFilters: \[[^\]]*calendar_season_id[^\]]*= 2", p)
+    expected = daily_cancel.report(QUERIES["audit_base"](spark, SF["0.01"])).where("calendar_season_id = 2")
+    assert one_season.exceptAll(expected).count() == 0 and expected.exceptAll(one_season).count() == 0

@@ -21,14 +21,15 @@ from .tables import TableRef, read_table, write_table
 TEXT_LIMIT = 1000
 
 
-def staging_projection(df: DataFrame, text_limit: int = TEXT_LIMIT) -> DataFrame:
+def staging_projection(df: DataFrame, text_limit: int | None = TEXT_LIMIT) -> DataFrame:
     """W0 transform: drop binary columns, cut strings to ``text_limit``
-    characters; everything else passes through unchanged."""
+    characters (the staging contract of the source; ``None`` keeps text
+    whole); everything else passes through unchanged."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.BinaryType):
             continue
-        if isinstance(f.dataType, T.StringType):
+        if text_limit is not None and isinstance(f.dataType, T.StringType):
             cols.append(F.substring(F.col(f.name), 1, text_limit).alias(f.name))
         else:
             cols.append(F.col(f.name))
@@ -39,7 +40,7 @@ def stage_full_copy(
     spark: SparkSession,
     source: TableRef | str,
     target: TableRef | str,
-    text_limit: int = TEXT_LIMIT,
+    text_limit: int | None = TEXT_LIMIT,
 ) -> DataFrame:
     """Initial (full) load of one table into staging, idempotent
     (``overwrite``).  Returns the staged table as read back."""
@@ -83,7 +84,7 @@ def incremental_load(
     source: DataFrame,
     target: TableRef | str,
     ts_col: str,
-    text_limit: int = TEXT_LIMIT,
+    text_limit: int | None = TEXT_LIMIT,
 ) -> str | None:
     """Append only source rows newer than the target's high watermark.
     The watermark becomes a literal of the column's own type, so the filter is

@@ -57,6 +57,7 @@ def test_staging_projection_drops_binary_and_truncates(spark):
     out = staging_projection(df)
     assert out.columns == ["id", "t", "d"]
     assert len(out.first()["t"]) == 1000
+    assert len(staging_projection(df, text_limit=None).first()["t"]) == 1500
 
 
 def test_denormalize_keeps_all_children(spark):

@@ -126,3 +126,25 @@ def test_apply_cluster_conf_sets_sql_keys_and_returns_static_ones(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_read_clustered_is_the_table_laid_out_by_the_compound_key(spark):
+    from auditmart.sources import read_clustered
+
+    path = f"{SF['0.01']}/orders.parquet"
+    c = read_clustered(spark, path, "o_custkey", ["o_custkey", "o_orderdate"], num_partitions=5)
+    assert bag(c) == bag(read_table(spark, path))
+    assert c.rdd.getNumPartitions() == 5
+
+
+def test_conform_selects_casts_and_reports_missing_columns(spark):
+    import pytest
+
+    from auditmart import model as m
+
+    df = spark.createDataFrame([(1, 2, 3)], "PROGRAM_ID int, calendar_season_id int, all_tier_quantity int")
+    out = m.conform(df, m.SLOT_SCHEMA)
+    assert out.columns == ["program_id", "calendar_season_id", "all_tier_quantity"]
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint"] * 3
+    with pytest.raises(m.ContractError):
+        m.conform(df.drop("all_tier_quantity"), m.SLOT_SCHEMA)

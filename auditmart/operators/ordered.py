@@ -38,6 +38,7 @@ _KEY = "_om_key"
 _VAL = "_om_val"
 _KIND = "_om_kind"
 _CARRY = "_om_carry"
+_TOTAL = "_om_total"
 
 
 def _key_struct(keys: Sequence[str]) -> Column:
@@ -134,10 +135,15 @@ def ordered_counts(
         + F.when(_key_struct(keys) == F.col(_FIRST), F.col(_CARRY)).otherwise(F.lit(0))
     ).cast("long")
 
-    probes = with_carry.where(F.col(_SIDE) == 0).select(*probe_cols, total.alias(count_col))
-    ranked = None
-    if rank_col is not None:
-        ranked = with_carry.where(F.col(_SIDE) == 1).select(*build_cols, total.alias(rank_col))
+    if rank_col is None:
+        return with_carry.where(F.col(_SIDE) == 0).select(*probe_cols, total.alias(count_col)), None
+    # Both sides are wanted.  They prune different columns, so as two lazy
+    # branches the window above would be planned and shuffled twice; the
+    # scored rows are materialised once instead (one write, lineage cut).
+    both = list(dict.fromkeys([*probe_cols, *build_cols]))
+    scored = with_carry.select(*both, _SIDE, total.alias(_TOTAL)).checkpoint(eager=True)
+    probes = scored.where(F.col(_SIDE) == 0).select(*probe_cols, F.col(_TOTAL).alias(count_col))
+    ranked = scored.where(F.col(_SIDE) == 1).select(*build_cols, F.col(_TOTAL).alias(rank_col))
     return probes, ranked
 
 

@@ -150,7 +150,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch folder: the checkpoint directory the session
     names in ``spark.checkpoint.dir``.  Only a local-mode session without one
     (tests) gets a temporary folder; on a cluster it is an error."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server owns the folder
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return conf.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")

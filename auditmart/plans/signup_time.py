@@ -30,6 +30,8 @@ is chosen on a checked size:
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,8 @@ _BLOCK = "_rank_block"
 
 AUTO, JOIN, ORDERED = "auto", "join", "ordered"
 
+log = logging.getLogger(__name__)
+
 # --- fixed values: when the plain equi-join is provably cheap ------------------
 MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs one key (one task) may create
 MAX_PAIRS_PER_ROW = 4  # candidate pairs over all keys, per input row ...
@@ -137,7 +141,9 @@ def choose_strategy(
     row or fewer than ``small_pairs``; else ``ordered``."""
     p = pair_profile(audit)
     bounded_total = p["pairs"] <= max_pairs_per_row * max(p["rows"], 1) or p["pairs"] <= small_pairs
-    return JOIN if p["max_pairs"] <= max_pairs_per_key and bounded_total else ORDERED
+    choice = JOIN if p["max_pairs"] <= max_pairs_per_key and bounded_total else ORDERED
+    log.info("signup-time plan %s: max pairs per key %d, pairs %d, rows %d", choice, p["max_pairs"], p["pairs"], p["rows"])
+    return choice
 
 
 def _resolve(audit: DataFrame, strategy: str) -> str:

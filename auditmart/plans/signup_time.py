@@ -48,6 +48,8 @@ INVITE_RANK = "invite_rank"
 SIGNUP_TIME = "signup_time"
 _ORDER = "_order"
 _BLOCK = "_rank_block"
+_SALT = "_salt"
+_SALTS = "_salts"
 
 AUTO, JOIN, ORDERED = "auto", "join", "ordered"
 
@@ -58,6 +60,8 @@ MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs one key (one task) may create
 MAX_PAIRS_PER_ROW = 4  # candidate pairs over all keys, per input row ...
 SMALL_PAIRS = 50_000_000  # ... unless the whole job enumerates fewer than this
 RANK_BLOCK = 256  # invitation ranks fetched per probe row in the ordered plan
+HOT_REQUESTS = 100_000  # requests per (key, block) one task serves before salting
+MAX_HOT_BLOCKS = 1_000_000  # size check before the hot-block list is broadcast
 
 _LONG_MIN = -(2**63)
 # Pass A orders by descending time: a waitlist sign-up with an unknown time sorts
@@ -255,7 +259,7 @@ def _report_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
     invite_blocks = ranked.select(
         *keys, INVITE_RANK, INVITE_DATE, (F.col(INVITE_RANK) / F.lit(RANK_BLOCK)).cast("long").alias(_BLOCK)
     )
-    pairs = probe_blocks.join(invite_blocks, [*keys, _BLOCK]).where(F.col(INVITE_RANK) < c)
+    pairs = _block_join(probe_blocks, invite_blocks, keys).where(F.col(INVITE_RANK) < c)
     return with_range(pairs, N_WAITLISTS, "_copy").select(
         m.PROGRAM_ID,
         m.CALENDAR_SEASON_ID,
@@ -264,6 +268,38 @@ def _report_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
     )
 
 
+def _block_join(probe_blocks: DataFrame, invite_blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """Join schedule block requests to invitation blocks on (key, block).
+
+    All schedules of a hot user request its block 0, so that join key can
+    gather a third of the requests.  Requests per (key, block) are counted
+    with map-side partial aggregation. Blocks with more than ``HOT_REQUESTS``
+    requests are split: their requests are spread over ``ceil(n /
+    HOT_REQUESTS)`` salts by a hash of the request, and the block's invitations
+    (at most ``RANK_BLOCK`` rows) are replicated once per salt.  The hot list
+    is broadcast only after its size is checked (``MAX_HOT_BLOCKS``); beyond
+    that the plain join is left to AQE skew-join splitting."""
+    join_keys = [*keys, _BLOCK]
+    demand = probe_blocks.groupBy(*join_keys).agg(F.count(F.lit(1)).alias("_requests"))
+    hot = demand.where(F.col("_requests") > HOT_REQUESTS).select(
+        *join_keys, F.ceil(F.col("_requests") / F.lit(HOT_REQUESTS)).cast("int").alias(_SALTS)
+    )
+    n_hot = hot.count()
+    if n_hot == 0 or n_hot > MAX_HOT_BLOCKS:
+        log.info("signup-time block join: %d hot (key, block), %s", n_hot, "plain" if n_hot == 0 else "left to AQE")
+        return probe_blocks.join(invite_blocks, join_keys)
+    log.info("signup-time block join: %d hot (key, block) salted", n_hot)
+    hot_b = F.broadcast(hot)
+    salts = F.coalesce(F.col(_SALTS), F.lit(1))
+    probes = probe_blocks.join(hot_b, join_keys, "left").withColumn(
+        _SALT, F.pmod(F.xxhash64(*[F.col(c) for c in probe_blocks.columns]), salts).cast("int")
+    )
+    invites = invite_blocks.join(hot_b, join_keys, "left").withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), salts - 1))
+    )
+    return probes.drop(_SALTS).join(invites.drop(_SALTS), [*join_keys, _SALT]).drop(_SALT)
+
+
 def report(audit: DataFrame, strategy: str = AUTO, num_partitions: int | None = None) -> DataFrame:
     """(program, season, user, signup_time seconds), a bag."""
     if _resolve(audit, strategy) == JOIN:

@@ -117,3 +117,20 @@ def test_ordered_plan_with_small_rank_blocks(spark, monkeypatch, block):
     ordered = signup_time.report(hot, signup_time.ORDERED, num_partitions=6)
     joined = signup_time.report(hot, signup_time.JOIN)
     assert ordered.exceptAll(joined).count() == 0 and joined.exceptAll(ordered).count() == 0
+
+
+
+def test_hot_blocks_are_salted_and_exact(spark, monkeypatch, caplog):
+    """With a low request threshold the hot user's blocks are salted; the bag
+    is unchanged."""
+    import logging
+
+    monkeypatch.setattr(signup_time, "RANK_BLOCK", 4)
+    monkeypatch.setattr(signup_time, "HOT_REQUESTS", 20)
+    a = audit(spark, SF["0.01"])
+    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
+    with caplog.at_level(logging.INFO, logger="auditmart.plans.signup_time"):
+        ordered = signup_time.report(hot, signup_time.ORDERED, num_partitions=6)
+    assert any("salted" in r.getMessage() for r in caplog.records)
+    joined = signup_time.report(hot, signup_time.JOIN)
+    assert ordered.exceptAll(joined).count() == 0 and joined.exceptAll(ordered).count() == 0

@@ -60,3 +60,21 @@ def test_all_queries_time_zone_independent(spark, duck_small):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert bad == []
+
+
+SURVEY_QUERIES = """scan_table scan_clustered write_roundtrip audit_base audit_with_specialty invite_days
+withdraw_ops cancel_ops total_slots total_invites total_withdraw total_cancel first_invite_day
+first_day_invites program_audit_base program_audit_report waitlist_total_invites first_action_date
+waitlist_signups first_action_waitlist scheduled_users waitlisted_scheduled_users app_state_completed
+app_state_canceled_or_missed app_state_withdrawn total_waitlisted total_waitlisted_to_scheduled
+total_waitlisted_to_completed total_waitlisted_to_canceled total_waitlisted_to_withdrawn waitlist_base
+waitlist_report schedule_before_waitlist signup_time_report daily_cancel_report staging_full_copy
+warehouse_denormalize staging_incremental expr_nvl_zero expr_round_div expr_percent
+expr_seconds_between""".split()
+
+
+def test_every_planned_query_is_registered_with_an_oracle():
+    """SURVEY §7.3 lists the queries to register; none may go missing."""
+    assert len(SURVEY_QUERIES) == 42
+    assert set(SURVEY_QUERIES) <= set(queries())
+    assert set(SURVEY_QUERIES) <= set(oracle_sql())

@@ -82,3 +82,30 @@ def test_report_types(case):
     assert wl["total_waitlisted_to_canceled"] == "bigint" and wl["percent_waitlisted"] == "double"
     assert dict(signup_time.report(audit).dtypes)["signup_time"] == "bigint"
     assert dict(daily_cancel.report(audit).dtypes)["created_date"] == "date"
+
+
+def test_q15_repeated_schedules_count_once(spark):
+    """Q15: waitlisted-to-scheduled is a semi join; a user who scheduled three
+    times (before or after the waitlist, no time test) still counts once per
+    first-action waitlisted application."""
+    rows = [
+        (9, 1, 90, 50, 1, None, None, "2017-11-01 00:00:00"),
+        (9, 1, 50, 50, 3, 700, 9050, "2017-11-02 00:00:00"),
+        (9, 1, 50, 50, 2, 700, None, "2017-11-03 00:00:00"),
+        (9, 1, 50, 50, 2, 701, None, "2017-11-04 00:00:00"),
+        (9, 1, 50, 50, 2, 702, None, "2017-11-01 12:00:00"),
+    ]
+    # actor 50 scheduled (11-01 12:00) before waitlisting, so is not a
+    # first-action waitlister; actor 51 waitlisted first, then scheduled 3x
+    rows += [
+        (9, 1, 51, 51, 3, 700, 9051, "2017-11-02 00:00:00"),
+        (9, 1, 51, 51, 2, 700, None, "2017-11-03 00:00:00"),
+        (9, 1, 51, 51, 2, 701, None, "2017-11-04 00:00:00"),
+        (9, 1, 51, 51, 2, 702, None, "2017-11-05 00:00:00"),
+    ]
+    audit = audit_df(spark, rows)
+    st = states_df(spark, [(9050, 1), (9051, 1)])
+    out = {r["program_id"]: r for r in waitlist.base(audit, st).collect()}
+    assert out[9]["total_waitlisted"] == 1  # only actor 51 (actor 50 acted first by scheduling)
+    assert out[9]["total_waitlisted_to_scheduled"] == 1  # three schedules, counted once
+    assert bag(waitlist.base(audit, st).collect()) == bag(waitlist.base_from_parts(audit, st).collect())

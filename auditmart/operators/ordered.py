@@ -14,10 +14,22 @@ rows sharing a key, which is quadratic in a hot user.  Here:
    summary row per partition (bounded by the partition count, hence safe to
    broadcast) carries the counts of earlier chunks forward.
 
+Why it is exact: range partitions are contiguous, ordered intervals of
+``(keys, order, side)``, and equal tuples never straddle two partitions.  For a
+probe row with key ``k`` in partition ``p``, the build rows of ``k`` strictly
+before it are (a) those before it inside ``p`` (the window; a probe sorts
+before builds with the same ``order``, which makes ``<`` strict), and (b) all
+build rows of ``k`` in earlier partitions.  An earlier partition can hold
+``k`` only if ``k`` runs on into ``p``, i.e. ``k`` is the last key of that
+partition and the first key of ``p``.  So (b) is zero unless ``k`` is the first
+key of ``p``, and then it is the sum of the last-key build counts of the
+earlier partitions whose last key is ``k``.  Ranks of build rows are the same
+count taken on build rows.
+
 Everything is DataFrame operations; no group is ever gathered in one task and
 no pair of rows is materialised.  The range-partitioned union is checkpointed
 (reliable checkpoint in ``spark.checkpoint.dir``) because three branches read
-it.
+it; so are the scored rows when both probe counts and build ranks are wanted.
 """
 
 from __future__ import annotations

@@ -28,6 +28,7 @@ class Warehouse:
     waitlist_report: TableRef | str
     signup_time_report: TableRef | str
     daily_cancel_report: TableRef | str
+    programs: TableRef | str | None = None  # program fact (withdraw / cancel multiplicity, Q19)
 
 
 def _audit(spark: SparkSession, wh: Warehouse) -> DataFrame:
@@ -37,7 +38,8 @@ def _audit(spark: SparkSession, wh: Warehouse) -> DataFrame:
 def load_program_audit_report(spark: SparkSession, wh: Warehouse, mode: str = "append") -> DataFrame:
     """R1 computed and written; returns the report as written."""
     slots = m.conform(read_table(spark, wh.slots), m.SLOT_SCHEMA)
-    report = program_audit.report(_audit(spark, wh), slots)
+    programs = None if wh.programs is None else m.conform(read_table(spark, wh.programs), m.PROGRAM_SCHEMA)
+    report = program_audit.report(_audit(spark, wh), slots, programs)
     write_table(report, wh.program_audit_report, mode)
     return report
 

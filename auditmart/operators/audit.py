@@ -75,6 +75,18 @@ def ops_with_specialty(audit: DataFrame, programs: DataFrame, code: int) -> Data
     return with_specialty(audit, programs).where(op_is(code)).drop(m.AUDIT_OPERATION_ID)
 
 
+def program_multiplicity(programs: DataFrame) -> DataFrame:
+    """Rows per program id in the program table.  The source counts
+    withdrawals and cancellations after a left join to that table, so a
+    program listed ``k`` times counts them ``k`` times (SURVEY Q19).  A program
+    absent from the table keeps factor 1 (``coalesce(k, 1)`` at the join)."""
+    return (
+        programs.where(F.col(m.PROGRAM_ID).isNotNull())
+        .groupBy(m.PROGRAM_ID)
+        .agg(F.count(F.lit(1)).alias("_program_rows"))
+    )
+
+
 # --- A1-A6: program-audit measures ---------------------------------------------
 
 

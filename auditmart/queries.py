@@ -121,11 +121,13 @@ def q_total_invites(spark, sf_dir):
 
 
 def q_total_withdraw(spark, sf_dir):
-    return ops.count_op(audit(spark, sf_dir), m.WITHDRAW, "total_withdraw")
+    enriched = ops.with_specialty(audit(spark, sf_dir), programs(spark, sf_dir))
+    return ops.count_op(enriched, m.WITHDRAW, "total_withdraw")
 
 
 def q_total_cancel(spark, sf_dir):
-    return ops.count_op(audit(spark, sf_dir), m.CANCEL_INTERVIEW, "total_cancel")
+    enriched = ops.with_specialty(audit(spark, sf_dir), programs(spark, sf_dir))
+    return ops.count_op(enriched, m.CANCEL_INTERVIEW, "total_cancel")
 
 
 def q_first_invite_day(spark, sf_dir):
@@ -137,11 +139,11 @@ def q_first_day_invites(spark, sf_dir):
 
 
 def q_program_audit_base(spark, sf_dir):
-    return program_audit.base(audit(spark, sf_dir), slots(spark, sf_dir))
+    return program_audit.base(audit(spark, sf_dir), slots(spark, sf_dir), programs(spark, sf_dir))
 
 
 def q_program_audit_report(spark, sf_dir):
-    return program_audit.report(audit(spark, sf_dir), slots(spark, sf_dir))
+    return program_audit.report(audit(spark, sf_dir), slots(spark, sf_dir), programs(spark, sf_dir))
 
 
 # --- waitlist --------------------------------------------------------------------

@@ -109,3 +109,18 @@ def test_q15_repeated_schedules_count_once(spark):
     assert out[9]["total_waitlisted"] == 1  # only actor 51 (actor 50 acted first by scheduling)
     assert out[9]["total_waitlisted_to_scheduled"] == 1  # three schedules, counted once
     assert bag(waitlist.base(audit, st).collect()) == bag(waitlist.base_from_parts(audit, st).collect())
+
+
+def test_q19_duplicate_programs_multiply_withdraw_and_cancel(spark):
+    """Q19: the source counts withdrawals and cancellations after a left join
+    to the program table, so a program listed twice counts them twice."""
+    from auditmart import model as m
+
+    audit, slots = audit_df(spark, AUDIT_A), slots_df(spark, SLOTS_A)
+    programs = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], m.PROGRAM_SCHEMA)
+    fused = {r["program_id"]: r for r in program_audit.base(audit, slots, programs).collect()}
+    assert (fused[1]["total_withdraw"], fused[1]["total_cancel"]) == (2, 4)  # 1 and 2, doubled
+    assert fused[1]["total_invites"] == 3  # invitations are not joined to the program table
+    assert bag(program_audit.base(audit, slots, programs).collect()) == bag(
+        program_audit.base_from_parts(audit, slots, programs).collect()
+    )

@@ -57,8 +57,13 @@ def arrow(rows, schema):
     return pa.table({f.name: pa.array(list(c), types[f.dataType.simpleString()]) for f, c in zip(schema.fields, cols)})
 
 
+def gen_programs(rnd):
+    """Program table with duplicate ids (the warehouse does not enforce keys)."""
+    return [(p, rnd.randint(1, 3)) for p in range(0, 5) for _ in range(rnd.choice([0, 1, 1, 2, 3]))]
+
+
 def strip_mapping(sql: str) -> str:
-    for cte in (o.AUDIT_DIM, o.SLOT_DIM, o.STATE_DIM):
+    for cte in (o.AUDIT_DIM, o.SLOT_DIM, o.STATE_DIM, o.PROGRAM_FACT):
         sql = sql.replace(cte + ",\n", "")
     return sql.replace("WITH " + o.AUDIT_DIM + "\n", "")
 
@@ -81,6 +86,8 @@ def same(df, duck):
 def test_reports_match_sql_on_adversarial_logs(spark, seed):
     rnd = random.Random(seed)
     audit_rows, slot_rows, state_rows = gen_audit(rnd, 400), gen_slots(rnd), gen_states(rnd)
+    program_rows = gen_programs(rnd)
+    programs = spark.createDataFrame(program_rows, m.PROGRAM_SCHEMA)
     audit = spark.createDataFrame(audit_rows, m.AUDIT_SCHEMA)
     slots = spark.createDataFrame(slot_rows, m.SLOT_SCHEMA)
     states = spark.createDataFrame(state_rows, m.APPLICATION_STATE_SCHEMA)
@@ -88,9 +95,11 @@ def test_reports_match_sql_on_adversarial_logs(spark, seed):
     con.register("audit_dim", arrow(audit_rows, m.AUDIT_SCHEMA))
     con.register("track_tier_slot_dim", arrow(slot_rows, m.SLOT_SCHEMA))
     con.register("application_state_dim", arrow(state_rows, m.APPLICATION_STATE_SCHEMA))
+    con.register("program_fact", arrow(program_rows, m.PROGRAM_SCHEMA))
 
-    assert same(program_audit.report(audit, slots), duck_rows(con, o.PA_REPORT))
-    assert same(program_audit.base(audit, slots), duck_rows(con, o.PA + "SELECT * FROM pa_base"))
+    assert same(program_audit.report(audit, slots, programs), duck_rows(con, o.PA_REPORT))
+    assert same(program_audit.base(audit, slots, programs), duck_rows(con, o.PA + "SELECT * FROM pa_base"))
+    assert same(program_audit.base_from_parts(audit, slots, programs), duck_rows(con, o.PA + "SELECT * FROM pa_base"))
     assert same(waitlist.report(audit, states), duck_rows(con, o.WL_REPORT))
     assert same(waitlist.base(audit, states), duck_rows(con, o.WL + "SELECT * FROM wl_base"))
     sbw = duck_rows(con, o.SU + "SELECT * FROM su_schedule")

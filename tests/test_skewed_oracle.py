@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from auditmart import oracle_sql as o
 from auditmart.plans import daily_cancel, program_audit, signup_time, waitlist
-from auditmart.queries import audit, slots, states
+from auditmart.queries import audit, programs, slots, states
 from conftest import SF
 from test_random_oracle import duck_rows, same
 
@@ -22,30 +22,31 @@ def skewed(spark):
     hot = hot.withColumn(
         "created_by_user_id", F.when(F.col("created_by_user_id") % 3 == 0, F.lit(1)).otherwise(F.col("created_by_user_id"))
     )
-    s, st = slots(spark, SF["0.01"]), states(spark, SF["0.01"])
+    s, st, prg = slots(spark, SF["0.01"]), states(spark, SF["0.01"]), programs(spark, SF["0.01"])
     con = duckdb.connect()
     con.register("audit_dim", hot.toArrow())
     con.register("track_tier_slot_dim", s.toArrow())
     con.register("application_state_dim", st.toArrow())
-    return hot, s, st, con
+    con.register("program_fact", prg.toArrow())
+    return hot, s, st, prg, con
 
 
 def test_program_audit_on_skewed_log(skewed):
-    hot, s, _, con = skewed
-    assert same(program_audit.report(hot, s), duck_rows(con, o.PA_REPORT))
+    hot, s, _, prg, con = skewed
+    assert same(program_audit.report(hot, s, prg), duck_rows(con, o.PA_REPORT))
 
 
 def test_waitlist_on_skewed_log(skewed):
-    hot, _, st, con = skewed
+    hot, _, st, _, con = skewed
     assert same(waitlist.report(hot, st), duck_rows(con, o.WL_REPORT))
 
 
 def test_daily_cancel_on_skewed_log(skewed):
-    hot, _, _, con = skewed
+    hot, _, _, _, con = skewed
     assert same(daily_cancel.report(hot), duck_rows(con, o.DAILY_CANCEL))
 
 
 @pytest.mark.parametrize("strategy", [signup_time.JOIN, signup_time.ORDERED])
 def test_signup_time_on_skewed_log(skewed, strategy):
-    hot, _, _, con = skewed
+    hot, _, _, _, con = skewed
     assert same(signup_time.report(hot, strategy), duck_rows(con, o.SU_REPORT))

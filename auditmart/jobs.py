@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import model as m
 from .operators.audit import audit_base
 from .plans import daily_cancel, program_audit, signup_time, waitlist
-from .sources.tables import TableRef, read_table, write_table
+from .sources.tables import TableRef, read_table, shared_dir, write_table
 
 
 @dataclass(frozen=True)
@@ -64,9 +64,16 @@ def load_daily_cancel_report(spark: SparkSession, wh: Warehouse, mode: str = "ap
 
 
 def run_all(spark: SparkSession, wh: Warehouse, mode: str = "append") -> None:
-    """All four report jobs, one after the other (each is its own Spark job
-    graph; nothing is shared through the driver)."""
-    load_program_audit_report(spark, wh, mode)
+    """All four report jobs.  R1 and R4 share one scan of the log: the
+    (program, season, day) table both aggregate from is computed once and
+    checkpointed (it is small: groups times days), then each report is
+    derived from it.  Nothing passes through the driver."""
+    audit = _audit(spark, wh)
+    shared_dir(spark)
+    per_day = program_audit.daily_measures(audit).checkpoint(eager=True)
+    slots = m.conform(read_table(spark, wh.slots), m.SLOT_SCHEMA)
+    programs = None if wh.programs is None else m.conform(read_table(spark, wh.programs), m.PROGRAM_SCHEMA)
+    write_table(program_audit.report(audit, slots, programs, per_day=per_day), wh.program_audit_report, mode)
+    write_table(daily_cancel.report_from_daily(per_day), wh.daily_cancel_report, mode)
     load_waitlist_report(spark, wh, mode)
     load_signup_time_report(spark, wh, mode)
-    load_daily_cancel_report(spark, wh, mode)

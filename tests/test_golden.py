@@ -124,3 +124,10 @@ def test_q19_duplicate_programs_multiply_withdraw_and_cancel(spark):
     assert bag(program_audit.base(audit, slots, programs).collect()) == bag(
         program_audit.base_from_parts(audit, slots, programs).collect()
     )
+
+
+def test_daily_cancel_from_the_shared_day_table(case):
+    """R4 derived from R1's day table equals R4 computed on its own."""
+    _, audit, _, _ = case
+    per_day = program_audit.daily_measures(audit)
+    assert bag(daily_cancel.report_from_daily(per_day).collect()) == bag(daily_cancel.report(audit).collect())

@@ -54,9 +54,9 @@ def _lines(path: str):
             yield from fh
 
 
-def stage_stats(log_dir: str, job_groups: dict[int, str]) -> list[dict]:
-    """Aggregate task-end events per stage; ``job_groups`` maps job ids to a
-    label (from the job-start events' ``spark.jobGroup.id``)."""
+def stage_stats(log_dir: str) -> list[dict]:
+    """Aggregate task-end events per stage, labelled with the job group
+    (``spark.jobGroup.id`` of the job-start event) the stage ran under."""
     stage_label: dict[int, str] = {}
     tasks: dict[int, list[tuple[int, int]]] = {}
     for path in glob.glob(os.path.join(log_dir, "**", "events_*"), recursive=True) + glob.glob(
@@ -129,7 +129,7 @@ def main(argv: list[str]) -> None:
             run(spark, name, lambda n=name: QUERIES[n](spark, sf_dir))
     spark.stop()
     print(f"event log: {log_dir}")
-    print_table(stage_stats(log_dir, {}))
+    print_table(stage_stats(log_dir))
 
 
 if __name__ == "__main__":

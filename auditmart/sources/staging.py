@@ -49,6 +49,24 @@ def stage_full_copy(
     return read_table(spark, target)
 
 
+def stage_tables(
+    spark: SparkSession,
+    sources: dict[str, TableRef | str],
+    target_root: str,
+    text_limit: int | None = TEXT_LIMIT,
+) -> dict[str, str]:
+    """W0 for a whole source database: every table is staged under
+    ``target_root/<name>`` (overwrite).  Each copy is one parallel Spark job
+    (scan splits in, files out); nothing passes through the driver.  Returns
+    the staged locations."""
+    staged = {}
+    for name, source in sources.items():
+        target = f"{target_root.rstrip('/')}/{name}"
+        write_table(staging_projection(read_table(spark, source), text_limit), target, mode="overwrite")
+        staged[name] = target
+    return staged
+
+
 def denormalize(
     child: DataFrame,
     parent: DataFrame,

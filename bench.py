@@ -35,6 +35,17 @@ def run_once(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - t0
 
 
+def stage_all_tables(spark, sf_dir: str) -> float:
+    """W0 over every driver table (binary dropped, text cut), timed."""
+    from auditmart.sources import scratch_path
+    from auditmart.sources.staging import stage_tables
+
+    names = sorted(f[: -len(".parquet")] for f in os.listdir(sf_dir) if f.endswith(".parquet"))
+    t0 = time.perf_counter()
+    stage_tables(spark, {n: os.path.join(sf_dir, f"{n}.parquet") for n in names}, scratch_path(spark, "bench/staging"))
+    return time.perf_counter() - t0
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -47,6 +58,9 @@ def main() -> None:
         for name in HEADLINE:
             samples[name].append(run_once(spark, name, sf_dir))
     timings = {name: round(statistics.median(ts), 3) for name, ts in samples.items()}
+    # the one figure the source publishes is its initial load (all source tables
+    # to staging); reported beside the report suite, not added to its total
+    staging_all = round(statistics.median(stage_all_tables(spark, sf_dir) for _ in range(max(1, runs // 2))), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -54,7 +68,7 @@ def main() -> None:
                 "metric": "report_suite_median_total",
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
-                "queries": timings,
+                "queries": {**timings, "staging_all_tables": staging_all},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "runs": runs,

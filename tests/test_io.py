@@ -148,3 +148,17 @@ def test_conform_selects_casts_and_reports_missing_columns(spark):
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint"] * 3
     with pytest.raises(m.ContractError):
         m.conform(df.drop("all_tier_quantity"), m.SLOT_SCHEMA)
+
+
+def test_stage_tables_copies_every_source_table(spark):
+    from auditmart.sources.driver_tables import table_path
+    from auditmart.sources.staging import stage_tables
+
+    names = ["region", "nation", "supplier", "events", "documents"]
+    sources = {n: table_path(SF["0.001"], n) for n in names}
+    staged = stage_tables(spark, sources, scratch_path(spark, "test/staging_all"))
+    for n in names:
+        src, dst = read_table(spark, sources[n]), read_table(spark, staged[n])
+        assert dst.count() == src.count() and dst.columns == src.columns
+    longest = read_table(spark, staged["documents"]).selectExpr("max(length(text)) AS m").first()["m"]
+    assert longest <= 1000

@@ -54,17 +54,26 @@ def stage_tables(
     sources: dict[str, TableRef | str],
     target_root: str,
     text_limit: int | None = TEXT_LIMIT,
+    parallel_jobs: int = 4,
 ) -> dict[str, str]:
     """W0 for a whole source database: every table is staged under
     ``target_root/<name>`` (overwrite).  Each copy is one parallel Spark job
-    (scan splits in, files out); nothing passes through the driver.  Returns
-    the staged locations."""
-    staged = {}
-    for name, source in sources.items():
-        target = f"{target_root.rstrip('/')}/{name}"
+    (scan splits in, files out); up to ``parallel_jobs`` copies are submitted
+    at once from driver threads, so small tables do not leave the cluster
+    idle.  Only job handles pass through the driver.  Returns the staged
+    locations."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = target_root.rstrip("/")
+
+    def copy(item):
+        name, source = item
+        target = f"{root}/{name}"
         write_table(staging_projection(read_table(spark, source), text_limit), target, mode="overwrite")
-        staged[name] = target
-    return staged
+        return name, target
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        return dict(pool.map(copy, sources.items()))
 
 
 def denormalize(

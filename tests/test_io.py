@@ -186,3 +186,22 @@ def test_streaming_staging_picks_up_only_new_files(spark, tmp_path):
     assert read_table(spark, target).count() == n0 + n1
     stage_new_files(spark, str(landing), schema, target, ckpt, max_files_per_trigger=1)
     assert read_table(spark, target).count() == n0 + n1
+
+
+def test_continuous_staging_stream_can_be_drained_and_stopped(spark, tmp_path):
+    import shutil
+
+    from auditmart.streaming import start_staging_stream
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    shutil.copy(f"{SF['0.001']}/events.parquet", landing / "part-0.parquet")
+    schema = read_table(spark, f"{SF['0.001']}/events.parquet").schema
+    base = scratch_path(spark, "test/stream_continuous")
+    query = start_staging_stream(spark, str(landing), schema, f"{base}/table", f"{base}/_checkpoint", available_now=False)
+    try:
+        query.processAllAvailable()
+        assert read_table(spark, f"{base}/table").count() == read_table(spark, f"{SF['0.001']}/events.parquet").count()
+    finally:
+        query.stop()
+    assert not query.isActive

@@ -2,20 +2,50 @@
 
 from __future__ import annotations
 
-from . import packing, tokens
+from . import bagminhash, decontamination, fingerprint, packing, secret_scan, tokens, toxicity, url_filter
 from .common import table
 
 
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_mixture_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op3_toxicity_grammar(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_bagminhash_dedup(spark, sf_dir):
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark, sf_dir):
     return tokens.length_histogram(tokens.token_lengths(table(spark, sf_dir, "documents")))
 
 
+def op7_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op8_edit_fingerprints(spark, sf_dir):
+    return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op9_spaced_seed_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_mixture_packing": op2_mixture_packing,
+    "op3_toxicity_grammar": op3_toxicity_grammar,
+    "op4_bagminhash_dedup": op4_bagminhash_dedup,
     "op5_token_counts": op5_token_counts,
+    "op7_url_filter": op7_url_filter,
+    "op8_edit_fingerprints": op8_edit_fingerprints,
+    "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Batches, prepare, text_or_empty, texts_of
+from .common import Batches, materialise, prepare, text_or_empty, texts_of
 
 CACHE_ENTRIES = 1_000_000  # words a worker remembers; it starts anew beyond that
 VOCABULARY = "word_bpe_49k.json"
@@ -128,7 +128,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     Suffix sums run per block of 1,024 lengths; the blocks' totals (one row
     each) are summed on their own, so no task sees the whole histogram.  An empty
     table gives no rows; null and empty texts count with length 0."""
-    h = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")).withColumn(
+    # written, since two branches read it and encoding is the dear part
+    h = materialise(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "lengths").withColumn(
         "block", F.floor(F.col("n_tokens") / F.lit(BLOCK))
     )
     tokens = F.col("n_docs") * F.col("n_tokens")

@@ -1,15 +1,46 @@
 """Corpus pipeline over ``documents``: every stage works on all that the stage
 before it kept and is written as Parquet and read again.
 
-Stages: toxicity (documents rejected go)."""
+Toxic documents go; one document of each class of copies and near copies stays;
+documents that overlap a benchmark item go; confirmed secrets are replaced by a
+mark (the document stays); the rest is packed into sequences."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditmart.llm.common import materialise, table
+from auditmart.llm import bagminhash, decontamination, packing, secret_scan, toxicity
+from auditmart.llm.common import materialise, prepare, table
 
-STAGES: list = []
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bagminhash.drop_near_duplicates(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs).drop("ids")
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
+    ("packing", packing_stage),
+]
 
 # No SQL can express the learned and hashing stages; tests compare each stage
 # with a brute-force version.
@@ -17,6 +48,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline/{i}_{name}")

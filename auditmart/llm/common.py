@@ -49,6 +49,8 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     cut, and a lost executor costs no recomputation of what lies before."""
     path = scratch_path(df.sparkSession, f"llm/{purpose}")
     df.write.option("compression", "zstd").parquet(path)
+    # shuffle files of finished jobs go when the driver's JVM drops their plans
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

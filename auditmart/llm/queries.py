@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bagminhash, decontamination, fingerprint, packing, secret_scan, tokens, toxicity, url_filter
+from . import bagminhash, decontamination, fingerprint, packing, secret_scan, suffix_dedup, tokens, toxicity, url_filter
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op5_token_counts(spark, sf_dir):
     return tokens.length_histogram(tokens.token_lengths(table(spark, sf_dir, "documents")))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op3_toxicity_grammar": op3_toxicity_grammar,
     "op4_bagminhash_dedup": op4_bagminhash_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,

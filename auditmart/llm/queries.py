@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bagminhash, decontamination, fingerprint, packing, secret_scan, suffix_dedup, tokens, toxicity, url_filter
+from . import bagminhash, decontamination, fingerprint, packing, passages, secret_scan, suffix_dedup, tokens, toxicity, url_filter
 from .common import table
 
 
@@ -42,6 +42,10 @@ def op9_spaced_seed_decontamination(spark, sf_dir):
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_compact_windows(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixture_packing": op2_mixture_packing,
@@ -52,5 +56,6 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
     "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
+    "op10_compact_windows": op10_compact_windows,
 }
 ORACLE_SQL: dict[str, str] = {}

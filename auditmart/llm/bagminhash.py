@@ -11,7 +11,7 @@ the registers are drawn, so a document costs its shingles plus about m log m poi
 
 Bands of registers propose pairs.  A bucket's members are first compared with its
 least one; members that this leaves in different classes are then compared with
-each other, so no link is lost to the short cut.  Pairs are verified on the whole
+each other, block by block, so no link is lost to the short cut.  Pairs are verified on the whole
 bags of shingles."""
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ REGISTERS = BANDS * ROWS
 # pairs whose signatures agree in fewer registers are not verified: at a
 # similarity of 0.8 that happens with probability 3e-7 (five deviations)
 LEAST_AGREEMENT = 0.6
+BLOCK_NODES, BLOCK_BYTES = 1000, 8 << 20  # members of a bucket, and their bags, per block
 
 
 def bags(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,6 +158,84 @@ def verify(pairs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY, si
     )
 
 
+def expanded(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n_texts: int) -> list[np.ndarray]:
+    """Each bag as a sorted set: occurrence k of a shingle is an element of its
+    own, so the overlap of bags is that of the sets."""
+    owner = np.repeat(text, weight)
+    first = np.repeat(np.cumsum(weight) - weight, weight)
+    copy = (np.arange(len(owner)) - first).astype(np.uint64)
+    sets = mix(np.repeat(element, weight) + copy * np.uint64(0x9E3779B97F4A7C15))
+    order = np.lexsort((sets, owner))
+    return np.split(sets[order], np.searchsorted(owner, np.arange(1, n_texts)))
+
+
+def compare_buckets(
+    placed: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
+) -> DataFrame:
+    """Links (a, b) between members of one bucket that are in different classes.
+
+    ``placed``: (band, node, label).  Members are dealt to blocks of bounded size
+    and every two blocks of a bucket meet in a task, so no pair becomes a row and
+    no task holds a whole bucket.  Pairs whose signatures agree too little are left
+    out; all others are compared on their whole bags.  A task returns the links that
+    join classes it has not joined yet."""
+    members = placed.select(F.col("node").alias("row")).distinct()
+
+    def bag(batches: Batches) -> Batches:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            sets = expanded(*bags(texts, size), len(texts)) if texts else []
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "bag"])
+
+    found = rows.select("row", "text").join(members, "row", "left_semi").mapInArrow(bag, "node long, bag binary")
+    found = materialise(found.join(nodes.select("node", "sig"), "node"), "bags")
+    sizes = placed.join(found.select("node", F.length("bag").alias("bytes")), "node").groupBy("band").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_NODES)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)), F.lit(1))
+        .cast("int").alias("blocks")
+    )
+    dealt = placed.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "node", "label", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+    )
+
+    def compare(t: pa.Table) -> pa.Table:
+        columns = {c: t.column(c).to_pylist() for c in ("node", "label", "block", "lo", "hi", "sig", "bag")}
+        inner = columns["lo"][0] == columns["hi"][0]
+        left = [i for i, x in enumerate(columns["block"]) if x == columns["lo"][0]]
+        right = left if inner else [i for i, x in enumerate(columns["block"]) if x == columns["hi"][0]]
+        sig = np.frombuffer(b"".join(columns["sig"]), np.uint16).reshape(-1, REGISTERS)
+        sets = [np.frombuffer(x, np.uint64) for x in columns["bag"]]
+        label = np.array(columns["label"], np.int64)
+        out = []
+        r_sets = [sets[j] for j in right]
+        flat, n_right = np.concatenate(r_sets), np.array([len(x) for x in r_sets])
+        begin = np.cumsum(n_right) - n_right
+        r_sig, r_index = sig[right], np.array(right)
+        for i in left:
+            want = (label[r_index] != label[i]) & ((r_sig == sig[i]).mean(axis=1) >= LEAST_AGREEMENT)
+            if inner:
+                want &= r_index > i
+            for part in np.array_split(np.flatnonzero(want), max(1, -(-int(want.sum()) // 512))):
+                if not len(part):
+                    continue
+                at = np.concatenate([np.arange(begin[k], begin[k] + n_right[k]) for k in part])
+                values, own = flat[at], sets[i]
+                place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+                hits = (own[place] == values).astype(np.int64)
+                cut = np.cumsum(n_right[part]) - n_right[part]
+                both = np.add.reduceat(hits, cut)
+                near = both >= similarity * (len(own) + n_right[part] - both)
+                for k in part[near].tolist():
+                    j = right[k]
+                    if label[j] != label[i]:
+                        out.append((columns["node"][i], columns["node"][j]))
+                        label[label == label[j]] = label[i]
+        ends = list(zip(*out)) or [(), ()]
+        return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+    return dealt.join(found, "node").groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long")
+
+
 def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
     """(row, class) for each of ``rows`` (row: unique long, text: not null): class
     is the least row of the connected component of equal texts and of pairs with
@@ -172,18 +251,13 @@ def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
     tested = materialise(likely(heads.distinct(), nodes), "pairs")
     links = materialise(verify(tested, rows, similarity, size), "links")
     labels = materialise(components(links, "a", "b"), "labels")
-    # buckets whose members are still in several classes: all their pairs
+    # buckets whose members are still in several classes
     placed = keyed.join(shared.select("band"), "band", "left_semi").join(labels, "node", "left").select(
         "band", "node", F.coalesce("label", "node").alias("label")
     )
     mixed = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
     placed = materialise(placed.join(mixed, "band"), "mixed_bands")
-    one, other = placed.toDF("band", "a", "la"), placed.toDF("band", "b", "lb")
-    rest = one.join(other, "band").where("a < b and la != lb").select("a", "b").distinct().join(
-        tested, ["a", "b"], "left_anti"
-    )
-    rest = materialise(likely(rest, nodes), "pairs")
-    links = links.union(verify(rest, rows, similarity, size))
+    links = links.union(materialise(compare_buckets(placed, nodes, rows, similarity, size), "links"))
     labels = components(links, "a", "b")
     by_copy = copies.join(labels, "node", "left").select("sha", F.coalesce("label", "node").alias("class"))
     return signed_rows.select("row", "sha").join(by_copy, "sha").select("row", "class")

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 _MICROS_PER_SECOND = 1_000_000
-
-
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+_MICROS_PER_DAY = 86_400 * _MICROS_PER_SECOND
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -36,12 +33,26 @@ def percent(num: ColumnOrName, den: ColumnOrName, scale: int = 1) -> Column:
     return F.round(F.try_divide(_col(num) * F.lit(100), _col(den)), scale)
 
 
+def epoch_micros(ts: ColumnOrName) -> Column:
+    """Microseconds since 1970-01-01 (long), exact for both timestamp types: an
+    instant (``timestamp``) is counted in UTC, a ``timestamp_ntz`` by its own clock.
+    Neither depends on the session time zone or shifts in a clock change.
+    ``typeof`` is folded while planning, so one branch remains."""
+    ts = _col(ts)
+    own = ts.cast("timestamp_ntz")
+    by_clock = (
+        F.unix_date(own.cast("date")).cast("long") * F.lit(_MICROS_PER_DAY)
+        + (F.hour(own) * F.lit(3600) + F.minute(own) * F.lit(60)).cast("long") * F.lit(_MICROS_PER_SECOND)
+        + (F.extract(F.lit("SECOND"), own) * F.lit(_MICROS_PER_SECOND)).cast("long")
+    )
+    return F.when(F.typeof(ts) == "timestamp", F.unix_micros(ts.cast("timestamp"))).otherwise(by_clock)
+
+
 def epoch_seconds(ts: ColumnOrName) -> Column:
-    """Whole seconds since 1970-01-01 of a ``timestamp_ntz``, rounded down like
-    ``unix_timestamp`` but without depending on the session time zone.  The
-    microsecond count is exact; removing the sub-second remainder first makes
-    the division exact as well."""
-    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), _col(ts))
+    """Whole seconds since 1970-01-01, rounded down.  The microsecond count is
+    exact; removing the sub-second remainder first makes the division exact as
+    well."""
+    micros = epoch_micros(ts)
     whole = micros - F.pmod(micros, F.lit(_MICROS_PER_SECOND))
     return (whole / F.lit(_MICROS_PER_SECOND)).cast("long")
 
@@ -49,8 +60,3 @@ def epoch_seconds(ts: ColumnOrName) -> Column:
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """``unix_timestamp(end) - unix_timestamp(start)`` as a long."""
     return epoch_seconds(end) - epoch_seconds(start)
-
-
-def epoch_micros(ts: ColumnOrName) -> Column:
-    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` (exact, long)."""
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _col(ts))

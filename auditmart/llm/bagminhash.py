@@ -130,8 +130,9 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float = LEAST_AGREEMENT) -
     )
 
 
-def verify(pairs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
-    """The (a, b) whose bags of shingles have that weighted Jaccard similarity."""
+def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
+    """The (a, b) whose bags of shingles have that weighted Jaccard similarity;
+    ``texts``: (row, text) of at least the pairs' members."""
 
     def run(batches: Batches) -> Batches:
         for b in batches:
@@ -149,9 +150,6 @@ def verify(pairs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY, si
                 keep.append(bool(total) and both >= similarity * total)
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    # only the texts of candidate pairs move on, each shuffled once
-    needed = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-    texts = materialise(rows.select("row", "text").join(needed, "row", "left_semi"), "candidate_texts")
     return (
         pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
         .select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
@@ -170,7 +168,7 @@ def expanded(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n_texts:
 
 
 def compare_buckets(
-    placed: DataFrame, nodes: DataFrame, rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
+    placed: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
 ) -> DataFrame:
     """Links (a, b) between members of one bucket that are in different classes.
 
@@ -183,11 +181,11 @@ def compare_buckets(
 
     def bag(batches: Batches) -> Batches:
         for b in batches:
-            texts = b.column(1).to_pylist()
-            sets = expanded(*bags(texts, size), len(texts)) if texts else []
+            found = b.column(1).to_pylist()
+            sets = expanded(*bags(found, size), len(found)) if found else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "bag"])
 
-    found = rows.select("row", "text").join(members, "row", "left_semi").mapInArrow(bag, "node long, bag binary")
+    found = texts.join(members, "row", "left_semi").mapInArrow(bag, "node long, bag binary")
     found = materialise(found.join(nodes.select("node", "sig"), "node"), "bags")
     sizes = placed.join(found.select("node", F.length("bag").alias("bytes")), "node").groupBy("band").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_NODES)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)), F.lit(1))
@@ -249,7 +247,11 @@ def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
     shared = materialise(shared, "shared_bands")
     heads = keyed.join(shared, "band").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     tested = materialise(likely(heads.distinct(), nodes), "pairs")
-    links = materialise(verify(tested, rows, similarity, size), "links")
+    # the texts of all that share a bucket are fetched once, by one shuffle of the
+    # texts at every size (a broadcast would only suit small tables)
+    sharing = keyed.join(shared.select("band"), "band", "left_semi").select(F.col("node").alias("row")).distinct()
+    texts = materialise(rows.select("row", "text").join(sharing.hint("merge"), "row", "left_semi"), "candidate_texts")
+    links = materialise(verify(tested, texts, similarity, size), "links")
     labels = materialise(components(links, "a", "b"), "labels")
     # buckets whose members are still in several classes
     placed = keyed.join(shared.select("band"), "band", "left_semi").join(labels, "node", "left").select(
@@ -257,7 +259,7 @@ def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
     )
     mixed = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
     placed = materialise(placed.join(mixed, "band"), "mixed_bands")
-    links = links.union(materialise(compare_buckets(placed, nodes, rows, similarity, size), "links"))
+    links = links.union(materialise(compare_buckets(placed, nodes, texts, similarity, size), "links"))
     labels = components(links, "a", "b")
     by_copy = copies.join(labels, "node", "left").select("sha", F.coalesce("label", "node").alias("class"))
     return signed_rows.select("row", "sha").join(by_copy, "sha").select("row", "class")

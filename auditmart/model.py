@@ -17,6 +17,7 @@ CALENDAR_SEASON_ID = "calendar_season_id"
 CREATED_BY_USER_ID = "created_by_user_id"
 AUDIT_OPERATION_ID = "audit_operation_id"
 INTERVIEW_EVENT_ID = "interview_event_id"
+DATE = "date"
 CREATED_DATE = "created_date"
 USER_ID = "user_id"
 APPLICATION_ID = "application_id"
@@ -85,14 +86,27 @@ PROGRAM_SCHEMA = T.StructType(
     ]
 )
 
+INTERVIEW_EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField(INTERVIEW_EVENT_ID, T.LongType()),
+        T.StructField(CALENDAR_SEASON_ID, T.LongType()),
+        T.StructField(DATE, T.DateType()),
+    ]
+)
+
 
 class ContractError(ValueError):
     """A source table misses a column the contract requires."""
 
 
+def src_type(df: DataFrame, name: str) -> T.DataType:
+    return df.schema[name].dataType
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: select by name (case-insensitive, as
-    Spark resolves) and cast to the contract type.  Extra columns are pruned,
+    Spark resolves) and cast to the contract type (a ``timestamp`` column stays an
+    instant where the contract says ``timestamp_ntz``).  Extra columns are pruned,
     which also prunes them from the Parquet ``ReadSchema``."""
     present = {c.lower(): c for c in df.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in present]
@@ -101,5 +115,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     cols: list[Column] = []
     for f in schema.fields:
         src = df[present[f.name.lower()]]
-        cols.append(src.cast(f.dataType).alias(f.name))
+        kind = f.dataType
+        if isinstance(kind, T.TimestampNTZType) and isinstance(src_type(df, present[f.name.lower()]), T.TimestampType):
+            kind = T.TimestampType()  # an instant stays one: a zone-less copy would shift in clock changes
+        cols.append(src.cast(kind).alias(f.name))
     return df.select(*cols)

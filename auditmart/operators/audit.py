@@ -36,9 +36,8 @@ def created_day() -> Column:
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once.  The warehouse does not enforce primary
-    keys; the totals drop the source's join to the program table on the
-    assumption that programs are unique (SURVEY Q19), and this is how a job
-    or a test checks it (an aggregate, no collect of the table)."""
+    keys; this is how a job or a test checks them (an aggregate, no collect of the
+    table)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
@@ -102,6 +101,16 @@ def count_op(audit: DataFrame, code: int, name: str, on_day: bool = False) -> Da
     return audit.where(op_is(code)).groupBy(*K).agg(F.count(value).alias(name))
 
 
+def count_op_by_program(audit: DataFrame, programs: DataFrame, code: int, name: str) -> DataFrame:
+    """A3 / A4: ``count(created_date)`` of one operation per group after the left
+    join to the program table (Q19).  Rows are counted per group first; only the
+    groups meet the program table's row counts, so no raw row is shuffled."""
+    factor = F.coalesce(F.col("_program_rows"), F.lit(1))
+    return count_op(audit, code, name).join(program_multiplicity(programs), m.PROGRAM_ID, "left").select(
+        *K, (F.col(name) * factor).alias(name)
+    )
+
+
 def first_invite_day(audit: DataFrame) -> DataFrame:
     """A5: first day with an invitation per group."""
     return invite_days(audit).groupBy(*K).agg(F.min(m.CREATED_DATE).alias("first_invite_day"))
@@ -155,20 +164,17 @@ def waitlist_signups(audit: DataFrame) -> DataFrame:
 
 def actor_summary(audit: DataFrame) -> DataFrame:
     """One pass over the log per (program, season, actor): first action, first
-    waitlist sign-up with an application, whether the actor ever scheduled an
-    interview, and the actor's invitation counts (for the per-group roll-up).
-    Partial aggregation keeps a hot actor to one row per map task."""
+    waitlist sign-up with an application and whether the actor ever scheduled an
+    interview.  Partial aggregation keeps a hot actor to one row per map task."""
     ts = F.col(m.CREATED_DATE)
     return audit.groupBy(*ACTOR_KEYS).agg(
         F.min(ts).alias(FIRST_ACTION_DATE),
         F.min(F.when(is_waitlist_signup(), ts)).alias(FIRST_WAITLIST_DATE),
         F.max(op_is(m.SIGNUP_INTERVIEW)).alias(HAS_SCHEDULED),
-        F.count(F.when(op_is(m.INVITE), ts)).alias("n_invites"),
-        F.count(F.when(op_is(m.INVITE), F.lit(1))).alias("n_invite_rows"),
     )
 
 
-def first_action_waitlist(audit: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+def first_action_waitlist(audit: DataFrame) -> DataFrame:
     """Applications waitlisted at the moment of the user's first action.
 
     Only actors whose earliest waitlist sign-up equals their first action can
@@ -177,8 +183,7 @@ def first_action_waitlist(audit: DataFrame, summary: DataFrame | None = None) ->
     timestamp): hashing on the timestamp too spreads a hot actor over many
     partitions.  De-duplication after the join equals the source's
     de-duplication before it because the summary is unique per actor."""
-    summary = actor_summary(audit) if summary is None else summary
-    firsts = summary.where(F.col(FIRST_WAITLIST_DATE) == F.col(FIRST_ACTION_DATE)).select(
+    firsts = actor_summary(audit).where(F.col(FIRST_WAITLIST_DATE) == F.col(FIRST_ACTION_DATE)).select(
         *ACTOR_KEYS, F.col(FIRST_ACTION_DATE).alias(WAITLIST_DATE), HAS_SCHEDULED
     )
     signups = audit.where(is_waitlist_signup()).select(

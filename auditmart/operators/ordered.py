@@ -51,6 +51,7 @@ _VAL = "_om_val"
 _KIND = "_om_kind"
 _CARRY = "_om_carry"
 _TOTAL = "_om_total"
+_WEIGHT = "_om_weight"  # null on probes
 
 
 def _key_struct(keys: Sequence[str]) -> Column:
@@ -93,17 +94,22 @@ def ordered_counts(
     count_col: str = "n_before",
     rank_col: str | None = None,
     num_partitions: int | None = None,
+    weight: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """For each ``probe`` row, count ``build`` rows with equal ``keys`` and a
     strictly smaller ``order`` value (``count_col``).  With ``rank_col`` the
     build rows are returned too, numbered 0.. within their key in ``order``
-    (ties in arbitrary order, so tied build rows must be interchangeable).
+    (ties in arbitrary order, so tied build rows must be interchangeable).  With
+    ``weight`` a build row counts that many times (a long column of ``build``).
+    Rows equal in ``keys`` and ``order`` share a range partition, so callers with
+    many ties aggregate them to one weighted row first.
 
     ``keys`` and ``order`` must be non-null on both sides (callers drop rows
     whose null key could never match an equi-join).  ``order`` is a long."""
     keys = list(keys)
     probe_cols = probe.columns
     build_cols = build.columns
+    build = build.withColumn(_WEIGHT, F.lit(1).cast("long") if weight is None else F.col(weight))
     ranged = range_split(probe, build, keys, order, num_partitions)
 
     # (2) running count inside the chunk; groups are bounded by a partition.
@@ -112,7 +118,7 @@ def ordered_counts(
         .orderBy(order, _SIDE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    local = ranged.withColumn(_LOCAL, F.coalesce(F.sum(_SIDE).over(w), F.lit(0)).cast("long"))
+    local = ranged.withColumn(_LOCAL, F.coalesce(F.sum(_WEIGHT).over(w), F.lit(0)).cast("long"))
 
     # (3) one row per partition: first key, last key and the build rows of the
     # last key.  Bounded by the number of range partitions.
@@ -124,7 +130,7 @@ def ordered_counts(
         .join(F.broadcast(bounds.select(_PART, _LAST)), _PART)
         .where(_key_struct(keys) == F.col(_LAST))
         .groupBy(_PART)
-        .agg(F.count(F.lit(1)).alias(_VAL))
+        .agg(F.sum(_WEIGHT).alias(_VAL))
     )
     parts = bounds.join(F.broadcast(last_build), _PART, "left").select(
         _PART, _FIRST, _LAST, F.coalesce(F.col(_VAL), F.lit(0)).alias(_VAL)

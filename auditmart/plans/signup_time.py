@@ -5,44 +5,44 @@ The source joins schedules to waitlist sign-ups on (user, event) keeping
 (user, program, season) keeping "invited earlier" (J9, F6).  The result is a
 bag: one row per (invitation, schedule, waitlist) triple (Q5).
 
-Two exact plans; the choice is made on a measured bound, the way a broadcast
-is chosen on a checked size:
-
-``join``
-    the source's equi-joins with residual inequalities (schedule-waitlist
-    pairs are counted per schedule before the second join).  Its cost is the
-    number of candidate pairs sharing a key, so it runs only when
-    :func:`pair_profile` proves that number small per key and in total.
-
-``ordered`` (no pair enumeration; what a hot user gets)
-    * pass A, :func:`ordered_counts` on (user, event): for every schedule the
-      number of waitlist rows strictly later (an undated waitlist counts for
-      every schedule) = the schedule's multiplicity;
-    * pass B, :func:`ordered_counts` on (user, program, season): for every
-      schedule the number of earlier invitations, for every invitation its
-      rank in time;
-    * a schedule with ``c`` earlier invitations pairs with the invitations
-      of rank 0 .. c-1, fetched in blocks of ``RANK_BLOCK`` ranks by an
-      equi-join on (user, program, season, block) with the residual
-      ``rank < c``; its ``w`` copies are generated after the join.  The
-      shuffles carry input-sized rows only; work is input plus output.
+One plan at every size, over two disjoint sets of keys.  Candidate pairs are
+counted per key; a key with more than ``MAX_PAIRS_PER_KEY`` of them is *hot*.
+
+Cold keys take the source's equi-joins with residual inequalities, the
+schedule-waitlist pairs counted per schedule before the second join.
+
+Hot keys never enumerate candidate pairs:
+
+* rows that agree in key and time are interchangeable, so each side is first
+  aggregated to (key, time) with a count; no ties remain and partial aggregation
+  combines them map-side;
+* pass A, :func:`ordered_counts` on (user, event): for every schedule time the
+  number of waitlist rows strictly later (an undated waitlist counts for every
+  schedule);
+* pass B, :func:`ordered_counts` on (user, program, season): for every schedule
+  time the number of earlier invitation times, for every invitation time its rank;
+* a schedule time with ``c`` earlier invitation times pairs with ranks 0 .. c-1,
+  fetched in blocks of ``RANK_BLOCK`` ranks by an equi-join on (user, program,
+  season, block, salt) with the residual ``rank < c``.  A pair stands for (schedule
+  rows x waitlists x invitation rows) output rows, generated last, in chunks that
+  are dealt out over all tasks.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import model as m
 from ..functions import epoch_micros, seconds_between
 from ..operators.ordered import ordered_counts, with_range
+from ..sources.tables import shared_dir
 
 INVITE_DATE = "invite_date"
 SCHEDULE_DATE = "schedule_date"
 WAITLIST_DATE = "waitlist_date"
 N_WAITLISTS = "n_waitlists"
+N_ROWS = "n_rows"
 N_INVITES_BEFORE = "n_invites_before"
 INVITE_RANK = "invite_rank"
 SIGNUP_TIME = "signup_time"
@@ -51,17 +51,11 @@ _BLOCK = "_rank_block"
 _SALT = "_salt"
 _SALTS = "_salts"
 
-AUTO, JOIN, ORDERED = "auto", "join", "ordered"
-
-log = logging.getLogger(__name__)
-
-# --- fixed values: when the plain equi-join is provably cheap ------------------
-MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs one key (one task) may create
-MAX_PAIRS_PER_ROW = 4  # candidate pairs over all keys, per input row ...
-SMALL_PAIRS = 50_000_000  # ... unless the whole job enumerates fewer than this
-RANK_BLOCK = 256  # invitation ranks fetched per probe row in the ordered plan
-HOT_REQUESTS = 100_000  # requests per (key, block) one task serves before salting
-MAX_HOT_BLOCKS = 1_000_000  # size check before the hot-block list is broadcast
+# --- fixed values ----------------------------------------------------------------
+MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs of a key one task may enumerate
+RANK_BLOCK = 256  # invitation ranks fetched per probe row of a hot key
+REQUESTS_PER_SALT = 100_000  # requests for one (key, block) that one task serves
+CHUNK = 4096  # output rows of one pair that one task generates at a time
 
 _LONG_MIN = -(2**63)
 # Pass A orders by descending time: a waitlist sign-up with an unknown time sorts
@@ -74,7 +68,6 @@ REPORT_COLUMNS = [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SIGNUP_TIME]
 SW_COLUMNS = [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE, N_WAITLISTS]
 
 
-
 def _op() -> Column:
     return F.col(m.AUDIT_OPERATION_ID)
 
@@ -108,52 +101,26 @@ def _invites(audit: DataFrame) -> DataFrame:
     ).select(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, F.col(m.CREATED_DATE).alias(INVITE_DATE))
 
 
-# --- strategy choice ------------------------------------------------------------
+# --- hot and cold keys ------------------------------------------------------------
 
+USER_EVENT = [m.USER_ID, m.INTERVIEW_EVENT_ID]
+USER_GROUP = [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]
 
-def pair_profile(audit: DataFrame) -> dict:
-    """Candidate pairs the plain joins would enumerate: per-key maximum and
-    total for both joins, and the rows involved.  One scan, one grouping-sets
-    aggregate, one row to the driver."""
-    rows = audit.where(_op().isin(m.INVITE, m.SIGNUP_INTERVIEW, m.SIGNUP_WAITLIST) & F.col(m.USER_ID).isNotNull())
-    per_key = rows.groupingSets(
-        [[m.USER_ID, m.INTERVIEW_EVENT_ID], [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]],
-        m.USER_ID, m.INTERVIEW_EVENT_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID,
-    ).agg(
-        F.grouping(m.INTERVIEW_EVENT_ID).alias("_by_group"),
-        F.count(F.when((_op() == m.SIGNUP_INTERVIEW) & _user_event(), 1)).alias("_s_a"),
-        F.count(F.when((_op() == m.SIGNUP_WAITLIST) & _user_event(), 1)).alias("_w_a"),
-        F.count(F.when((_op() == m.INVITE) & _group_keys() & F.col(m.CREATED_DATE).isNotNull(), 1)).alias("_i_b"),
-        F.count(F.when((_op() == m.SIGNUP_INTERVIEW) & _group_keys(), 1)).alias("_s_b"),
-    )
-    pairs = F.when(F.col("_by_group") == 0, F.col("_s_a") * F.col("_w_a")).otherwise(F.col("_i_b") * F.col("_s_b"))
-    involved = F.when(F.col("_by_group") == 0, F.col("_s_a") + F.col("_w_a")).otherwise(F.col("_i_b") + F.col("_s_b"))
-    r = per_key.agg(
-        F.max(pairs).alias("max_pairs"), F.sum(pairs).alias("pairs"), F.sum(involved).alias("rows")
-    ).first()
-    return {k: int(r[k] or 0) for k in ("max_pairs", "pairs", "rows")}
-
-
-def choose_strategy(
-    audit: DataFrame,
-    max_pairs_per_key: int = MAX_PAIRS_PER_KEY,
-    max_pairs_per_row: int = MAX_PAIRS_PER_ROW,
-    small_pairs: int = SMALL_PAIRS,
-) -> str:
-    """``join`` when no key creates more than ``max_pairs_per_key`` candidate
-    pairs and all keys together create at most ``max_pairs_per_row`` per input
-    row or fewer than ``small_pairs``; else ``ordered``."""
-    p = pair_profile(audit)
-    bounded_total = p["pairs"] <= max_pairs_per_row * max(p["rows"], 1) or p["pairs"] <= small_pairs
-    choice = JOIN if p["max_pairs"] <= max_pairs_per_key and bounded_total else ORDERED
-    log.info("signup-time plan %s: max pairs per key %d, pairs %d, rows %d", choice, p["max_pairs"], p["pairs"], p["rows"])
-    return choice
-
-
-def _resolve(audit: DataFrame, strategy: str) -> str:
-    if strategy not in (AUTO, JOIN, ORDERED):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return choose_strategy(audit) if strategy == AUTO else strategy
+
+def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], weight: str | None, max_pairs: float) -> DataFrame:
+    """The ``keys`` whose rows of both sides make more than ``max_pairs`` pairs
+    (a pair counts ``weight`` of its left row).  Counts multiply as doubles, so no
+    product overflows.  Written once, since every consumer reads it."""
+    size = F.count(F.lit(1)) if weight is None else F.sum(F.col(weight).cast("double"))
+    a = left.groupBy(*keys).agg(size.cast("double").alias("_left"))
+    b = right.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_right"))
+    hot = a.join(b, keys).where(F.col("_left") * F.col("_right") > F.lit(float(max_pairs))).select(*keys)
+    shared_dir(left.sparkSession)
+    return hot.checkpoint(eager=True)
+
+
+def _split(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
 
 
 # --- J8 + F5: schedules with their waitlist multiplicity -----------------------------
@@ -164,70 +131,76 @@ def _desc_time(col: str, null_order: int):
     return F.when(ts.isNull(), F.lit(null_order)).otherwise(-epoch_micros(ts)).cast("long")
 
 
-def _sw_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
-    schedules = _schedules(audit).withColumn(_ORDER, _desc_time(SCHEDULE_DATE, _SCHEDULE_NULL_ORDER))
-    waitlists = _waitlists(audit).select(
-        m.USER_ID, m.INTERVIEW_EVENT_ID, _desc_time(WAITLIST_DATE, _WAITLIST_NULL_ORDER).alias(_ORDER)
+def _sw_pairs(schedules: DataFrame, waitlists: DataFrame) -> DataFrame:
+    """J8 + F5 as the source defines it: a row per (schedule, waitlist) pair of
+    the same user and event with the waitlist later or undated."""
+    later = F.col(WAITLIST_DATE).isNull() | (F.col(WAITLIST_DATE) > F.col(SCHEDULE_DATE))
+    return schedules.join(waitlists, USER_EVENT).where(later).select(
+        m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE
+    )
+
+
+def _sw_ordered(schedules: DataFrame, waitlists: DataFrame, num_partitions: int | None) -> DataFrame:
+    """The same pairs as counts per (program, season, user, schedule time)."""
+    probes = schedules.groupBy(*schedules.columns).agg(F.count(F.lit(1)).alias("_schedules")).withColumn(
+        _ORDER, _desc_time(SCHEDULE_DATE, _SCHEDULE_NULL_ORDER)
+    )
+    builds = waitlists.groupBy(*USER_EVENT, _desc_time(WAITLIST_DATE, _WAITLIST_NULL_ORDER).alias(_ORDER)).agg(
+        F.count(F.lit(1)).alias("_waitlists")
     )
     counted, _ = ordered_counts(
-        schedules, waitlists, [m.USER_ID, m.INTERVIEW_EVENT_ID], _ORDER, count_col=N_WAITLISTS,
-        num_partitions=num_partitions,
+        probes, builds, USER_EVENT, _ORDER, count_col="_later", weight="_waitlists", num_partitions=num_partitions
     )
-    return counted.where(F.col(N_WAITLISTS) > 0).select(*SW_COLUMNS)
+    pairs = (F.col("_schedules") * F.col("_later")).alias(N_WAITLISTS)
+    return counted.where(F.col("_later") > 0).select(*SW_COLUMNS[:-1], pairs)
 
 
-def _sw_pairs(audit: DataFrame) -> DataFrame:
-    """J8 + F5 as the source writes it: one row per (schedule, waitlist) pair
-    of the same user and event with the waitlist later or undated."""
-    later = F.col(WAITLIST_DATE).isNull() | (F.col(WAITLIST_DATE) > F.col(SCHEDULE_DATE))
-    return (
-        _schedules(audit)
-        .join(_waitlists(audit), [m.USER_ID, m.INTERVIEW_EVENT_ID])
-        .where(later)
-        .select(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE)
-    )
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy(*SW_COLUMNS[:-1]).agg(F.count(F.lit(1)).alias(N_WAITLISTS)).select(*SW_COLUMNS)
 
 
-def _sw_join(audit: DataFrame) -> DataFrame:
-    return (
-        _sw_pairs(audit)
-        .groupBy(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE)
-        .agg(F.count(F.lit(1)).alias(N_WAITLISTS))
-        .select(*SW_COLUMNS)
-    )
+def schedules_with_waitlists(
+    audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_KEY, num_partitions: int | None = None
+) -> DataFrame:
+    """J8 + F5 as counts: (program, season, user, schedule_date) with the number of
+    matching (schedule, waitlist) pairs.  A bag after expanding ``n_waitlists``."""
+    cold, hot = _sw_parts(audit, max_pairs, num_partitions)
+    return _counted(cold) if hot is None else _counted(cold).unionByName(hot)
 
 
-def schedules_with_waitlists(audit: DataFrame, strategy: str = AUTO, num_partitions: int | None = None) -> DataFrame:
-    """J8 + F5 as counts: (program, season, user, schedule_date) with the
-    number of matching waitlist sign-ups (later or undated, same user and
-    event).  A bag after expanding ``n_waitlists``."""
-    if _resolve(audit, strategy) == JOIN:
-        return _sw_join(audit)
-    return _sw_ordered(audit, num_partitions)
+def _sw_parts(audit: DataFrame, max_pairs: float, num_partitions: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs of the cold keys and counted pairs of the hot keys (None if no
+    key is hot)."""
+    schedules, waitlists = _schedules(audit), _waitlists(audit)
+    hot = hot_keys(schedules, waitlists, USER_EVENT, None, max_pairs)
+    if hot.isEmpty():
+        return _sw_pairs(schedules, waitlists), None
+    (cold_s, hot_s), (cold_w, hot_w) = (_split(df, hot, USER_EVENT) for df in (schedules, waitlists))
+    return _sw_pairs(cold_s, cold_w), _sw_ordered(hot_s, hot_w, num_partitions)
 
 
-def schedule_before_waitlist(audit: DataFrame, strategy: str = AUTO) -> DataFrame:
+def schedule_before_waitlist(
+    audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_KEY, num_partitions: int | None = None
+) -> DataFrame:
     """J8 output as the source materialises it: one (program, season, user,
     schedule_date) row per matching waitlist sign-up."""
-    if _resolve(audit, strategy) == JOIN:
-        return _sw_pairs(audit)
-    counted = _sw_ordered(audit, None)
-    return with_range(counted, N_WAITLISTS, "_copy").select(
-        m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, SCHEDULE_DATE
-    )
+    cold, hot = _sw_parts(audit, max_pairs, num_partitions)
+    return cold if hot is None else cold.unionByName(_copies(hot, F.col(N_WAITLISTS)).select(*SW_COLUMNS[:-1]))
+
+
+def _copies(df: DataFrame, n: Column) -> DataFrame:
+    """Every row ``n`` times.  Rows are first split into chunks of ``CHUNK``
+    copies, and the chunks are dealt out over all tasks before they are filled."""
+    chunks = with_range(df.withColumn("_n", n), F.ceil(F.col("_n") / F.lit(CHUNK)).cast("long"), "_chunk").repartition()
+    size = F.least(F.lit(CHUNK).cast("long"), F.col("_n") - F.col("_chunk") * F.lit(CHUNK))
+    return with_range(chunks, size, "_copy").select(*df.columns)
 
 
 # --- J9 + F6 + E4: the report ---------------------------------------------------------
 
 
-def _report_join(audit: DataFrame) -> DataFrame:
-    """J9 + F6 on schedules carrying their waitlist multiplicity (the pairs of
-    J8 aggregated per schedule), then one output row per multiplicity."""
-    sw = _sw_join(audit).where(_group_keys() & F.col(SCHEDULE_DATE).isNotNull())
-    pairs = _invites(audit).join(sw, [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]).where(
-        F.col(INVITE_DATE) < F.col(SCHEDULE_DATE)
-    )
-    return with_range(pairs, N_WAITLISTS, "_copy").select(
+def _result(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
         m.PROGRAM_ID,
         m.CALENDAR_SEASON_ID,
         m.USER_ID,
@@ -235,73 +208,68 @@ def _report_join(audit: DataFrame) -> DataFrame:
     )
 
 
-def _report_ordered(audit: DataFrame, num_partitions: int | None) -> DataFrame:
-    keys = [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]
-    schedules = (
-        _sw_ordered(audit, num_partitions)
-        .where(_group_keys() & F.col(SCHEDULE_DATE).isNotNull())
-        .withColumn(_ORDER, epoch_micros(SCHEDULE_DATE))
+def _report_cold(invites: DataFrame, sw: DataFrame) -> DataFrame:
+    """J9 + F6 on schedules carrying their waitlist multiplicity, then one output
+    row per multiplicity."""
+    pairs = invites.join(sw, USER_GROUP).where(F.col(INVITE_DATE) < F.col(SCHEDULE_DATE))
+    return _result(with_range(pairs, N_WAITLISTS, "_copy"))
+
+
+def _report_hot(invites: DataFrame, sw: DataFrame, num_partitions: int | None) -> DataFrame:
+    probes = sw.groupBy(*USER_GROUP, SCHEDULE_DATE).agg(F.sum(N_WAITLISTS).alias(N_WAITLISTS)).withColumn(
+        _ORDER, epoch_micros(SCHEDULE_DATE)
+    )
+    builds = invites.groupBy(*USER_GROUP, INVITE_DATE).agg(F.count(F.lit(1)).alias(N_ROWS)).withColumn(
+        _ORDER, epoch_micros(INVITE_DATE)
     )
-    invites = _invites(audit).withColumn(_ORDER, epoch_micros(INVITE_DATE))
     counted, ranked = ordered_counts(
-        schedules, invites, keys, _ORDER, count_col=N_INVITES_BEFORE, rank_col=INVITE_RANK,
+        probes, builds, USER_GROUP, _ORDER, count_col=N_INVITES_BEFORE, rank_col=INVITE_RANK,
         num_partitions=num_partitions,
     )
-    # A schedule pairs with the invitations ranked 0 .. c-1 of its key.  They
-    # are fetched in blocks of RANK_BLOCK ranks: one probe row per block, an
-    # equi-join on (key, block) and the residual rank < c.  Only input-sized
-    # rows cross the shuffle (ceil(c / RANK_BLOCK) per schedule); the output
-    # rows are generated after the join, and fewer than RANK_BLOCK candidates
-    # per schedule are discarded.
+    # A schedule time pairs with the invitation times ranked 0 .. c-1 of its key,
+    # fetched in blocks of RANK_BLOCK ranks: one probe row per block, an equi-join on
+    # (key, block, salt) and the residual rank < c.  Only input-sized rows cross the
+    # shuffle, and fewer than RANK_BLOCK candidates per schedule time are discarded.
     c = F.col(N_INVITES_BEFORE)
-    n_blocks = ((c + F.lit(RANK_BLOCK - 1)) / F.lit(RANK_BLOCK)).cast("long")
+    n_blocks = F.ceil(c / F.lit(RANK_BLOCK)).cast("long")
     probe_blocks = with_range(counted.where(c > 0), n_blocks, _BLOCK)
     invite_blocks = ranked.select(
-        *keys, INVITE_RANK, INVITE_DATE, (F.col(INVITE_RANK) / F.lit(RANK_BLOCK)).cast("long").alias(_BLOCK)
-    )
-    pairs = _block_join(probe_blocks, invite_blocks, keys).where(F.col(INVITE_RANK) < c)
-    return with_range(pairs, N_WAITLISTS, "_copy").select(
-        m.PROGRAM_ID,
-        m.CALENDAR_SEASON_ID,
-        m.USER_ID,
-        seconds_between(INVITE_DATE, SCHEDULE_DATE).alias(SIGNUP_TIME),
+        *USER_GROUP, INVITE_RANK, INVITE_DATE, N_ROWS, F.floor(F.col(INVITE_RANK) / F.lit(RANK_BLOCK)).cast("long").alias(_BLOCK)
     )
+    pairs = _block_join(probe_blocks, invite_blocks, USER_GROUP).where(F.col(INVITE_RANK) < c)
+    return _result(_copies(pairs, F.col(N_WAITLISTS) * F.col(N_ROWS)))
 
 
 def _block_join(probe_blocks: DataFrame, invite_blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Join schedule block requests to invitation blocks on (key, block).
 
-    All schedules of a hot user request its block 0, so that join key can
-    gather a third of the requests.  Requests per (key, block) are counted
-    with map-side partial aggregation. Blocks with more than ``HOT_REQUESTS``
-    requests are split: their requests are spread over ``ceil(n /
-    HOT_REQUESTS)`` salts by a hash of the request, and the block's invitations
-    (at most ``RANK_BLOCK`` rows) are replicated once per salt.  The hot list
-    is broadcast only after its size is checked (``MAX_HOT_BLOCKS``); beyond
-    that the plain join is left to AQE skew-join splitting."""
+    All schedules of a hot user request its block 0.  The requests of a (key,
+    block) are counted (partial aggregation) and spread by a hash of the request
+    over one salt per ``REQUESTS_PER_SALT`` of them; a block (at most ``RANK_BLOCK``
+    rows) is copied once per salt.  Requests differ in their time, so the salts
+    fill evenly.  The counts join like any table; Spark picks the join by size."""
     join_keys = [*keys, _BLOCK]
-    demand = probe_blocks.groupBy(*join_keys).agg(F.count(F.lit(1)).alias("_requests"))
-    hot = demand.where(F.col("_requests") > HOT_REQUESTS).select(
-        *join_keys, F.ceil(F.col("_requests") / F.lit(HOT_REQUESTS)).cast("int").alias(_SALTS)
+    salts = probe_blocks.groupBy(*join_keys).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(REQUESTS_PER_SALT)).cast("int").alias(_SALTS)
     )
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > MAX_HOT_BLOCKS:
-        log.info("signup-time block join: %d hot (key, block), %s", n_hot, "plain" if n_hot == 0 else "left to AQE")
-        return probe_blocks.join(invite_blocks, join_keys)
-    log.info("signup-time block join: %d hot (key, block) salted", n_hot)
-    hot_b = F.broadcast(hot)
-    salts = F.coalesce(F.col(_SALTS), F.lit(1))
-    probes = probe_blocks.join(hot_b, join_keys, "left").withColumn(
-        _SALT, F.pmod(F.xxhash64(*[F.col(c) for c in probe_blocks.columns]), salts).cast("int")
+    probes = probe_blocks.join(salts, join_keys).withColumn(
+        _SALT, F.pmod(F.xxhash64(*[F.col(c) for c in probe_blocks.columns]), F.col(_SALTS)).cast("int")
     )
-    invites = invite_blocks.join(hot_b, join_keys, "left").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), salts - 1))
+    invites = invite_blocks.join(salts, join_keys).withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))
     )
     return probes.drop(_SALTS).join(invites.drop(_SALTS), [*join_keys, _SALT]).drop(_SALT)
 
 
-def report(audit: DataFrame, strategy: str = AUTO, num_partitions: int | None = None) -> DataFrame:
+def report(audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_KEY, num_partitions: int | None = None) -> DataFrame:
     """(program, season, user, signup_time seconds), a bag."""
-    if _resolve(audit, strategy) == JOIN:
-        return _report_join(audit)
-    return _report_ordered(audit, num_partitions)
+    invites = _invites(audit)
+    # at most a row per schedule time; the key counts and the join both read it
+    sw = schedules_with_waitlists(audit, max_pairs, num_partitions).where(
+        _group_keys() & F.col(SCHEDULE_DATE).isNotNull()
+    ).checkpoint(eager=True)
+    hot = hot_keys(sw, invites, USER_GROUP, N_WAITLISTS, max_pairs)
+    if hot.isEmpty():
+        return _report_cold(invites, sw)
+    (cold_i, hot_i), (cold_sw, hot_sw) = (_split(df, hot, USER_GROUP) for df in (invites, sw))
+    return _report_cold(cold_i, cold_sw).unionByName(_report_hot(hot_i, hot_sw, num_partitions))

@@ -2,10 +2,11 @@
 
 Plan (SURVEY §4 item 2):
 
+* invitations are counted per (program, season) in a scan of their own that
+  reads three columns of the invitation rows only (a few rows per task leave it);
 * one aggregate per (program, season, actor) gives the first action, the
-  first waitlist sign-up, a "scheduled an interview" flag and the invitation
-  counts.  It is checkpointed once and read by both the invitation roll-up and
-  the first-action join, so the log is aggregated once;
+  first waitlist sign-up and a "scheduled an interview" flag; it has one consumer,
+  so nothing is materialised and the report stays lazy;
 * waitlist sign-ups are joined to the actors whose first action was a waitlist
   sign-up (J5) on four keys, timestamp included;
 * the scheduled test (J6) is the flag from the same aggregate instead of a
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 from .. import model as m
 from ..functions import nvl_zero, percent
 from ..operators import audit as ops
-from ..sources.tables import shared_dir
 
 K = m.GROUP_KEYS
 
@@ -47,17 +47,6 @@ REPORT_COLUMNS = [
 ]
 
 
-def invites_from_summary(summary: DataFrame) -> DataFrame:
-    """A7 rolled up from the per-actor summary: groups that have at least one
-    invitation row, counting invitations with a timestamp."""
-    return (
-        summary.groupBy(*K)
-        .agg(F.sum("n_invites").alias("total_invites"), F.sum("n_invite_rows").alias("_rows"))
-        .where(F.col("_rows") > 0)
-        .drop("_rows")
-    )
-
-
 def waitlist_measures(faw: DataFrame, states: DataFrame) -> DataFrame:
     """A9-A13 per (program, season) from first-action waitlist rows."""
     joined = faw.join(ops.state_counts(states), m.APPLICATION_ID, "left")
@@ -73,50 +62,10 @@ def waitlist_measures(faw: DataFrame, states: DataFrame) -> DataFrame:
 
 
 def base(audit: DataFrame, states: DataFrame) -> DataFrame:
-    """J3 + E1: the waitlist base table."""
-    # Two consumers read the per-actor summary and each keeps only the columns
-    # it needs, so Catalyst would plan (and scan the log for) it twice.  It is
-    # an aggregate, far smaller than the log: materialise it once in the
-    # checkpoint folder (lineage cut, nothing recomputed on executor loss).
-    shared_dir(audit.sparkSession)
-    summary = ops.actor_summary(audit).checkpoint(eager=True)
-    faw = ops.first_action_waitlist(audit, summary)
-    joined = invites_from_summary(summary).join(waitlist_measures(faw, states), K, "left")
-    return joined.select(*K, *[nvl_zero(c).cast("long").alias(c) for c in MEASURES])
-
-
-def base_from_parts(audit: DataFrame, states: DataFrame) -> DataFrame:
-    """J3 as the source composes it (five measure tables left-joined to the
-    invitation totals).  Readable specification, used in equivalence tests."""
-    faw = ops.first_action_waitlist(audit)
-    scheduled = ops.scheduled_users(audit)
-    wis = ops.waitlisted_scheduled_users(faw, scheduled)
-    joined = (
-        ops.count_op(audit, m.INVITE, "total_invites")
-        .join(ops.count_by_group(faw, m.APPLICATION_ID, "total_waitlisted"), K, "left")
-        .join(ops.count_by_group(wis, m.CREATED_BY_USER_ID, "total_waitlisted_to_scheduled"), K, "left")
-        .join(
-            ops.waitlisted_to_state(
-                faw, ops.application_states(states, [m.STATUS_COMPLETED]), "total_waitlisted_to_completed"
-            ),
-            K,
-            "left",
-        )
-        .join(
-            ops.waitlisted_to_state(
-                faw, ops.application_states(states, m.STATUS_CANCELED_OR_MISSED), "total_waitlisted_to_canceled"
-            ),
-            K,
-            "left",
-        )
-        .join(
-            ops.waitlisted_to_state(
-                faw, ops.application_states(states, [m.STATUS_WITHDRAWN]), "total_waitlisted_to_withdrawn"
-            ),
-            K,
-            "left",
-        )
-    )
+    """J3 + E1: the waitlist base table; the invitation groups decide which rows
+    exist (Q7)."""
+    invites = ops.count_op(audit, m.INVITE, "total_invites")
+    joined = invites.join(waitlist_measures(ops.first_action_waitlist(audit), states), K, "left")
     return joined.select(*K, *[nvl_zero(c).cast("long").alias(c) for c in MEASURES])
 
 

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import jobs
 from . import model as m
 from .functions import nvl_zero, percent, round_div, seconds_between
 from .operators import audit as ops
@@ -64,13 +65,13 @@ def q_warehouse_denormalize(spark, sf_dir):
 
 
 def q_staging_incremental(spark, sf_dir):
-    """Initial load of the log up to the season cut-off, then one incremental
-    load from the whole source: only newer rows are appended."""
+    """Initial load of the log up to the season cut-off, then two incremental
+    loads from the whole source: every row is staged once."""
     source = read_table(spark, dt.table_path(sf_dir, "events"))
     target = scratch_path(spark, "staging/events")
     cutoff = F.lit(dt.SEASON_CUTOFF).cast("timestamp_ntz")
-    incremental_load(spark, source.where(F.col("ts") < cutoff), target, "ts")
-    incremental_load(spark, source, target, "ts")
+    for part in (source.where(F.col("ts") < cutoff), source, source):
+        incremental_load(spark, part, target, ["event_id"])
     return read_table(spark, target)
 
 
@@ -86,6 +87,16 @@ def q_staging_incremental_stream(spark, sf_dir):
     return read_table(spark, target)
 
 
+def q_interview_events(spark, sf_dir):
+    return m.conform(dt.interview_event_dim(spark, sf_dir), m.INTERVIEW_EVENT_SCHEMA)
+
+
+def q_warehouse_pipeline(spark, sf_dir):
+    """Stage the source tables, build the stored warehouse tables, and compute
+    R1 from them."""
+    return jobs.pipeline_report(spark, sf_dir, scratch_path(spark, "pipeline"))
+
+
 # --- projections / filters -------------------------------------------------------
 
 
@@ -121,13 +132,11 @@ def q_total_invites(spark, sf_dir):
 
 
 def q_total_withdraw(spark, sf_dir):
-    enriched = ops.with_specialty(audit(spark, sf_dir), programs(spark, sf_dir))
-    return ops.count_op(enriched, m.WITHDRAW, "total_withdraw")
+    return ops.count_op_by_program(audit(spark, sf_dir), programs(spark, sf_dir), m.WITHDRAW, "total_withdraw")
 
 
 def q_total_cancel(spark, sf_dir):
-    enriched = ops.with_specialty(audit(spark, sf_dir), programs(spark, sf_dir))
-    return ops.count_op(enriched, m.CANCEL_INTERVIEW, "total_cancel")
+    return ops.count_op_by_program(audit(spark, sf_dir), programs(spark, sf_dir), m.CANCEL_INTERVIEW, "total_cancel")
 
 
 def q_first_invite_day(spark, sf_dir):
@@ -322,6 +331,8 @@ QUERIES: dict[str, Query] = {
     "warehouse_denormalize": q_warehouse_denormalize,
     "staging_incremental": q_staging_incremental,
     "staging_incremental_stream": q_staging_incremental_stream,
+    "interview_events": q_interview_events,
+    "warehouse_pipeline": q_warehouse_pipeline,
     "expr_nvl_zero": q_expr_nvl_zero,
     "expr_round_div": q_expr_round_div,
     "expr_percent": q_expr_percent,

@@ -85,6 +85,16 @@ def application_state_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interview_event_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """interview_event_dim from ``orders``: one interview day per event."""
+    o = raw(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").cast("bigint").alias(m.INTERVIEW_EVENT_ID),
+        (F.lit(1) + F.col("o_custkey") % 2).cast("bigint").alias(m.CALENDAR_SEASON_ID),
+        F.col("o_orderdate").cast("date").alias(m.DATE),
+    )
+
+
 def program_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """program_fact from ``nation``."""
     n = raw(spark, sf_dir, "nation")

@@ -17,6 +17,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_SCRATCH: set[str] = set()  # applications whose scratch folder exists
 WRITE_MODES = ("append", "overwrite", "error", "errorifexists", "ignore")
 
 
@@ -134,14 +135,18 @@ def write_clustered(
     mode: str = "append",
     fmt: str = "parquet",
 ) -> None:
-    """S2 on write: persist the distribution / sort key as Spark bucketing so
-    that later joins and aggregations on ``distkey`` read co-partitioned
-    buckets without a shuffle."""
+    """S2 on write: persist the layout as Spark bucketing on the distribution
+    key and the compound sort key together, sorted inside the buckets, so a hot
+    distribution key (a program holding a third of the log) is spread over the
+    buckets by its other keys.  Rows are dealt to tasks the way buckets are, so
+    each bucket is one file; aggregations on the whole key need no shuffle."""
+    keys = list(dict.fromkeys([distkey, *sortkeys]))
     (
-        df.write.format(fmt)
+        df.repartition(num_buckets, *keys)
+        .write.format(fmt)
         .mode(mode)
-        .bucketBy(num_buckets, distkey)
-        .sortBy(*sortkeys)
+        .bucketBy(num_buckets, *keys)
+        .sortBy(*keys)
         .saveAsTable(table)
     )
 
@@ -174,5 +179,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never reused location under :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/auditmart/{purpose}/{uuid.uuid4().hex}"
+    """A fresh, never reused location under :func:`shared_dir`.  Everything
+    below the application's scratch folder is deleted when the driver's JVM ends,
+    so no copy outlives its job."""
+    base = f"{shared_dir(spark)}/auditmart-{_application(spark)}"
+    return f"{base}/{purpose}/{uuid.uuid4().hex}"
+
+
+def _application(spark: SparkSession) -> str:
+    """The application id; on the first call its scratch folder is made and
+    handed to the file system for deletion at exit."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's folder is cleaned there
+        return "connect"
+    app = sc.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH.add(app)
+        folder = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/auditmart-{app}")
+        files = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return app

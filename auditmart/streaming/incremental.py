@@ -1,7 +1,7 @@
 """W2 as a Structured Streaming job: incremental staging of new source files.
 
-The batch form (:func:`auditmart.sources.staging.incremental_load`) needs a
-monotone timestamp column.  Where sources land as files, Spark's file stream
+The batch form (:func:`auditmart.sources.staging.incremental_load`) compares
+keys with the target.  Where sources land as files, Spark's file stream
 source is the idiomatic incremental load: the checkpoint remembers which files
 were staged, so every file is copied exactly once, reruns are idempotent and a
 lost executor only repeats the unfinished micro-batch.  ``availableNow`` runs
@@ -15,7 +15,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..sources.staging import TEXT_LIMIT, staging_projection
+from ..sources.staging import staging_projection
+
+# A file is staged however old its modification time is.  Spark's default forgets
+# (and skips) files a week older than the newest one.
+MAX_FILE_AGE = "36500d"
 
 
 def single_file_glob(path: str) -> str:
@@ -32,16 +36,16 @@ def start_staging_stream(
     target: str,
     checkpoint_location: str,
     fmt: str = "parquet",
-    text_limit: int = TEXT_LIMIT,
+    text_limits: dict[str, int] | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Stage every new file under ``source`` (a directory or glob) into
-    ``target`` with the W0 projection (binary dropped, text cut)."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    ``target`` with the W0 projection (binary dropped, named text columns cut)."""
+    reader = spark.readStream.schema(schema).format(fmt).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    staged = staging_projection(reader.load(source), text_limit)
+    staged = staging_projection(reader.load(source), text_limits)
     writer = (
         staged.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_location)

@@ -296,4 +296,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     kept = rows.select("row", doc_id.isNull().alias("none"), doc_id.alias("id")).join(classes(texts), "row").groupBy(
         "class"
     ).agg(F.min(F.struct("none", "id", "row")).alias("first")).select("first.row")
-    return rows.join(kept, "row", "left_semi").select("whole.*")
+    return rows.join(kept.hint("merge"), "row", "left_semi").select("whole.*")

@@ -236,7 +236,7 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAM
     spans = judge(found, model).where("is_secret").groupBy("_id").agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")  # one document's own findings
     )
-    joined = rows.join(spans, "_id", "left")
+    joined = rows.join(spans.hint("merge"), "_id", "left")
     # pieces between the secrets, then the rest; offsets count code points
     text = F.aggregate(
         "_spans",

@@ -278,7 +278,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                 yield _named([(k, lane.lane, order, keys) for k, keys in found])
 
     one = materialise(answers(laid.mapInArrow(first, _NAMED), _compare_singles, n), "first_answers")
-    answered = laid.join(one.withColumnRenamed("replies", "first"), "lane", "left")
+    # the lanes move the same way at every size, whatever the answers would allow
+    answered = laid.join(one.withColumnRenamed("replies", "first").hint("merge"), "lane", "left")
 
     def second(batches: Batches) -> Batches:
         for b in batches:
@@ -296,7 +297,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                 found.settle(replies)
                 yield _result(lane, found.finish(more))
 
-    return answered.join(two.withColumnRenamed("replies", "second"), "lane", "left").mapInArrow(
+    return answered.join(two.withColumnRenamed("replies", "second").hint("merge"), "lane", "left").mapInArrow(
         finish,
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         "spans array<struct<start:bigint,end:bigint>>",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from auditmart.operators.audit import duplicate_keys
 from auditmart.queries import programs, states
 from auditmart.sources import TableRef, cluster, read_table, scratch_path, write_clustered, write_table
-from auditmart.sources.staging import denormalize, high_watermark, incremental_load, staging_projection
+from auditmart.sources.staging import denormalize, existing_table, incremental_load, staging_projection
 from conftest import SF
 
 
@@ -40,24 +40,38 @@ def test_cluster_is_bag_equal_and_sorted(spark):
         assert b <= c2
 
 
-def test_write_clustered_buckets(spark, tmp_path):
-    df = spark.createDataFrame([(i % 5, i) for i in range(50)], "program_id long, n long")
-    name = "auditmart_bucket_test"
+def test_write_clustered_one_file_a_bucket_and_hot_program_spread(spark):
+    """40 tasks, one program with nine tenths of the rows: a file per bucket, and
+    the program is spread over most of them."""
+    df = spark.range(0, 4000, 1, 40).selectExpr(
+        "IF(id % 10 = 0, id % 7, 99) AS program_id", "id % 2 AS calendar_season_id", "id % 50 AS day"
+    )
+    name, keys = "auditmart_bucket_test", ["program_id", "calendar_season_id", "day"]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    write_clustered(df, name, "program_id", ["program_id", "n"], num_buckets=4, mode="overwrite")
+    write_clustered(df, name, "program_id", keys, num_buckets=8, mode="overwrite")
     back = spark.table(name)
     assert bag(back) == bag(df)
-    agg_plan = back.groupBy("program_id").count()._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in agg_plan  # buckets co-locate the key
+    assert len(back.inputFiles()) <= 8
+    hot = back.where("program_id = 99").select(F.input_file_name()).distinct().count()
+    assert hot >= 6
+    agg_plan = back.groupBy(*keys).count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in agg_plan  # buckets co-locate the whole key
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_staging_projection_drops_binary_and_truncates(spark):
-    df = spark.createDataFrame([(1, "x" * 1500, bytearray(b"\x00\x01"), 2.5)], "id long, t string, b binary, d double")
-    out = staging_projection(df)
-    assert out.columns == ["id", "t", "d"]
-    assert len(out.first()["t"]) == 1000
-    assert len(staging_projection(df, text_limit=None).first()["t"]) == 1500
+def test_staging_projection_drops_binary_and_cuts_named_columns_only(spark):
+    import pytest
+
+    df = spark.createDataFrame(
+        [(1, "x" * 1500, "y" * 1500, bytearray(b"\x00\x01"), 2.5)], "id long, t string, u string, b binary, d double"
+    )
+    whole = staging_projection(df)
+    assert whole.columns == ["id", "t", "u", "d"]
+    assert (len(whole.first()["t"]), len(whole.first()["u"])) == (1500, 1500)
+    cut = staging_projection(df, {"t": 1000}).first()
+    assert (len(cut["t"]), len(cut["u"])) == (1000, 1500)
+    with pytest.raises(ValueError):
+        staging_projection(df, {"d": 3})
 
 
 def test_denormalize_keeps_all_children(spark):
@@ -68,30 +82,89 @@ def test_denormalize_keeps_all_children(spark):
     assert bag(out) == Counter([(1, 10, 100), (2, 20, 200), (3, 30, None)])
 
 
-def test_incremental_load_only_appends_newer_rows(spark):
-    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(10)]
-    src = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+def staged_ids(spark, target):
+    return sorted(r["id"] for r in read_table(spark, target).collect())
+
+
+def test_incremental_load_stages_late_tied_and_undated_rows_once(spark):
+    at = dt.datetime(2024, 1, 1)
+    first = [(1, at), (2, at + dt.timedelta(hours=5)), (3, None)]
+    later = first + [(4, at + dt.timedelta(hours=5)), (5, at - dt.timedelta(days=9)), (6, None), (7, at + dt.timedelta(hours=6))]
+    schema = "id long, ts timestamp_ntz"
     target = scratch_path(spark, "test/incremental")
-    assert high_watermark(spark, target, "ts") is None
-    incremental_load(spark, src.where("id < 4"), target, "ts")
-    wm = incremental_load(spark, src, target, "ts")
-    assert wm == "2024-01-01 03:00:00"
-    incremental_load(spark, src, target, "ts")  # nothing new: idempotent
-    assert sorted(r["id"] for r in read_table(spark, target).collect()) == list(range(10))
-
-
-def test_incremental_load_is_time_zone_independent(spark):
-    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i, microseconds=7)) for i in range(10)]
-    src = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
-    target = scratch_path(spark, "test/incremental_tz")
+    assert existing_table(spark, target) is None
+    for rows in (first, later, later):
+        incremental_load(spark, spark.createDataFrame(rows, schema), target, ["id"])
+    assert staged_ids(spark, target) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_incremental_load_pruned_by_an_ordered_timestamp(spark):
+    """A source that only adds newer or equal timestamps: the scan is pruned to
+    the watermark, ties and undated rows are still staged once."""
+    at = dt.datetime(2024, 1, 1)
+    rows = [(i, at + dt.timedelta(hours=i // 2)) for i in range(10)] + [(10, None)]
+    schema = "id long, ts timestamp_ntz"
+    target = scratch_path(spark, "test/incremental_ordered")
+    for upto in (3, 6, 11, 11):
+        incremental_load(spark, spark.createDataFrame(rows[:upto], schema), target, ["id"], ts_col="ts")
+    assert staged_ids(spark, target) == list(range(11))
+
+
+def test_incremental_load_only_undated_rows_and_the_autumn_hour(spark):
+    """Instants around the hour that New York's clocks repeat, over three runs."""
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
-        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        incremental_load(spark, src.where("id < 4"), target, "ts")
-        incremental_load(spark, src, target, "ts")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        base = spark.range(6).selectExpr(
+            "id", "IF(id = 5, NULL, timestamp_seconds(1730610000 + id * 1800)) AS ts"  # 2024-11-03 05:00 UTC on
+        )
+        for ts_col in (None, "ts"):
+            target = scratch_path(spark, "test/incremental_autumn")
+            incremental_load(spark, base.where("id = 5"), target, ["id"], ts_col=ts_col)
+            for upto in (2, 4, 6, 6):
+                incremental_load(spark, base.where(f"id < {upto}"), target, ["id"], ts_col=ts_col)
+            assert staged_ids(spark, target) == list(range(6))
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert sorted(r["id"] for r in read_table(spark, target).collect()) == list(range(10))
+
+
+def test_mistyped_target_is_an_error(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        existing_table(spark, TableRef("no_such_database.events.x.y", catalog=True))
+
+
+def test_stream_stages_old_files(spark, tmp_path):
+    """A file that lands with an old modification time is staged too."""
+    import os
+    import shutil
+    import time
+
+    from auditmart.streaming import stage_new_files
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    source = f"{SF['0.001']}/events.parquet"
+    schema, n = read_table(spark, source).schema, read_table(spark, source).count()
+    base = scratch_path(spark, "test/stream_old")
+    for i, age in enumerate((0, 30)):
+        path = landing / f"part-{i}.parquet"
+        shutil.copy(source, path)
+        os.utime(path, (time.time() - age * 86400,) * 2)
+        stage_new_files(spark, str(landing), schema, f"{base}/table", f"{base}/_checkpoint")
+        assert read_table(spark, f"{base}/table").count() == (i + 1) * n
+
+
+def test_scratch_folder_is_handed_over_for_deletion(spark):
+    path = scratch_path(spark, "test/cleanup")
+    root = path.split("/test/cleanup/")[0]
+    assert root.endswith(spark.sparkContext.applicationId)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert files.cancelDeleteOnExit(folder)  # it was registered
+    assert files.deleteOnExit(folder)
 
 
 def test_catalog_table_roundtrip(spark):
@@ -161,7 +234,11 @@ def test_stage_tables_copies_every_source_table(spark):
         src, dst = read_table(spark, sources[n]), read_table(spark, staged[n])
         assert dst.count() == src.count() and dst.columns == src.columns
     longest = read_table(spark, staged["documents"]).selectExpr("max(length(text)) AS m").first()["m"]
-    assert longest <= 1000
+    assert longest == read_table(spark, sources["documents"]).selectExpr("max(length(text)) AS m").first()["m"]
+    cut = stage_tables(
+        spark, {"documents": sources["documents"]}, scratch_path(spark, "test/staging_cut"), {"documents": {"text": 1000}}
+    )
+    assert read_table(spark, cut["documents"]).selectExpr("max(length(text)) AS m").first()["m"] == 1000
 
 
 def test_streaming_staging_picks_up_only_new_files(spark, tmp_path):

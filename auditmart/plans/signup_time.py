@@ -191,7 +191,8 @@ def schedule_before_waitlist(
 def _copies(df: DataFrame, n: Column) -> DataFrame:
     """Every row ``n`` times.  Rows are first split into chunks of ``CHUNK``
     copies, and the chunks are dealt out over all tasks before they are filled."""
-    chunks = with_range(df.withColumn("_n", n), F.ceil(F.col("_n") / F.lit(CHUNK)).cast("long"), "_chunk").repartition()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = with_range(df.withColumn("_n", n), F.ceil(F.col("_n") / F.lit(CHUNK)).cast("long"), "_chunk").repartition(tasks)
     size = F.least(F.lit(CHUNK).cast("long"), F.col("_n") - F.col("_chunk") * F.lit(CHUNK))
     return with_range(chunks, size, "_copy").select(*df.columns)
 

@@ -1,5 +1,4 @@
-"""Golden rows: fixtures A and B, both the fused plans and the source-shaped
-compositions (``base_from_parts``)."""
+"""Golden rows: fixtures A and B."""
 
 from collections import Counter
 
@@ -36,13 +35,6 @@ def test_program_audit(case):
     assert bag(out.collect()) == bag(expected)
 
 
-def test_program_audit_parts_equal_fused(case):
-    _, audit, slots, _ = case
-    fused = program_audit.base(audit, slots).collect()
-    parts = program_audit.base_from_parts(audit, slots).collect()
-    assert bag(fused) == bag(parts)
-
-
 def test_waitlist(case):
     name, audit, _, states = case
     out = waitlist.report(audit, states)
@@ -51,15 +43,11 @@ def test_waitlist(case):
     assert bag(out.collect()) == bag(expected)
 
 
-def test_waitlist_parts_equal_fused(case):
-    _, audit, _, states = case
-    assert bag(waitlist.base(audit, states).collect()) == bag(waitlist.base_from_parts(audit, states).collect())
-
-
-@pytest.mark.parametrize("strategy", [signup_time.JOIN, signup_time.ORDERED, signup_time.AUTO])
-def test_signup_time_is_a_bag(case, strategy):
+@pytest.mark.parametrize("max_pairs", [float("inf"), 1, -1, signup_time.MAX_PAIRS_PER_KEY])
+def test_signup_time_is_a_bag(case, max_pairs):
+    """No hot key, some hot keys, all keys hot, and the default bound."""
     name, audit, _, _ = case
-    out = signup_time.report(audit, strategy)
+    out = signup_time.report(audit, max_pairs)
     assert out.columns == signup_time.REPORT_COLUMNS
     expected = SIGNUP_A if name == "A" else SIGNUP_B
     assert bag(out.collect()) == bag(expected)
@@ -108,7 +96,6 @@ def test_q15_repeated_schedules_count_once(spark):
     out = {r["program_id"]: r for r in waitlist.base(audit, st).collect()}
     assert out[9]["total_waitlisted"] == 1  # only actor 51 (actor 50 acted first by scheduling)
     assert out[9]["total_waitlisted_to_scheduled"] == 1  # three schedules, counted once
-    assert bag(waitlist.base(audit, st).collect()) == bag(waitlist.base_from_parts(audit, st).collect())
 
 
 def test_q19_duplicate_programs_multiply_withdraw_and_cancel(spark):
@@ -121,9 +108,6 @@ def test_q19_duplicate_programs_multiply_withdraw_and_cancel(spark):
     fused = {r["program_id"]: r for r in program_audit.base(audit, slots, programs).collect()}
     assert (fused[1]["total_withdraw"], fused[1]["total_cancel"]) == (2, 4)  # 1 and 2, doubled
     assert fused[1]["total_invites"] == 3  # invitations are not joined to the program table
-    assert bag(program_audit.base(audit, slots, programs).collect()) == bag(
-        program_audit.base_from_parts(audit, slots, programs).collect()
-    )
 
 
 def test_daily_cancel_from_the_shared_day_table(case):

@@ -43,18 +43,15 @@ def stored_audit(spark):
     return ops.audit_base(read_table(spark, path))
 
 
-@pytest.mark.parametrize("strategy", ["join", "ordered"])
-def test_signup_plans_have_no_cartesian_or_python(spark, strategy):
+@pytest.mark.parametrize("max_pairs", [float("inf"), -1])
+def test_signup_plans_have_no_cartesian_or_python(spark, max_pairs):
     from auditmart.plans import signup_time
     from auditmart.queries import audit
 
-    df = signup_time.report(audit(spark, SF["0.001"]), strategy)
+    df = signup_time.report(audit(spark, SF["0.001"]), max_pairs)
     p = plan(df)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
-    # the ordered path reads its counted / ranked rows from the checkpoint
-    if strategy == "ordered":
-        assert "ExistingRDD" in p
 
 
 def test_daily_cancel_prunes_columns_of_driver_view(spark):
@@ -78,14 +75,51 @@ def test_program_audit_reads_the_log_once(spark, stored_audit):
     assert "In(audit_operation_id, [1,4,5])" in p2
 
 
-def test_waitlist_shares_the_actor_aggregate(spark):
-    df = QUERIES["waitlist_report"](spark, SF["0.001"])
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    # the per-actor summary is materialised once; the report itself only
-    # scans the log for the waitlist sign-ups
-    assert final.count("events.parquet") == 1
-    assert final.count("customer.parquet") == 1
+def jobs_of(spark, build):
+    """Jobs that building a DataFrame runs, and the DataFrame."""
+    sc = spark.sparkContext
+    group = "building"
+    sc.setJobGroup(group, "count the jobs of building a report")
+    try:
+        df = build()
+        return len(sc.statusTracker().getJobIdsForGroup(group)), df
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_waitlist_report_is_lazy(spark, stored_audit):
+    from auditmart.plans import waitlist
+    from auditmart.queries import states
+
+    state_rows = states(spark, SF["0.001"])
+    stored_audit.count()
+    n, df = jobs_of(spark, lambda: waitlist.report(stored_audit, state_rows))
+    assert n == 0
+    p = plan(df)
+    assert "EqualTo(audit_operation_id,1)" in p  # invitations: a pruned, pushed scan of their own
+
+
+def test_withdraw_totals_shuffle_aggregates_only(spark):
+    """With broadcast off, what meets the program table is counted first."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = QUERIES["total_withdraw"](spark, SF["0.001"])
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for scan in ("events.parquet", "nation.parquet"):
+        assert scan in p
+    below = [line for line in p.splitlines() if "Exchange" in line or "HashAggregate" in line or "FileScan" in line]
+    # walking down to each scan, a partial aggregate stands between it and the exchange
+    for i, line in enumerate(below):
+        if "FileScan" in line:
+            assert "HashAggregate" in below[i - 1]
+
+
+def test_pipeline_pushes_the_operation_filter(spark):
+    p = plan(QUERIES["warehouse_pipeline"](spark, SF["0.001"]))
+    assert "In(audit_operation_id, [1,4,5])" in p
 
 
 def test_partial_aggregation_before_shuffle(spark):

@@ -47,35 +47,58 @@ def test_reports_invariant_under_row_order_and_partitioning(spark):
     st = states(spark, SF["0.01"])
     assert bag(program_audit.report(a, s)) == bag(program_audit.report(shuffled, s))
     assert bag(waitlist.report(a, st)) == bag(waitlist.report(shuffled, st))
-    assert bag(signup_time.report(a, signup_time.JOIN)) == bag(signup_time.report(shuffled, signup_time.ORDERED, num_partitions=23))
+    assert bag(signup_time.report(a, float("inf"))) == bag(signup_time.report(shuffled, 20, num_partitions=23))
 
 
-MAX_RATIO_SEEN = 2
-
-
-def test_signup_strategy_choice(spark):
-    a = audit(spark, SF["0.01"])
-    prof = signup_time.pair_profile(a)
-    assert prof["rows"] > 0 and 0 < prof["max_pairs"] <= prof["pairs"]
-    assert signup_time.choose_strategy(a) == signup_time.JOIN  # the test data has no hot user
-    # one user holding a third of the log: per-key pairs explode, the ordered plan is chosen
-    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
-    hot_prof = signup_time.pair_profile(hot)
-    assert hot_prof["pairs"] > MAX_RATIO_SEEN * prof["pairs"]
-    # at cluster scale the same shape fails the bounds (small_pairs=0 removes
-    # the small-job allowance, a per-key bound of 10k stands for one task)
-    assert signup_time.choose_strategy(hot, small_pairs=0) == signup_time.ORDERED
-    assert signup_time.choose_strategy(hot, max_pairs_per_key=10_000) == signup_time.ORDERED
-    assert signup_time.choose_strategy(hot) == signup_time.JOIN
-
-
-def test_hot_user_both_signup_plans_agree(spark):
+def hot_user_log(spark, all_tied=False):
     a = audit(spark, SF["0.01"])
-    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
-    ordered = signup_time.report(hot, signup_time.ORDERED)
-    joined = signup_time.report(hot, signup_time.JOIN)
-    assert ordered.exceptAll(joined).count() == 0 and joined.exceptAll(ordered).count() == 0
-    assert ordered.count() > 100_000
+    hot = F.col("user_id") % 3 == 0
+    if all_tied:
+        a = a.withColumn("created_date", F.when(hot, F.date_trunc("month", "created_date").cast("timestamp_ntz")).otherwise(F.col("created_date")))
+    return a.withColumn("user_id", F.when(hot, F.lit(1)).otherwise(F.col("user_id")))
+
+
+@pytest.mark.parametrize("all_tied", [False, True])
+def test_hot_user_plans_agree(spark, all_tied):
+    """One user holds a third of the log; only that user's keys pass the bound."""
+    log = hot_user_log(spark, all_tied)
+    split = signup_time.report(log, 10_000)
+    joined = signup_time.report(log, float("inf"))
+    assert split.exceptAll(joined).count() == 0 and joined.exceptAll(split).count() == 0
+    assert all_tied or split.count() > 100_000
+
+
+def test_only_hot_keys_leave_the_join(spark):
+    log = hot_user_log(spark)
+    hot = signup_time.hot_keys(
+        signup_time._schedules(log), signup_time._waitlists(log), signup_time.USER_EVENT, None, 10_000
+    )
+    assert {r["user_id"] for r in hot.collect()} == {1}
+
+
+def test_tied_rows_of_a_hot_user_become_one_weighted_row(spark):
+    """20,000 equal schedules and waitlists meet as two rows, and the copies of
+    their one output group are generated by several tasks."""
+    n = 20_000
+    schema = "program_id long, calendar_season_id long, user_id long, interview_event_id long, schedule_date timestamp_ntz"
+    t = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
+    s = spark.range(n).selectExpr("1L AS program_id", "1L AS calendar_season_id", "7L AS user_id",
+                                  "3L AS interview_event_id", f"{t} AS schedule_date")
+    w = spark.range(n).selectExpr("7L AS user_id", "3L AS interview_event_id", "CAST(NULL AS TIMESTAMP_NTZ) AS waitlist_date")
+    counted = signup_time._sw_ordered(s, w, 8)
+    rows = counted.collect()
+    assert len(rows) == 1 and rows[0]["n_waitlists"] == n * n
+    few = counted.withColumn("n_waitlists", F.lit(60_000).cast("long"))
+    copies = signup_time._copies(few, F.col("n_waitlists"))
+    per_task = [r["count"] for r in copies.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 60_000 and len(per_task) > 1
+
+
+def test_pair_counts_do_not_overflow(spark):
+    """Two sides of 4e9 rows per key: the product is counted as a double."""
+    sides = spark.createDataFrame([(1, 4 * 10**9)], "k long, w long")
+    many = sides.selectExpr("k", "CAST(w AS DOUBLE) * 4e9D AS w")  # 1.6e19, more than a long holds
+    assert signup_time.hot_keys(many, sides.select("k"), ["k"], "w", 1e18).count() == 1
 
 
 def test_ordered_counts_empty_sides(spark):
@@ -96,41 +119,13 @@ def test_ordered_counts_more_partitions_than_rows(spark):
     assert sorted((r["pid"], r["n"]) for r in out.collect()) == [(1, 2), (2, 0)]
 
 
-@pytest.mark.parametrize("block", [3, 7])
-def test_ordered_plan_with_small_rank_blocks(spark, monkeypatch, block):
-    """Schedules with more earlier invitations than one block span several
-    (key, block) join keys; the bag must not change."""
+@pytest.mark.parametrize("block,per_salt", [(3, 100_000), (7, 100_000), (4, 20)])
+def test_small_rank_blocks_and_salts(spark, monkeypatch, block, per_salt):
+    """Schedules with more earlier invitations than one block span several (key,
+    block) join keys, and requested blocks are salted; the bag must not change."""
     monkeypatch.setattr(signup_time, "RANK_BLOCK", block)
-    a = audit(spark, SF["0.01"])
-    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
-    keys = ["user_id", "program_id", "calendar_season_id"]
-    earlier = (
-        signup_time._invites(hot)
-        .join(signup_time._sw_join(hot), keys)
-        .where(F.col("invite_date") < F.col("schedule_date"))
-        .groupBy(*keys, "schedule_date")
-        .count()
-        .agg(F.max("count"))
-        .first()[0]
-    )
-    assert earlier > 3 * block  # several blocks per schedule are exercised
-    ordered = signup_time.report(hot, signup_time.ORDERED, num_partitions=6)
-    joined = signup_time.report(hot, signup_time.JOIN)
-    assert ordered.exceptAll(joined).count() == 0 and joined.exceptAll(ordered).count() == 0
-
-
-
-def test_hot_blocks_are_salted_and_exact(spark, monkeypatch, caplog):
-    """With a low request threshold the hot user's blocks are salted; the bag
-    is unchanged."""
-    import logging
-
-    monkeypatch.setattr(signup_time, "RANK_BLOCK", 4)
-    monkeypatch.setattr(signup_time, "HOT_REQUESTS", 20)
-    a = audit(spark, SF["0.01"])
-    hot = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
-    with caplog.at_level(logging.INFO, logger="auditmart.plans.signup_time"):
-        ordered = signup_time.report(hot, signup_time.ORDERED, num_partitions=6)
-    assert any("salted" in r.getMessage() for r in caplog.records)
-    joined = signup_time.report(hot, signup_time.JOIN)
-    assert ordered.exceptAll(joined).count() == 0 and joined.exceptAll(ordered).count() == 0
+    monkeypatch.setattr(signup_time, "REQUESTS_PER_SALT", per_salt)
+    log = hot_user_log(spark)
+    split = signup_time.report(log, 10_000, num_partitions=6)
+    joined = signup_time.report(log, float("inf"))
+    assert split.exceptAll(joined).count() == 0 and joined.exceptAll(split).count() == 0

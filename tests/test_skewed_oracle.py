@@ -46,7 +46,7 @@ def test_daily_cancel_on_skewed_log(skewed):
     assert same(daily_cancel.report(hot), duck_rows(con, o.DAILY_CANCEL))
 
 
-@pytest.mark.parametrize("strategy", [signup_time.JOIN, signup_time.ORDERED])
-def test_signup_time_on_skewed_log(skewed, strategy):
+@pytest.mark.parametrize("max_pairs", [float("inf"), 10_000])
+def test_signup_time_on_skewed_log(skewed, max_pairs):
     hot, _, _, _, con = skewed
-    assert same(signup_time.report(hot, strategy), duck_rows(con, o.SU_REPORT))
+    assert same(signup_time.report(hot, max_pairs), duck_rows(con, o.SU_REPORT))

@@ -2,7 +2,7 @@
 random forest.
 
 A candidate is a run of key characters that is long and holds a digit, or very
-long, or the value assigned to a credential word.  Features: its length, character transitions (changes of
+long, or of a provider's format, or the value assigned to a credential word.  Features: its length, character transitions (changes of
 character class, likeliness of letter pairs), dictionary coverage (letters covered
 by whole words of a public vocabulary), path (separators, URL and file context)
 and neighbouring words (credential words, hashed words before and after).
@@ -140,7 +140,7 @@ def candidates(text: str):
             start, value = start + assigned.start(2), assigned[2]
         end = start + len(value)
         digit = any(c.isdigit() for c in value)
-        if (len(value) >= 12 and digit) or len(value) >= 24 or (
+        if (len(value) >= 12 and digit) or len(value) >= 24 or _FORMAT.fullmatch(value) or (
             digit and len(value) >= 8 and _KEYWORD.search(text, max(0, start - 40), start)
         ):
             yield start, end

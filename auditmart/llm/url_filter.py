@@ -3,8 +3,8 @@
 A URL is split into host and path; the longest fitting rule decides.  Other URLs
 are judged by a multinomial naive Bayes over the words of host and path, where
 concatenated names are split into words by a unigram Viterbi search.  The unigram
-counts come from all pages (host labels, path parts and visible text) on top of a
-public vocabulary's whole words."""
+counts come from the visible text of all pages on top of a public vocabulary's
+whole words (host names would teach the very concatenations that are to be split)."""
 
 from __future__ import annotations
 
@@ -71,9 +71,8 @@ def _parts(column: str) -> Column:
 
 
 def unigrams(pages: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """(word, n): how often each run of letters occurs in hosts, paths and the
-    visible text of all pages, plus one for every whole word of the public
-    vocabulary file."""
+    """(word, n): how often each run of letters occurs in the visible text of all
+    pages, plus one for every whole word of the public vocabulary file."""
     spark = pages.sparkSession
     with open(vocabulary or vocabulary_path(), encoding="utf-8") as f:
         known = json.load(f)["model"]["vocab"]
@@ -83,7 +82,7 @@ def unigrams(pages: DataFrame, vocabulary: str | None = None) -> DataFrame:
     )
     visible = F.regexp_replace(F.col("html"), r"(?s)<(script|style).*?</\1>|<[^>]*>|&\w+;", " ")
     words = pages.select(
-        F.explode(F.split(F.lower(F.concat_ws(" ", "host", "path", visible)), r"[^\p{L}]+")).alias("word")
+        F.explode(F.split(F.lower(visible), r"[^\p{L}]+")).alias("word")
     ).where(F.length("word").between(2, LONGEST_WORD))
     return (
         words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).union(base)

@@ -1,0 +1,34 @@
+"""The corpus pipeline: stages against their operators and a planted corpus."""
+
+import inspect
+
+import corpus_pipeline
+from auditmart.llm import queries
+
+
+def test_queries_are_registered_once_per_operator():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
+    assert numbers == list(range(1, 11))
+
+
+def test_stages_keep_the_columns_and_their_decisions(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    counts, columns = [docs.count()], docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        assert list(inspect.signature(stage).parameters) == ["spark", "docs", "sf_dir"]
+        out = stage(spark, docs, sf)
+        if name != "packing":
+            assert out.columns == columns
+            docs = corpus_pipeline.materialise(out, f"test/{name}")
+            counts.append(docs.count())
+    assert counts[0] >= counts[1] > counts[2] >= counts[3] == counts[4] > 0
+    texts = [r["text"] for r in docs.collect()]
+    assert len(set(texts)) == len(texts)
+    packed = out.collect()
+    assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_run_handles_an_empty_table(spark, sf, tmp_path):
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

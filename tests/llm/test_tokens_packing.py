@@ -1,0 +1,117 @@
+"""Operators 2 and 5 against the tokenizer itself."""
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from auditmart.llm import packing, tokens
+
+TEXTS = ["Hello, world! it's 3 o'clock", "", None, "straße ÉCOLE  ça\tva\n\nbien", "a\x1cb <|endoftext|> c", "word " * 9000]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.vocabulary_path())
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_encoder_equals_the_tokenizer(tokenizer, spark, sf):
+    texts = [t or "" for t in TEXTS] + [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(80).collect()]
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    for _ in range(2):  # with an empty and with a filled memory
+        got = [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)]
+        assert got == [ids_of(tokenizer, t) for t in texts]
+
+
+def test_histogram_against_brute_force(spark, docs_of, tokenizer):
+    docs = docs_of([(i, t) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0])])
+    n = [len(ids_of(tokenizer, r["text"])) for r in docs.collect()]
+    rows = tokens.length_histogram(tokens.token_lengths(docs))
+    got = {r["n_tokens"]: r for r in rows.collect()}
+    assert set(got) == set(n)
+    for x, r in got.items():
+        assert r["n_docs"] == n.count(x) and r["total_docs"] == len(n) and r["total_tokens"] == sum(n)
+        assert r["docs_at_least"] == sum(v >= x for v in n) and r["tokens_at_least"] == sum(v for v in n if v >= x)
+        assert r["truncated_total"] == sum(min(v, x) for v in n)
+        assert r["quantile"] == pytest.approx(sum(v <= x for v in n) / len(n))
+    at = {r["context_limit"]: r for r in tokens.totals_at(rows, [0, 5, 10**6]).collect()}
+    for limit, r in at.items():
+        assert r["tokens_left"] == sum(min(v, limit) for v in n) and r["docs_cut"] == sum(v > limit for v in n)
+    assert tokens.length_histogram(tokens.token_lengths(docs.limit(0))).count() == 0
+
+
+def check_packed(pieces, docs, tokenizer, sequence):
+    """Every id in one piece, sequences gapless, at most their size, padded only
+    where the length is no power of two."""
+    by_doc, by_sequence = {}, {}
+    for p in pieces:
+        by_doc.setdefault(p["doc_id"], []).append(p)
+        by_sequence.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    for doc, text in docs:
+        ids = ids_of(tokenizer, text) + [packing.END_ID]
+        at = 0
+        for p in sorted(by_doc[doc], key=lambda p: p["start"]):
+            part = ids[p["start"] : p["start"] + p["length"]]
+            assert p["start"] == at and p["doc_tokens"] == len(ids)
+            assert p["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+            assert np.frombuffer(p["ids"], "<u2").tolist() == part
+            at += p["length"]
+        assert at == len(ids)
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at == sequence or at & (at - 1) == 0
+
+
+def test_packing_round_trip_and_shares(spark, docs_of, tokenizer):
+    texts = [(i, " ".join(["word"] * (3 + 37 * i % 211)), f"src{i % 3}") for i in range(120)]
+    texts += [(900 + i, t, None) for i, t in enumerate(TEXTS)]
+    docs = docs_of(texts).repartition(5)
+    pieces = packing.pack(docs, sequence=64, window_sequences=4).collect()
+    check_packed(pieces, [t[:2] for t in texts], tokenizer, 64)
+    totals, windows = Counter(), Counter()
+    for p in pieces:
+        totals[p["source"]] += p["length"]
+        windows[p["window_id"], p["source"]] += p["length"]
+    whole = sum(totals.values()) // 256
+    for w in range(whole):
+        for s, n in totals.items():
+            assert abs(windows[w, s] - 256 * n / sum(totals.values())) < 2
+
+
+def test_packing_to_given_weights_until_a_source_is_dry(spark, docs_of, tokenizer):
+    texts = [(i, "one two three four", "a" if i % 2 else "b") for i in range(200)]
+    pieces = packing.pack(docs_of(texts), {"a": 3, "b": 1}, sequence=32, window_sequences=2).collect()
+    check_packed(pieces, [t[:2] for t in texts], tokenizer, 32)
+    first = Counter()
+    for p in pieces:
+        if p["window_id"] < 8:
+            first[p["source"]] += p["length"]
+    assert first["a"] == pytest.approx(3 * first["b"], abs=3)
+
+
+def test_small_sources_share_a_queue_and_lose_nothing(spark, docs_of, tokenizer):
+    texts = [(i, "one two three", f"s{i}") for i in range(40)]
+    pieces = packing.pack(docs_of(texts), sequence=32, window_sequences=2, max_queues=5).collect()
+    check_packed(pieces, [t[:2] for t in texts], tokenizer, 32)
+    assert packing.pack(docs_of(texts).limit(0)).count() == 0
+
+
+def test_repeated_rows_and_null_ids_are_packed(spark, docs_of):
+    docs = docs_of([(1, "a b"), (1, "a b"), (None, "c"), (None, None)])
+    assert packing.pack(docs).agg(F.sum("length")).first()[0] == 3 + 3 + 2 + 1
+
+
+def test_tail_sequences_are_powers_of_two():
+    sizes = Counter(packing.sequence_of(p, 1000, 64)[0] for p in range(1000))
+    assert sorted(sizes.values())[-15:] == [64] * 15 and sorted(sizes.values())[:2] == [8, 32]

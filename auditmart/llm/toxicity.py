@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, prepare, text_or_empty
+from .common import Batches, materialise, prepare, text_or_empty
 
 SAMPLE = 20_000  # labelled documents the model is fitted on, at most
 MIN_CONTEXTS = 6  # different preceding words an insult word needs in toxic texts
@@ -192,6 +192,7 @@ def learn_insults(
         "toxic", F.explode(F.arrays_zip(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))).alias("a"),
                                         F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))).alias("b"))).alias("p")
     ).select("toxic", F.col("p.a").alias("a"), F.col("p.b").alias("b")).where("b != ''").distinct()
+    pairs = materialise(pairs, "word_pairs")  # read for the words and for the totals
     forms = F.array(F.col("b"), *(
         F.when(F.length("b") > n, F.concat(F.substring("b", 1, n), F.lit("*"))) for n in STEMS
     ))

@@ -159,7 +159,8 @@ def judge(pages: DataFrame, rules=RULES, unwanted=UNWANTED, vocabulary: str | No
     names = urls.select("host", "path", "pages").select(
         "host", "path", "pages", F.posexplode(F.array(_parts("host"), _parts("path"))).alias("place", "parts")
     ).select("host", "path", "pages", "place", F.explode("parts").alias("name")).where("name != ''")
-    split = materialise(segment(names, unigrams(rows)), "segments")
+    counts = materialise(unigrams(rows), "unigrams")  # read for its total and for the join
+    split = materialise(segment(names, counts), "segments")
     words = names.join(split, "name").select(
         "host", "path", "pages", "place", F.explode("words").alias("word")
     ).groupBy("host", "path", "pages", "place", "word").agg(F.count(F.lit(1)).alias("k"))

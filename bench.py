@@ -36,7 +36,7 @@ def run_once(spark, name: str, sf_dir: str) -> float:
 
 
 def stage_all_tables(spark, sf_dir: str) -> float:
-    """W0 over every driver table (binary dropped, text cut), timed."""
+    """W0 over every driver table (binary dropped), timed."""
     from auditmart.sources import scratch_path
     from auditmart.sources.staging import stage_tables
 

@@ -122,8 +122,8 @@ def main(argv: list[str]) -> None:
     if hot:
         a = audit(spark, sf_dir)
         hot_log = a.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
-        run(spark, "r3-join(hot)", lambda: signup_time.report(hot_log, signup_time.JOIN))
-        run(spark, "r3-ordered(hot)", lambda: signup_time.report(hot_log, signup_time.ORDERED, num_partitions=16))
+        run(spark, "r3-join(hot)", lambda: signup_time.report(hot_log, float("inf")))
+        run(spark, "r3-split(hot)", lambda: signup_time.report(hot_log, 10_000, num_partitions=16))
     else:
         for name in args[1:] or ["program_audit_report", "waitlist_report", "signup_time_report", "daily_cancel_report"]:
             run(spark, name, lambda n=name: QUERIES[n](spark, sf_dir))

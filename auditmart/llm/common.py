@@ -73,18 +73,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # the longest asked for so far
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(10, int(n).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
-        up = np.full(size, _P, np.uint64)
-        down = np.full(size, _P_INV, np.uint64)
-        up[0] = down[0] = 1
-        _POWERS[size] = np.cumprod(up), np.cumprod(down)
-    return _POWERS[size]
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_P, _P_INV)):
+            table = np.full(n + n // 8, base, np.uint64)
+            table[0] = 1
+            _POWERS[i] = np.cumprod(table)
+    return _POWERS[0], _POWERS[1]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import Batches, materialise, prepare, text_or_empty
 
-LANE_BYTES = 4 << 20  # a longer text is a lane of its own
+LANE_BYTES = 2 << 20  # a longer text is a lane of its own
 LAST = 2**62  # order of lanes without doc_id
 
 LANES = "lane long, ord long, ids array<long>, sizes array<long>, data binary"

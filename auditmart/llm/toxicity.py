@@ -4,8 +4,8 @@ Small transducers read the words of a clause as symbols (insult, threat,
 target, negation, reported speech, other).  Each multiplies or adds a weight
 when it reads a symbol; their composition (the product machine) scores the whole
 clause, so "you are an X", "he said X" and "not X" weigh differently and a word
-outside any pattern weighs nothing.  Insult words, insult stems (the first four or
-five letters of a word, written ``stem*``) and their weights are learned from
+outside any pattern weighs nothing.  Insult words, insult stems (the first four to
+seven letters of a word, written ``stem*``) and their weights are learned from
 labelled documents; a logistic curve over a document's clause scores gives its
 score."""
 
@@ -27,9 +27,10 @@ from .common import Batches, materialise, prepare, text_or_empty
 SAMPLE = 20_000  # labelled documents the model is fitted on, at most
 MIN_CONTEXTS = 6  # different preceding words an insult word needs in toxic texts
 MIN_WEIGHT = 2.5  # its log odds
-STEMS = (4, 5)  # letters of a stem
+STEMS = (4, 5, 6, 7)  # letters of a stem
 MAX_WORDS = 5_000  # learned words kept, heaviest first
 THRESHOLD = 0.3
+FEATURES = ("_sum", "_max", "_n", "_length")
 
 # --- fixed values: closed word classes of the grammar -------------------------------
 THREAT = "kill hurt destroy beat shoot töten schlagen vernichten tuer frapper détruire matar golpear destruir".split()
@@ -114,8 +115,9 @@ class Scorer:
             total += weight * factor + added
         return total
 
-    def features(self, text: str) -> tuple[float, float, float]:
-        """log(1 + sum), maximum and log(1 + number) of the matched clauses."""
+    def features(self, text: str) -> tuple[float, float, float, float]:
+        """log(1 + sum), maximum and log(1 + number) of the matched clauses, and
+        log(1 + length) of the text if any matched (chance matches grow with it)."""
         text, done, scores = text.lower(), -1, []
         for last, (size, stem) in self.trie.iter(text):
             start = last - size + 1
@@ -129,7 +131,8 @@ class Scorer:
             score = self.clause(_WORD.findall(text, begin, done))
             if score > 0:
                 scores.append(score)
-        return math.log1p(sum(scores)), max(scores, default=0.0), math.log1p(len(scores))
+        length = math.log1p(len(text)) if scores else 0.0
+        return math.log1p(sum(scores)), max(scores, default=0.0), math.log1p(len(scores)), length
 
 
 def _forms(word: str) -> tuple[str, ...]:
@@ -148,14 +151,14 @@ def _scorer(insults: tuple[tuple[str, float], ...]) -> Scorer:
 def _clause_features(rows: DataFrame, insults: dict[str, float], keep: list[str]) -> DataFrame:
     """``keep`` columns and the clause features of ``_text``, one scan."""
     lexicon = tuple(sorted(insults.items()))
-    names = [*keep, "_sum", "_max", "_n"]
-    schema = rows.select(*keep, *(F.lit(0.0).alias(n) for n in names[-3:])).schema
+    names = [*keep, *FEATURES]
+    schema = rows.select(*keep, *(F.lit(0.0).alias(n) for n in FEATURES)).schema
 
     def run(batches: Batches) -> Batches:
         scorer = _scorer(lexicon)
         for b in batches:
             found = [scorer.features(t) for t in b.column(len(keep)).to_pylist()]
-            columns = [pa.array(c, pa.float64()) for c in (zip(*found) if found else ((), (), ()))]
+            columns = [pa.array(c, pa.float64()) for c in (zip(*found) if found else [()] * len(FEATURES))]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *columns], names)
 
     return rows.select(*keep, text_or_empty("_text").alias("_text")).mapInArrow(run, schema)
@@ -227,27 +230,28 @@ class Model:
     def score(self, rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
         """``keep`` columns of ``rows`` and ``score`` (0 to 1) of ``text``."""
         found = _clause_features(rows.select(*keep, F.col(text).alias("_text")), self.insults, keep)
-        a, b, c, bias = (F.lit(float(v)) for v in self.curve)
-        z = F.col("_sum") * a + F.col("_max") * b + F.col("_n") * c + bias
+        z = F.lit(float(self.curve[-1]))
+        for name, weight in zip(FEATURES, self.curve):
+            z = z + F.col(name) * F.lit(float(weight))
         return found.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("score"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn the lexicon and the curve from labelled rows that are not held
     out.  Only numbers and words reach the driver: at most ``MAX_WORDS`` words
-    and ``sample`` rows of three features.  Without labelled rows of both
+    and ``sample`` rows of four features.  Without labelled rows of both
     classes every text scores the class share (0 without any row)."""
     prepare(docs.sparkSession)
     rows = labelled(docs, labels, sample)
     insults = learn_insults(rows)
     seen = np.array(
-        [[r["_sum"], r["_max"], r["_n"], r["toxic"]]
+        [[*(r[f] for f in FEATURES), r["toxic"]]
          for r in _clause_features(rows.withColumnRenamed("text", "_text"), insults, ["toxic"]).collect()]
-    ).reshape(-1, 4)
-    y = seen[:, 3]
+    ).reshape(-1, len(FEATURES) + 1)
+    y = seen[:, -1]
     if len(set(y.tolist())) < 2:
-        return Model(insults, [0.0, 0.0, 0.0, 30.0 if len(y) and y[0] else -30.0])
-    return Model(insults, fit_logistic(seen[:, :3], y).tolist())
+        return Model(insults, [0.0] * len(FEATURES) + [30.0 if len(y) and y[0] else -30.0])
+    return Model(insults, fit_logistic(seen[:, :-1], y).tolist())
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

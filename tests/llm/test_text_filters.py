@@ -61,7 +61,7 @@ def test_grammar_weighs_clauses():
     assert s.clause("you snarvel".split()) > plain > s.clause("not a snarvel".split())
     assert s.clause("he said snarvel".split()) != plain
     assert s.clause("kill them".split()) > 0 == s.clause("kill time".split())
-    assert s.features("snarvels and unsnarvel") == (0, 0, 0)  # whole words only
+    assert s.features("snarvels and unsnarvel") == (0, 0, 0, 0)  # whole words only
     assert s.features("grobnik. fine, grobbed")[2] == pytest.approx(1.0986, abs=1e-3)
 
 

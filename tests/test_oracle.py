@@ -1,12 +1,14 @@
-"""Differential tests: every registered query against its DuckDB oracle."""
+"""Differential tests: every registered report query against its DuckDB oracle."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from auditmart.oracle_sql import ORACLE_SQL
+from auditmart.queries import QUERIES
 from check_oracle import compare, duck_connection
 from conftest import SF
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 REPORTS = ["program_audit_report", "waitlist_report", "signup_time_report", "daily_cancel_report"]
 
 
@@ -21,7 +23,8 @@ def duck_mid():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -3,6 +3,7 @@ word hashing over Arrow batches and connected components."""
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -44,13 +45,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(prepare(spark), f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: Spark deletes them once
+    neither Python nor the JVM holds the plans, which else may take long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate to the shared folder and read it back: lineage is
     cut, and a lost executor costs no recomputation of what lies before."""
     path = scratch_path(df.sparkSession, f"llm/{purpose}")
+    release(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    # shuffle files of finished jobs go when the driver's JVM drops their plans
-    df.sparkSession.sparkContext._jvm.System.gc()
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -31,7 +31,7 @@ SEED = 20
 BUCKET_BYTES = 32 << 20  # text bytes per bucket
 SAMPLE_BYTES = 64 << 10  # leading bytes of every lane the splitters are sampled from
 
-_SINGLE, _DOUBLE = np.dtype([("seed", "<u4"), ("context", "<u8")]), np.dtype([("a", "<u8"), ("b", "<u4")])
+_SINGLE, _DOUBLE = np.dtype([("seed", "<u4"), ("context", "<u8")]), np.dtype([("a", "<u8"), ("b", "<u2")])
 _SEVERAL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _EARLIER, _MIXED = 1, 2
 
@@ -148,7 +148,7 @@ class Suffixes:
             return []
         data = self.lane.data
         a = span_hashes(data, at, at + self.length)
-        b = (span_hashes(data, at, at + self.length // 2) >> np.uint64(32)).astype(np.uint32)
+        b = (span_hashes(data, at, at + self.length // 2) >> np.uint64(48)).astype(np.uint16)
         bucket = route(leading(data, at), self.splitters)
         order = np.lexsort((b, a, bucket))
         k, x, y = bucket[order], a[order], b[order]

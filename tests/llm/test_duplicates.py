@@ -260,3 +260,33 @@ def test_repeated_passages_against_brute_force(spark, docs_of, monkeypatch):
     classes = {r["doc_id"]: r["class_id"] for r in found if r["doc_id"] in (0, 9, 18, 27)}
     assert len(set(classes.values())) == 1
     assert passages.repeated_passages(table.limit(0)).count() == 0
+
+
+def test_passages_with_an_edit_at_any_word():
+    rnd = random.Random(31)
+
+    def tokens(w):
+        return common.shingles(common.Words([" ".join(w)]), passages.SHINGLE)[0]
+
+    def similar(x, y):  # some pair of runs of the least width, or the whole passage, by brute force
+        n = len(x) - 45
+        sets = [(set(x[i : i + 46].tolist()), set(y[i : i + 46].tolist())) for i in range(n)] + [(set(x.tolist()), set(y.tolist()))]
+        return any(len(p & q) >= 0.8 * len(p | q) for p, q in sets)
+
+    for size in (50, 55, 60, 65, 70, 75):
+        passage = words(rnd, size)
+        for at in range(size):
+            other = passage[:at] + ["changed"] + passage[at + 1 :]
+            before = [words(rnd, 30) for _ in range(2)]
+            x, y = ([*w, *p, *words(rnd, 30)] for w, p in zip(before, (passage, other)))
+            assert similar(tokens(passage), tokens(other))
+            # a least token amid the longer half
+            seed = 30 + (at + size - 4) // 2 if at < size // 2 else 30 + max(0, at - 4) // 2
+            got = list(passages.aligned(tokens(x), tokens(y), [seed]))
+            assert got, (size, at)
+            for s, n, p, m in got:
+                assert min(n, m) >= 46 and similar(tokens(x)[p : p + m], tokens(y)[s : s + n])
+    # 40 shared words are too few, wherever the span is taken
+    short = words(rnd, 40)
+    x, y = (tokens(words(rnd, 30) + short + words(rnd, 30)) for _ in range(2))
+    assert not list(passages.aligned(x, y, [45]))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from auditmart.llm import decontamination, secret_scan, toxicity, url_filter
+from auditmart.llm import common, decontamination, secret_scan, toxicity, url_filter
 
 WORDS = "the of and with river stone paper garden window table morning evening yellow quiet market letter".split()
 
@@ -123,6 +123,38 @@ def test_overlaps_against_brute_force(spark, docs_of):
     assert decontamination.contaminated(table.limit(0), bench).count() == 0
 
 
+def test_every_overlap_with_changed_words_is_found():
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+
+    def text(n):
+        return [rnd.choice(vocabulary) for _ in range(n)]
+
+    items, docs = [], []
+    for n in (5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 18, 20, 25, 30, 40):
+        for changed in range(1, n // 5 + 1):
+            for _ in range(25):
+                item = text(n)
+                part = list(item)
+                for i in rnd.sample(range(n), changed):
+                    part[i] = "changed"
+                items.append(item)
+                docs.append(text(10) + part + text(10))
+    threes = text(15)
+    items.append(threes)
+    docs.append(text(4) + [w if i not in (3, 7, 11) else "changed" for i, w in enumerate(threes)] + text(4))
+    index = decontamination.Index(list(range(len(items))), [" ".join(w) for w in items], decontamination.MASKS)
+    found = {(t, i): r for t, i, *r in index.overlaps(common.Words([" ".join(w) for w in docs]))}
+    for k, (doc, item) in enumerate(zip(docs, items)):
+        need = min(13, len(item))
+        assert brute_overlap(doc, item, need)
+        start, item_start, span, matched = found[k, k]
+        same = [x == y for x, y in zip(doc[start : start + span], item[item_start : item_start + span])]
+        assert span >= need and len(same) == span and sum(same) == matched >= 0.8 * span
+    for t, i in found:
+        assert brute_overlap(docs[t], items[i], min(13, len(items[i])))
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, docs_of, monkeypatch):
     rnd = random.Random(4)
     items = [(k, prose(rnd, 20)) for k in range(9)]

@@ -2,7 +2,8 @@
 random forest.
 
 A candidate is a run of key characters that is long and holds a digit, or very
-long, or of a provider's format, or the value assigned to a credential word.  Features: its length, character transitions (changes of
+long, or of a provider's format, or the value assigned to a credential word: all of
+it, whatever its characters, up to its closing quote or the next white space.  Features: its length, character transitions (changes of
 character class, likeliness of letter pairs), dictionary coverage (letters covered
 by whole words of a public vocabulary), path (separators, URL and file context)
 and neighbouring words (credential words, hashed words before and after).
@@ -10,7 +11,8 @@ and neighbouring words (credential words, hashed words before and after).
 The forest is trained on labelled findings.  :func:`rule_labels` supplies them
 where no reviewed ones exist: provider formats and assignments to credential words
 are secrets; numbers, addresses, paths, file names, identifiers and words are
-false positives; the rest has no label and is decided by the forest."""
+false positives unless assigned to a credential word; the rest has no label and is
+decided by the forest."""
 
 from __future__ import annotations
 
@@ -51,7 +53,11 @@ FORMATS = (
 
 _FORMAT = re.compile("|".join(FORMATS))
 _KEYWORD = re.compile(
-    r"(?i)(?:" + "|".join(re.escape(w) for w in CREDENTIAL) + r")[\"']?\s*[:=]\s*[\"']?$"
+    r"(?i)(?:" + "|".join(re.escape(w) for w in CREDENTIAL) + r")[\"']?\s*[:=]+>?\s*[\"']?$"
+)
+_SIGN = re.compile(r"[:=]+>?")
+_VALUE = re.compile(
+    r"[^\S\n]*(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|[\"']?(\S+?)(?=[,;.]?[\"'`]?[,;.]?(?:\s|$)|</|[,;][\"']))"
 )
 _RUN = re.compile(r"[A-Za-z0-9+/_.\-=~@:%]{8,}")
 _WORD = re.compile(r"[^\W_]+")
@@ -125,14 +131,40 @@ def rule_label(value: str, before: str) -> int | None:
     if _FORMAT.fullmatch(value):
         return 1
     mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-    if _KEYWORD.search(before) and len(value) >= 8 and mixed:
-        return 1
+    if _KEYWORD.search(before):
+        return 1 if len(value) >= 8 and mixed else None
     return 0 if _HARMLESS.fullmatch(value) else None
 
 
+def assigned_values(text: str):
+    """(start, end) of the values assigned to credential words."""
+    done = 0
+    for sign in _SIGN.finditer(text):
+        if sign.start() < done:
+            continue
+        name = text[max(0, sign.start() - 40) : sign.start()].rstrip()
+        if not (name[:-1] if name.endswith(("'", '"')) else name).lower().endswith(tuple(CREDENTIAL)):
+            continue
+        m = _VALUE.match(text, sign.end())
+        # a sentence in quotes that holds a provider's key is no value
+        if m and not (" " in m[m.lastindex] and _FORMAT.search(m[m.lastindex])):
+            done = m.end(m.lastindex)
+            yield m.span(m.lastindex)
+
+
 def candidates(text: str):
-    """(start, end) of the candidates of a text."""
-    for m in _RUN.finditer(text):
+    """(start, end) of the candidates of a text, none inside another."""
+    at = 0
+    for start, end in assigned_values(text):
+        yield from _shaped(text, at, start)
+        yield start, end
+        at = end
+    yield from _shaped(text, at, len(text))
+
+
+def _shaped(text: str, begin: int, stop: int):
+    """(start, end) of the candidates by shape in text[begin:stop]."""
+    for m in _RUN.finditer(text, begin, stop):
         start, end = m.span()
         value = m.group().rstrip(".:=%-,")
         assigned = _ASSIGNED.match(value)

@@ -208,6 +208,27 @@ def test_secrets_found_and_false_positives_removed(spark, docs_of):
     assert secret_scan.scan(table.limit(0)).count() == 0
 
 
+def test_whole_value_after_a_credential_word_is_a_candidate(spark, docs_of):
+    for text, value in (
+        ('password = "SuperSecretPass" x', "SuperSecretPass"), ("passphrase: correct-horse-bat", "correct-horse-bat"),
+        ("a secret=ab12x, then", "ab12x"), ('pwd = "k9!Tz$w2Qp#x"', "k9!Tz$w2Qp#x"), ("PASSWORD=P@ssw0rd!2024 b", "P@ssw0rd!2024"),
+        ('{"db_password": "two words!", "n": 1}', "two words!"), ("'token' => 'a\\'b'", "a\\'b"), ("<p>pwd=x&y#1</p>", "x&y#1"),
+        ('{"secret":12,"user":"bob"}', "12"), ('a "password=zz9" b', "zz9"),
+    ):
+        spans = list(secret_scan.candidates(text))
+        assert [text[a:b] for a, b in spans] == [value], text
+        assert secret_scan.rule_label(value, text[: spans[0][0]]) in (1, None)
+    key = "AKIA" + "Q7" * 8
+    text = f'note secret: "the key {key} is old" password=abc{key} {key}'
+    assert [text[a:b] for a, b in secret_scan.candidates(text)] == [key, "abc" + key, key]
+    assert not list(secret_scan.candidates("the secretary: Bob, tokens = many, password:"))
+    rows, _ = secret_world()
+    rows += [(500, "login password=P@ssw0rd!2024 here"), (501, 'set pwd = "k9!Tz$w2Qp#x" now'), (502, 'password = "SuperSecretPass" x')]
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs_of(rows)).collect()}
+    assert out[500] == "login password=<secret> here" and out[501] == 'set pwd = "<secret>" now'
+    assert out[502] == 'password = "<secret>" x'
+
+
 # --- url filter --------------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bagminhash, decontamination, fingerprint, packing, passages, secret_scan, suffix_dedup, tokens, toxicity, url_filter
+from . import bagminhash, decontamination, filter_audit, fingerprint, packing, passages, secret_scan, suffix_dedup, tokens, toxicity, url_filter
 from .common import table
 
 
@@ -46,6 +46,12 @@ def op10_compact_windows(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(
+        filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixture_packing": op2_mixture_packing,
@@ -57,5 +63,6 @@ QUERIES = {
     "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
     "op10_compact_windows": op10_compact_windows,
+    "op12_filter_audit": op12_filter_audit,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE_SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bagminhash, decontamination, filter_audit, fingerprint, packing, passages, secret_scan, suffix_dedup, tokens, toxicity, url_filter
+from . import alignment, bagminhash, decontamination, filter_audit, fingerprint, packing, passages, secret_scan, suffix_dedup, tokens, toxicity, url_filter
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op12_filter_audit(spark, sf_dir):
     )
 
 
+def op13_token_alignment(spark, sf_dir):
+    return alignment.align_documents(table(spark, sf_dir, "documents")).drop("groups")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixture_packing": op2_mixture_packing,
@@ -64,5 +68,6 @@ QUERIES = {
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
     "op10_compact_windows": op10_compact_windows,
     "op12_filter_audit": op12_filter_audit,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLE_SQL: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE_SQL}

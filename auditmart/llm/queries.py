@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import alignment, bagminhash, decontamination, filter_audit, fingerprint, packing, passages, secret_scan, suffix_dedup, tokens, toxicity, url_filter
+from . import (
+    alignment,
+    bagminhash,
+    decontamination,
+    filter_audit,
+    fingerprint,
+    packing,
+    passages,
+    pii,
+    secret_scan,
+    suffix_dedup,
+    tokens,
+    toxicity,
+    url_filter,
+)
 from .common import table
 
 
@@ -46,6 +60,10 @@ def op10_compact_windows(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_contextual_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op12_filter_audit(spark, sf_dir):
     return filter_audit.audit(
         filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -67,6 +85,7 @@ QUERIES = {
     "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_spaced_seed_decontamination": op9_spaced_seed_decontamination,
     "op10_compact_windows": op10_compact_windows,
+    "op11_contextual_pii": op11_contextual_pii,
     "op12_filter_audit": op12_filter_audit,
     "op13_token_alignment": op13_token_alignment,
 }

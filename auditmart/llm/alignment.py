@@ -97,29 +97,14 @@ class Vocabularies:
         return a, b
 
 
-def align_window(a: list[int], b: list[int], a_length, b_length) -> list[tuple[list[int], list[int]]]:
-    """The groups of a window: A and B ids between two places where both end."""
-    out, i, j, at_a, at_b = [], 0, 0, 0, 0
-    from_a = from_b = 0
-    while i < len(a):
-        at_a += a_length[a[i]]
-        i += 1
-        while at_b < at_a and j < len(b):
-            at_b += b_length[b[j]]
-            j += 1
-        if at_a == at_b:
-            out.append((a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-    return out
-
-
 class Aligner:
     """Aligns batches of texts, remembering windows by their id tuples."""
 
     def __init__(self, a_path: str, b_path: str):
         self.words = Vocabularies(a_path, b_path)
         self.n_b = len(self.words.b_bytes)
-        self.a_length, self.b_length = self.words.a_length.tolist(), self.words.b_length.tolist()
+        lengths = self.words.a_length.tolist(), self.words.b_length.tolist()
+        self.tools = (*lengths, *(list(map(str, range(len(x)))) for x in lengths), self.n_b)
         self._forget()
 
     def _forget(self) -> None:
@@ -130,26 +115,52 @@ class Aligner:
         self.tokens = 0
 
     def _learn(self, key: tuple[bytes, bytes]) -> int:
-        a, b = (np.frombuffer(x, np.uint32).tolist() for x in key)
-        groups = align_window(a, b, self.a_length, self.b_length)
-        pairs: Counter = Counter()
-        for ga, gb in groups:
-            if len(ga) == len(gb) == 1:
-                pairs[ga[0] * self.n_b + gb[0]] += 1
+        """Align a new window: a group ends where A and B have spelt equally many bytes.  A
+        pair may be listed more than once; its links are summed per text."""
+        b = array("I", key[1])
+        a_length, b_length, a_text, b_text, n_b = self.tools
+        text: list[str] = []
+        codes: list[int] = []
+        ga: list[int] = []
+        j = ahead = 0  # ahead: bytes of A beyond those of B
+        from_b = 0
+        for x in array("I", key[0]):
+            ga.append(x)
+            ahead += a_length[x]
+            while ahead > 0:
+                ahead -= b_length[b[j]]
+                j += 1
+            if ahead:
                 continue
-            many_b = Counter(gb).items()
-            for x, n in Counter(ga).items():
-                for y, m in many_b:
-                    pairs[x * self.n_b + y] += n * m
+            if len(ga) == 1 == j - from_b:
+                y = b[from_b]
+                codes.append(x * n_b + y)
+                text.append(a_text[x] + "|" + b_text[y])
+            else:
+                gb = b[from_b:j]
+                text.append(",".join([a_text[x] for x in ga]) + "|" + ",".join([b_text[y] for y in gb]))
+                if len(ga) * len(gb) <= 256:
+                    codes += [x * n_b + y for x in ga for y in gb]
+                else:
+                    self._product(ga, gb)
+            ga, from_b = [], j
         self.known[key] = at = len(self.text)
-        self.text.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        self.groups.append(len(groups))
-        self.codes.extend(pairs.keys())
-        self.links.extend(pairs.values())
+        self.text.append(";".join(text))
+        self.groups.append(len(text))
+        self.codes.extend(codes)
+        self.links.extend([1] * len(codes))
+        self.tokens += j + len(self.codes) - self.begin[-1]
         self.begin.append(len(self.codes))
-        self.tokens += len(a) + len(b) + len(pairs)
         return at
 
+    def _product(self, ga, gb) -> None:
+        """The pairs of a long group, which has few different ids, with their numbers."""
+        many_b = Counter(gb).items()
+        for x, n in Counter(ga).items():
+            for y, m in many_b:
+                self.codes.append(x * self.n_b + y)
+                self.links.append(n * m)
+
     def align(self, texts: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """Per text: n_a, n_b, n_groups, n_links, the groups as a string, and its
         distinct pair codes (A id x size of B + B id, ascending) with their links."""
@@ -164,8 +175,8 @@ class Aligner:
         n_a, n_b = (np.array([len(e[k]) for _, e in ids]) for k in (0, 1))
         begin_a, begin_b = self._begins(a, self.words.a_length), self._begins(b, self.words.b_length)
         first = begin_a[np.cumsum(n_a) - n_a]  # byte at which each text begins, in both
+        # the space before it makes each text's first tokens one of them
         anchors = np.intersect1d(begin_a[self.words.a_space[a]], begin_b[self.words.b_space[b]], assume_unique=True)
-        anchors = np.union1d(anchors, first)
         windows = self._windows(a, b, np.searchsorted(begin_a, anchors), np.searchsorted(begin_b, anchors))
         doc = np.searchsorted(first, anchors, "right") - 1
         cuts = np.searchsorted(doc, np.arange(len(ids) + 1))

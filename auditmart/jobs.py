@@ -15,8 +15,9 @@ from . import model as m
 from .operators.audit import audit_base
 from .plans import daily_cancel, program_audit, signup_time, waitlist
 from .sources import driver_tables as dt
+from .sources.file_index import index_files, interleave
 from .sources.staging import denormalize, stage_tables
-from .sources.tables import TableRef, cluster, read_table, shared_dir, write_table
+from .sources.tables import TableRef, read_table, shared_dir, write_table
 
 
 @dataclass(frozen=True)
@@ -93,25 +94,28 @@ def run_all(spark: SparkSession, wh: Warehouse, mode: str = "append", parallel_j
 # --- staging -> warehouse -> report -----------------------------------------------------
 
 SOURCE_TABLES = ("events", "supplier", "customer", "nation")
+AUDIT_LAYOUT = [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.AUDIT_OPERATION_ID, m.CREATED_DATE]
 
 
 def build_warehouse(spark: SparkSession, staged: str, target: str) -> Warehouse:
     """Store the warehouse tables built from a staged database: the audit log
-    with its program's specialty carried onto it (W1), laid out by (program, season,
-    time) so operation filters and group keys prune its files, and the dimensions."""
+    with its program's specialty carried onto it (W1), interleaved by program, season,
+    operation and time so that a filter on any of them prunes its files, and the
+    dimensions."""
     programs = m.conform(dt.program_fact(spark, staged), m.PROGRAM_SCHEMA)
     specialties = programs.dropDuplicates([m.PROGRAM_ID])  # a carried parent must be unique
     audit = denormalize(
         audit_base(dt.audit_dim(spark, staged)), specialties, m.PROGRAM_ID, m.PROGRAM_ID, [m.SPECIALTY_ID]
     )
     tables = {
-        "audit_dim": cluster(audit, [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.CREATED_DATE]),
+        "audit_dim": interleave(audit, AUDIT_LAYOUT),
         "track_tier_slot_dim": m.conform(dt.track_tier_slot_dim(spark, staged), m.SLOT_SCHEMA),
         "application_state_dim": m.conform(dt.application_state_dim(spark, staged), m.APPLICATION_STATE_SCHEMA),
         "program_fact": programs,
     }
     for name, df in tables.items():
         write_table(df, f"{target}/{name}", mode="overwrite")
+    index_files(spark, f"{target}/audit_dim", AUDIT_LAYOUT)
     reports = {r: f"{target}/report/{r}" for r in ("program_audit", "waitlist", "signup_time", "daily_cancel")}
     return Warehouse(
         audit=f"{target}/audit_dim",
@@ -122,12 +126,26 @@ def build_warehouse(spark: SparkSession, staged: str, target: str) -> Warehouse:
     )
 
 
-def pipeline_report(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """The whole chain: stage the source tables under ``root`` (W0), build the
-    warehouse from the staged copies (W1), and compute R1 from the stored tables."""
+def staged_warehouse(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """Stage the source tables under ``root`` (W0) and build the warehouse from the
+    staged copies (W1)."""
     staged = f"{root}/staging"
     stage_tables(spark, {f"{t}.parquet": dt.table_path(sf_dir, t) for t in SOURCE_TABLES}, staged)
-    wh = build_warehouse(spark, staged, f"{root}/warehouse")
+    return build_warehouse(spark, staged, f"{root}/warehouse")
+
+
+def pipeline_report(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The whole chain: stage, build the warehouse, and compute R1 from the stored
+    tables."""
+    wh = staged_warehouse(spark, sf_dir, root)
     slots = m.conform(read_table(spark, wh.slots), m.SLOT_SCHEMA)
     programs = m.conform(read_table(spark, wh.programs), m.PROGRAM_SCHEMA)
     return program_audit.report(_audit(spark, wh), slots, programs)
+
+
+def pipeline_reports(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """The whole chain with every report computed from the stored tables and
+    written; says where."""
+    wh = staged_warehouse(spark, sf_dir, root)
+    run_all(spark, wh)
+    return wh

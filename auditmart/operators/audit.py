@@ -174,7 +174,7 @@ def actor_summary(audit: DataFrame) -> DataFrame:
     )
 
 
-def first_action_waitlist(audit: DataFrame) -> DataFrame:
+def first_action_waitlist(audit: DataFrame, colocated: bool = False) -> DataFrame:
     """Applications waitlisted at the moment of the user's first action.
 
     Only actors whose earliest waitlist sign-up equals their first action can
@@ -182,18 +182,23 @@ def first_action_waitlist(audit: DataFrame) -> DataFrame:
     exact semi-join reduction).  The join is on (program, season, actor,
     timestamp): hashing on the timestamp too spreads a hot actor over many
     partitions.  De-duplication after the join equals the source's
-    de-duplication before it because the summary is unique per actor."""
+    de-duplication before it because the summary is unique per actor.
+
+    ``colocated``: the log is stored in buckets of the actor keys without hot actors
+    (:mod:`auditmart.plans.colocated`).  The join then uses these keys alone, the
+    timestamp as a residual, so that no step of this function shuffles."""
     firsts = actor_summary(audit).where(F.col(FIRST_WAITLIST_DATE) == F.col(FIRST_ACTION_DATE)).select(
         *ACTOR_KEYS, F.col(FIRST_ACTION_DATE).alias(WAITLIST_DATE), HAS_SCHEDULED
     )
     signups = audit.where(is_waitlist_signup()).select(
         *ACTOR_KEYS, F.col(m.CREATED_DATE).alias(WAITLIST_DATE), m.APPLICATION_ID
     )
-    return (
-        signups.join(firsts, [*ACTOR_KEYS, WAITLIST_DATE])
-        .select(*ACTOR_KEYS, m.APPLICATION_ID, HAS_SCHEDULED)
-        .dropDuplicates([*ACTOR_KEYS, m.APPLICATION_ID])
-    )
+    if colocated:
+        first = F.col("_first")
+        joined = signups.join(firsts.withColumnRenamed(WAITLIST_DATE, "_first"), ACTOR_KEYS).where(F.col(WAITLIST_DATE) == first)
+    else:
+        joined = signups.join(firsts, [*ACTOR_KEYS, WAITLIST_DATE])
+    return joined.select(*ACTOR_KEYS, m.APPLICATION_ID, HAS_SCHEDULED).dropDuplicates([*ACTOR_KEYS, m.APPLICATION_ID])
 
 
 def scheduled_users(audit: DataFrame) -> DataFrame:

@@ -5,13 +5,16 @@ The source joins schedules to waitlist sign-ups on (user, event) keeping
 (user, program, season) keeping "invited earlier" (J9, F6).  The result is a
 bag: one row per (invitation, schedule, waitlist) triple (Q5).
 
-One plan at every size, over two disjoint sets of keys.  Candidate pairs are
-counted per key; a key with more than ``MAX_PAIRS_PER_KEY`` of them is *hot*.
+One plan at every size, over two disjoint sets of users.  Every join key holds the
+user, so a user's numbers of invitations, schedules and waitlists bound the pairs of
+all its keys.  One scan of the log before the joins bounds them by a frequency sketch
+(:mod:`auditmart.operators.frequent`); a user with more than ``MAX_PAIRS_PER_USER``
+possible pairs is *hot*.
 
-Cold keys take the source's equi-joins with residual inequalities, the
+Cold users take the source's equi-joins with residual inequalities, the
 schedule-waitlist pairs counted per schedule before the second join.
 
-Hot keys never enumerate candidate pairs:
+Hot users never enumerate candidate pairs:
 
 * rows that agree in key and time are interchangeable, so each side is first
   aggregated to (key, time) with a count; no ties remain and partial aggregation
@@ -35,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .. import model as m
 from ..functions import epoch_micros, seconds_between
+from ..operators.frequent import heavy_items
 from ..operators.ordered import ordered_counts, with_range
-from ..sources.tables import shared_dir
 
 INVITE_DATE = "invite_date"
 SCHEDULE_DATE = "schedule_date"
@@ -52,7 +55,8 @@ _SALT = "_salt"
 _SALTS = "_salts"
 
 # --- fixed values ----------------------------------------------------------------
-MAX_PAIRS_PER_KEY = 1_000_000  # candidate pairs of a key one task may enumerate
+MAX_PAIRS_PER_USER = 1_000_000  # candidate pairs of a user one task may enumerate
+ROWS_PER_PAIR = 100  # output rows a task may write for a cold user, per pair allowed
 RANK_BLOCK = 256  # invitation ranks fetched per probe row of a hot key
 REQUESTS_PER_SALT = 100_000  # requests for one (key, block) that one task serves
 CHUNK = 4096  # output rows of one pair that one task generates at a time
@@ -101,26 +105,52 @@ def _invites(audit: DataFrame) -> DataFrame:
     ).select(m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.USER_ID, F.col(m.CREATED_DATE).alias(INVITE_DATE))
 
 
-# --- hot and cold keys ------------------------------------------------------------
+# --- None if hot is None else cold users -----------------------------------------------------------
 
 USER_EVENT = [m.USER_ID, m.INTERVIEW_EVENT_ID]
 USER_GROUP = [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], weight: str | None, max_pairs: float) -> DataFrame:
-    """The ``keys`` whose rows of both sides make more than ``max_pairs`` pairs
-    (a pair counts ``weight`` of its left row).  Counts multiply as doubles, so no
-    product overflows.  Written once, since every consumer reads it."""
-    size = F.count(F.lit(1)) if weight is None else F.sum(F.col(weight).cast("double"))
-    a = left.groupBy(*keys).agg(size.cast("double").alias("_left"))
-    b = right.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_right"))
-    hot = a.join(b, keys).where(F.col("_left") * F.col("_right") > F.lit(float(max_pairs))).select(*keys)
-    shared_dir(left.sparkSession)
-    return hot.checkpoint(eager=True)
+def hot_users(audit: DataFrame, max_pairs: float, invitations: bool = True) -> DataFrame:
+    """(user_id) of the users that could make more than ``max_pairs`` schedule-waitlist
+    or invitation-schedule pairs, or ``ROWS_PER_PAIR`` times as many output rows;
+    without ``invitations`` only the first count.  A superset by the sketch's bounds:
+    a user found wrongly takes the dearer plan, with the same rows.  Counts
+    multiply as doubles, so no product overflows."""
+    sides = {"schedules": (_op() == m.SIGNUP_INTERVIEW) & _user_event(), "waitlists": (_op() == m.SIGNUP_WAITLIST) & _user_event()}
+    if invitations:
+        sides["invites"] = (_op() == m.INVITE) & _group_keys() & F.col(m.CREATED_DATE).isNotNull()
+
+    def heavy(n: dict[str, Column]) -> Column:
+        rows = {side: bound.cast("double") for side, bound in n.items()}
+        limit = F.lit(float(max_pairs))
+        many = rows["schedules"] * rows["waitlists"] > limit
+        if invitations:
+            invited = rows["invites"] * rows["schedules"]
+            many = many | (invited > limit) | (invited * rows["waitlists"] > limit * ROWS_PER_PAIR)
+        return many
+
+    codes = [m.INVITE, m.SIGNUP_INTERVIEW, m.SIGNUP_WAITLIST] if invitations else [m.SIGNUP_INTERVIEW, m.SIGNUP_WAITLIST]
+    return heavy_items(audit.where(_op().isin(codes)), m.USER_ID, sides, heavy)
+
+
+def _split(audit: DataFrame, max_pairs: float, invitations: bool = True) -> tuple[DataFrame | None, DataFrame | None]:
+    """The log of the None if cold is None else of the hot users; None where there is none.  Without a
+    bound all users are cold, with a negative one all are hot."""
+    if max_pairs == float("inf"):
+        return audit, None
+    if max_pairs < 0:
+        return None, audit
+    hot = hot_users(audit, max_pairs, invitations)
+    if hot.isEmpty():
+        return audit, None
+    return audit.join(hot, m.USER_ID, "left_anti"), audit.join(hot, m.USER_ID, "left_semi")
 
 
-def _split(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+def _union(cold: DataFrame | None, hot: DataFrame | None) -> DataFrame:
+    if cold is None or hot is None:
+        return hot if cold is None else cold
+    return cold.unionByName(hot)
 
 
 # --- J8 + F5: schedules with their waitlist multiplicity -----------------------------
@@ -159,33 +189,33 @@ def _counted(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(*SW_COLUMNS[:-1]).agg(F.count(F.lit(1)).alias(N_WAITLISTS)).select(*SW_COLUMNS)
 
 
+def _sw_cold(audit: DataFrame) -> DataFrame:
+    return _counted(_sw_pairs(_schedules(audit), _waitlists(audit)))
+
+
+def _sw_hot(audit: DataFrame, num_partitions: int | None) -> DataFrame:
+    return _sw_ordered(_schedules(audit), _waitlists(audit), num_partitions)
+
+
 def schedules_with_waitlists(
-    audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_KEY, num_partitions: int | None = None
+    audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_USER, num_partitions: int | None = None
 ) -> DataFrame:
     """J8 + F5 as counts: (program, season, user, schedule_date) with the number of
     matching (schedule, waitlist) pairs.  A bag after expanding ``n_waitlists``."""
-    cold, hot = _sw_parts(audit, max_pairs, num_partitions)
-    return _counted(cold) if hot is None else _counted(cold).unionByName(hot)
-
-
-def _sw_parts(audit: DataFrame, max_pairs: float, num_partitions: int | None) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs of the cold keys and counted pairs of the hot keys (None if no
-    key is hot)."""
-    schedules, waitlists = _schedules(audit), _waitlists(audit)
-    hot = hot_keys(schedules, waitlists, USER_EVENT, None, max_pairs)
-    if hot.isEmpty():
-        return _sw_pairs(schedules, waitlists), None
-    (cold_s, hot_s), (cold_w, hot_w) = (_split(df, hot, USER_EVENT) for df in (schedules, waitlists))
-    return _sw_pairs(cold_s, cold_w), _sw_ordered(hot_s, hot_w, num_partitions)
+    cold, hot = _split(audit, max_pairs, invitations=False)
+    return _union(None if cold is None else _sw_cold(cold), None if hot is None else _sw_hot(hot, num_partitions))
 
 
 def schedule_before_waitlist(
-    audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_KEY, num_partitions: int | None = None
+    audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_USER, num_partitions: int | None = None
 ) -> DataFrame:
     """J8 output as the source materialises it: one (program, season, user,
     schedule_date) row per matching waitlist sign-up."""
-    cold, hot = _sw_parts(audit, max_pairs, num_partitions)
-    return cold if hot is None else cold.unionByName(_copies(hot, F.col(N_WAITLISTS)).select(*SW_COLUMNS[:-1]))
+    cold, hot = _split(audit, max_pairs, invitations=False)
+    return _union(
+        None if cold is None else _sw_pairs(_schedules(cold), _waitlists(cold)),
+        None if hot is None else _copies(_sw_hot(hot, num_partitions), F.col(N_WAITLISTS)).select(*SW_COLUMNS[:-1]),
+    )
 
 
 def _copies(df: DataFrame, n: Column) -> DataFrame:
@@ -262,15 +292,12 @@ def _block_join(probe_blocks: DataFrame, invite_blocks: DataFrame, keys: list[st
     return probes.drop(_SALTS).join(invites.drop(_SALTS), [*join_keys, _SALT]).drop(_SALT)
 
 
-def report(audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_KEY, num_partitions: int | None = None) -> DataFrame:
-    """(program, season, user, signup_time seconds), a bag."""
-    invites = _invites(audit)
-    # at most a row per schedule time; the key counts and the join both read it
-    sw = schedules_with_waitlists(audit, max_pairs, num_partitions).where(
-        _group_keys() & F.col(SCHEDULE_DATE).isNotNull()
-    ).checkpoint(eager=True)
-    hot = hot_keys(sw, invites, USER_GROUP, N_WAITLISTS, max_pairs)
-    if hot.isEmpty():
-        return _report_cold(invites, sw)
-    (cold_i, hot_i), (cold_sw, hot_sw) = (_split(df, hot, USER_GROUP) for df in (invites, sw))
-    return _report_cold(cold_i, cold_sw).unionByName(_report_hot(hot_i, hot_sw, num_partitions))
+def report(audit: DataFrame, max_pairs: float = MAX_PAIRS_PER_USER, num_partitions: int | None = None) -> DataFrame:
+    """(program, season, user, signup_time seconds), a bag.  The sketch's scan runs
+    when the report is built; without hot users the rest is lazy."""
+    cold, hot = _split(audit, max_pairs)
+    dated = _group_keys() & F.col(SCHEDULE_DATE).isNotNull()
+    return _union(
+        None if cold is None else _report_cold(_invites(cold), _sw_cold(cold).where(dated)),
+        None if hot is None else _report_hot(_invites(hot), _sw_hot(hot, num_partitions).where(dated), num_partitions),
+    )

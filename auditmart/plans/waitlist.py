@@ -64,8 +64,13 @@ def waitlist_measures(faw: DataFrame, states: DataFrame) -> DataFrame:
 def base(audit: DataFrame, states: DataFrame) -> DataFrame:
     """J3 + E1: the waitlist base table; the invitation groups decide which rows
     exist (Q7)."""
+    return base_from(audit, ops.first_action_waitlist(audit), states)
+
+
+def base_from(audit: DataFrame, faw: DataFrame, states: DataFrame) -> DataFrame:
+    """The base table from the log and its first-action waitlist rows."""
     invites = ops.count_op(audit, m.INVITE, "total_invites")
-    joined = invites.join(waitlist_measures(ops.first_action_waitlist(audit), states), K, "left")
+    joined = invites.join(waitlist_measures(faw, states), K, "left")
     return joined.select(*K, *[nvl_zero(c).cast("long").alias(c) for c in MEASURES])
 
 

@@ -12,13 +12,15 @@ from . import jobs
 from . import model as m
 from .functions import nvl_zero, percent, round_div, seconds_between
 from .operators import audit as ops
-from .plans import daily_cancel, program_audit, signup_time, waitlist
-from .sources import cluster, read_table, scratch_path, write_table
+from .plans import colocated, daily_cancel, maintained, program_audit, signup_time, waitlist
+from .sources import cluster, range_predicates, read_table, scratch_path, split_points, write_table
 from .sources import driver_tables as dt
+from .sources import file_index, ledger
 from .sources.staging import denormalize, incremental_load, stage_full_copy
 from .streaming import single_file_glob, stage_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
+HOT_PAIRS = 100  # of the hot_users query
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +89,89 @@ def q_staging_incremental_stream(spark, sf_dir):
     return read_table(spark, target)
 
 
+def q_staging_incremental_indexed(spark, sf_dir):
+    """The log in four batches by time, each with rows that an earlier one held; a
+    load reads only the staged files that may hold one of its keys."""
+    source = read_table(spark, dt.table_path(sf_dir, "events"))
+    target = scratch_path(spark, "staging/events_indexed")
+    days = ["2024-01-01", "2024-01-09", "2024-01-16", "2024-01-23"]
+    for i, day in enumerate(days):
+        ts = F.col("ts")
+        last = F.lit("9999-01-01" if i + 1 == len(days) else days[i + 1]).cast("timestamp_ntz")
+        first = F.lit("0001-01-01" if i == 0 else days[i - 1]).cast("timestamp_ntz")  # from the batch before on
+        file_index.indexed_load(spark, source.where((ts >= first) & (ts < last)), target, ["event_id"])
+    file_index.indexed_load(spark, source.where("ts IS NULL"), target, ["event_id"])
+    return read_table(spark, target)
+
+
+def q_scan_interleaved(spark, sf_dir):
+    target = scratch_path(spark, "warehouse/audit_interleaved")
+    file_index.write_interleaved(audit(spark, sf_dir), target, jobs.AUDIT_LAYOUT)
+    return ops.audit_base(read_table(spark, target))
+
+
+def q_daily_cancel_interleaved(spark, sf_dir):
+    """R4 from the files of the interleaved log that may hold cancellations."""
+    target = scratch_path(spark, "warehouse/audit_interleaved")
+    file_index.write_interleaved(audit(spark, sf_dir), target, jobs.AUDIT_LAYOUT)
+    cancels = file_index.read_where(spark, target, {m.AUDIT_OPERATION_ID: (m.CANCEL_INTERVIEW, m.CANCEL_INTERVIEW)})
+    return daily_cancel.report(ops.audit_base(cancels))
+
+
+def q_hot_users(spark, sf_dir):
+    """The users that could make more than 100 schedule-waitlist pairs, and how many."""
+    a = audit(spark, sf_dir)
+    hot = signup_time.hot_users(a, HOT_PAIRS, invitations=False)
+    op, at_event = F.col(m.AUDIT_OPERATION_ID), F.col(m.INTERVIEW_EVENT_ID).isNotNull()
+    counts = a.where(at_event).join(hot, m.USER_ID, "left_semi").groupBy(m.USER_ID).agg(
+        F.count(F.when(op == m.SIGNUP_INTERVIEW, 1)).alias("n_schedules"),
+        F.count(F.when(op == m.SIGNUP_WAITLIST, 1)).alias("n_waitlists"),
+    )
+    return counts.where(F.col("n_schedules") * F.col("n_waitlists") > HOT_PAIRS)  # the sketch may name more
+
+
+def q_staging_split_rows(spark, sf_dir):
+    """Orders in 16 ranges of their customer key, as a range-partitioned read would deal
+    them: rows found in total and rows met twice or not at all."""
+    orders = read_table(spark, dt.table_path(sf_dir, "orders"))
+    conditions = range_predicates("o_custkey", split_points(orders, "o_custkey", 16))
+    met = sum((F.when(F.expr(c), 1).otherwise(0) for c in conditions), F.lit(0))
+    return orders.select(met.alias("met")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("met") != 1, 1)).alias("n_wrong")
+    )
+
+
+def q_write_ledger(spark, sf_dir):
+    """R4 written season by season, each write tried twice."""
+    target = scratch_path(spark, "report/daily_cancel_batches")
+    report = daily_cancel.report(audit(spark, sf_dir))
+    season = F.col(m.CALENDAR_SEASON_ID)
+    parts = {"first": season == 1, "rest": ~season.eqNullSafe(1)}
+    for batch_id, part in parts.items():
+        for _ in range(2):
+            ledger.write_batch(report.where(part), target, batch_id)
+    return ledger.read_batches(spark, target)
+
+
+def _maintained(spark, sf_dir):
+    """Day counts kept over three loads by event id, with days that reach into each
+    other, and a repeated load."""
+    state = scratch_path(spark, "maintained")
+    a, ids = dt.audit_dim, F.col("event_id") % 3
+    raw = read_table(spark, dt.table_path(sf_dir, "events"))
+    for part in (0, 1, 1, 2):
+        maintained.maintain(ops.audit_base(a(spark, sf_dir, raw.where(ids == part))), state, f"load-{part}")
+    return state
+
+
+def q_program_audit_maintained(spark, sf_dir):
+    return maintained.program_audit_report(spark, _maintained(spark, sf_dir), slots(spark, sf_dir), programs(spark, sf_dir))
+
+
+def q_daily_cancel_maintained(spark, sf_dir):
+    return maintained.daily_cancel_report(spark, _maintained(spark, sf_dir))
+
+
 def q_interview_events(spark, sf_dir):
     return m.conform(dt.interview_event_dim(spark, sf_dir), m.INTERVIEW_EVENT_SCHEMA)
 
@@ -97,6 +182,22 @@ def q_warehouse_pipeline(spark, sf_dir):
     return jobs.pipeline_report(spark, sf_dir, scratch_path(spark, "pipeline"))
 
 
+def _stored_report(name: str) -> Query:
+    """A report as the chain writes it: staged, stored in the interleaved warehouse,
+    computed from there."""
+
+    def q(spark, sf_dir):
+        wh = jobs.pipeline_reports(spark, sf_dir, scratch_path(spark, "pipeline"))
+        return read_table(spark, getattr(wh, f"{name}_report"))
+
+    return q
+
+
+q_warehouse_waitlist = _stored_report("waitlist")
+q_warehouse_signup_time = _stored_report("signup_time")
+q_warehouse_daily_cancel = _stored_report("daily_cancel")
+
+
 # --- projections / filters -------------------------------------------------------
 
 
@@ -231,6 +332,14 @@ def q_waitlist_report(spark, sf_dir):
     return waitlist.report(audit(spark, sf_dir), states(spark, sf_dir))
 
 
+def q_waitlist_report_bucketed(spark, sf_dir):
+    """R2 over the log stored in buckets of its actor keys."""
+    folder = scratch_path(spark, "warehouse/audit_bucketed")
+    log = colocated.BucketedLog(f"audit_bucketed_{folder.rsplit('/', 1)[1]}", f"{folder}/rest")
+    colocated.write_log(audit(spark, sf_dir), log, f"{folder}/buckets", num_buckets=16)
+    return colocated.waitlist_report(spark, log, states(spark, sf_dir))
+
+
 # --- signup time / daily cancel ------------------------------------------------------
 
 
@@ -324,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "total_waitlisted_to_withdrawn": q_total_waitlisted_to_withdrawn,
     "waitlist_base": q_waitlist_base,
     "waitlist_report": q_waitlist_report,
+    "waitlist_report_bucketed": q_waitlist_report_bucketed,
     "schedule_before_waitlist": q_schedule_before_waitlist,
     "signup_time_report": q_signup_time_report,
     "daily_cancel_report": q_daily_cancel_report,
@@ -331,8 +441,19 @@ QUERIES: dict[str, Query] = {
     "warehouse_denormalize": q_warehouse_denormalize,
     "staging_incremental": q_staging_incremental,
     "staging_incremental_stream": q_staging_incremental_stream,
+    "staging_incremental_indexed": q_staging_incremental_indexed,
+    "staging_split_rows": q_staging_split_rows,
+    "scan_interleaved": q_scan_interleaved,
+    "daily_cancel_interleaved": q_daily_cancel_interleaved,
+    "hot_users": q_hot_users,
+    "write_ledger": q_write_ledger,
+    "program_audit_maintained": q_program_audit_maintained,
+    "daily_cancel_maintained": q_daily_cancel_maintained,
     "interview_events": q_interview_events,
     "warehouse_pipeline": q_warehouse_pipeline,
+    "warehouse_waitlist": q_warehouse_waitlist,
+    "warehouse_signup_time": q_warehouse_signup_time,
+    "warehouse_daily_cancel": q_warehouse_daily_cancel,
     "expr_nvl_zero": q_expr_nvl_zero,
     "expr_round_div": q_expr_round_div,
     "expr_percent": q_expr_percent,

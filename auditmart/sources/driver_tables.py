@@ -48,9 +48,9 @@ def _case(col: str, mapping: dict, cast: str):
     return expr.cast(cast)
 
 
-def audit_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """audit_dim from ``events``: one row per user operation."""
-    ev = raw(spark, sf_dir, "events")
+def audit_dim(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """audit_dim from ``events`` (or from some of its rows): one row per user operation."""
+    ev = raw(spark, sf_dir, "events") if events is None else events
     eid = F.col("event_id")
     cutoff = F.lit(SEASON_CUTOFF).cast("timestamp_ntz")
     return ev.select(

@@ -140,7 +140,7 @@ def incremental_load(
         if ts_col is not None and (since := high_watermark(existing, ts_col)) is not None:
             recent = F.col(ts_col).isNull() | (F.col(ts_col) >= since)
             batch, existing = batch.where(recent), existing.where(recent)
-        held = existing.select(*(F.col(k).alias(f"_held_{k}") for k in keys)).distinct()
+        held = existing.select(*(F.col(k).alias(f"_held_{k}") for k in keys))
         same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys))
         batch = batch.join(held, same, "left_anti")
     write_table(staging_projection(batch, text_limits), target, mode="append")

@@ -1,0 +1,168 @@
+"""File ranges: incremental loads that read only the files that may hold a key, and
+interleaved layouts that prune on any of their columns."""
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from auditmart import model as m
+from auditmart.operators import audit as ops
+from auditmart.plans import daily_cancel
+from auditmart.queries import QUERIES
+from auditmart.sources import cluster, read_table, scratch_path, write_table
+from auditmart.sources import file_index as fi
+from conftest import SF
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def ids(spark, target):
+    return sorted(r["id"] for r in read_table(spark, target).select("id").collect())
+
+
+def rows(spark, lo, hi, parts=8):
+    return spark.range(lo, hi, 1, parts).selectExpr("id", "CAST(id AS STRING) AS name", "repeat('x', 200) AS pad")
+
+
+def test_choose_counts_bounds(spark):
+    bounds = [-3, 0, 4, 4, 9]
+    got = spark.range(-6, 12).select("id", fi.choose(F.col("id"), bounds).alias("n")).collect()
+    assert all(r["n"] == sum(b <= r["id"] for b in bounds) for r in got)
+    assert spark.range(2).select(fi.choose(F.col("id"), [])).first()[0] == 0
+
+
+def test_load_reads_only_files_that_may_hold_a_key(spark):
+    target = scratch_path(spark, "test/indexed")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # eight files a load
+        first = fi.indexed_load(spark, rows(spark, 0, 40_000), target, ["id"])
+        assert (first.files, first.files_read) == (0, 0)
+        # new keys only: nothing of the target is read
+        new = fi.indexed_load(spark, rows(spark, 40_000, 44_000), target, ["id"])
+        assert new.files == 8 and new.files_read == 0
+        # a late key, a repeated one and new ones: two old files
+        late = rows(spark, 7, 8).union(rows(spark, 39_990, 39_992)).union(rows(spark, 44_000, 44_010))
+        report = fi.indexed_load(spark, late, target, ["id"])
+        assert report.files == 16 and report.files_read == 2
+        assert 0 < report.bytes_read < report.bytes_known / 4
+        assert ids(spark, target) == list(range(44_010))
+        # bytes read grow with the batch
+        half = fi.indexed_load(spark, rows(spark, 0, 20_000), target, ["id"])
+        assert report.files_read < half.files_read <= 5 and report.bytes_read < half.bytes_read < half.bytes_known
+        assert ids(spark, target) == list(range(44_010))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_files_without_ranges_are_read(spark):
+    """Rows that another job appended have no entry and are still met."""
+    target = scratch_path(spark, "test/indexed_unknown")
+    fi.indexed_load(spark, rows(spark, 0, 100), target, ["id"])
+    write_table(rows(spark, 500, 600, 2), target)
+    report = fi.indexed_load(spark, rows(spark, 550, 700), target, ["id"])
+    assert report.files_read == 2
+    assert ids(spark, target) == [*range(100), *range(500, 700)]
+    # by now all files are known; a table written without the index at all works too
+    assert fi.indexed_load(spark, rows(spark, 5000, 5001), target, ["id"]).files_read == 0
+    plain = scratch_path(spark, "test/indexed_plain")
+    write_table(rows(spark, 0, 50, 2), plain)
+    fi.indexed_load(spark, rows(spark, 40, 60), plain, ["id"])
+    assert ids(spark, plain) == list(range(60))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_null_compound_and_timestamp_keys(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        at = dt.datetime(2024, 11, 3, 1, 30)
+        data = [(1, at, "a"), (1, None, "b"), (None, at, "c"), (None, None, "d"), (2, at + dt.timedelta(hours=2), "é")]
+        schema = "k int, ts timestamp_ntz, id string"
+        target = scratch_path(spark, "test/indexed_nulls")
+        for upto in (2, 4, 5, 5):
+            fi.indexed_load(spark, spark.createDataFrame(data[:upto], schema), target, ["k", "ts"])
+        assert ids(spark, target) == ["a", "b", "c", "d", "é"]
+        by_name = scratch_path(spark, "test/indexed_names")
+        for upto in (2, 5, 5):
+            fi.indexed_load(spark, spark.createDataFrame(data[:upto], schema), by_name, ["id"])
+        assert ids(spark, by_name) == ["a", "b", "c", "d", "é"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_empty_batches_and_tables(spark):
+    target = scratch_path(spark, "test/indexed_empty")
+    empty = rows(spark, 0, 0)
+    fi.indexed_load(spark, empty, target, ["id"])
+    fi.indexed_load(spark, rows(spark, 0, 10), target, ["id"])
+    report = fi.indexed_load(spark, empty, target, ["id"])
+    assert report.files_read == 0 and ids(spark, target) == list(range(10))
+
+
+# --- interleaved layout -------------------------------------------------------------------
+
+
+LAYOUT = [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.AUDIT_OPERATION_ID, m.CREATED_DATE]
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    """The audit log in the compound and in the interleaved layout, 64 files each."""
+    audit = QUERIES["audit_base"](spark, SF["0.1"])
+    paths = scratch_path(spark, "test/compound"), scratch_path(spark, "test/interleaved")
+    compound = cluster(audit, [m.PROGRAM_ID, m.CALENDAR_SEASON_ID, m.CREATED_DATE], 64)
+    write_table(compound, paths[0], mode="overwrite")
+    fi.index_files(spark, paths[0], LAYOUT)
+    fi.write_interleaved(audit, paths[1], LAYOUT, 64)
+    return audit, *paths
+
+
+def files_for(spark, path, column, value):
+    selection = fi.select_files(spark, path, [{column: (value, value, False)}])
+    return len(selection.paths), selection.n_files
+
+
+def test_any_column_prunes_files(spark, stored):
+    audit, compound, interleaved = stored
+    assert bag(read_table(spark, interleaved)) == bag(audit)
+    for column, value in ((m.AUDIT_OPERATION_ID, m.CANCEL_INTERVIEW), (m.AUDIT_OPERATION_ID, m.WITHDRAW), (m.PROGRAM_ID, 3), (m.CALENDAR_SEASON_ID, 2)):
+        read, files = files_for(spark, interleaved, column, value)
+        assert files == 64 and read <= 40, (column, read)
+    read, files = files_for(spark, compound, m.AUDIT_OPERATION_ID, m.CANCEL_INTERVIEW)
+    assert read == files == 64  # the compound key prunes nothing on the operation
+    assert files_for(spark, interleaved, m.AUDIT_OPERATION_ID, m.CANCEL_INTERVIEW)[0] <= 32
+
+
+def test_read_where_equals_a_filter(spark, stored):
+    audit, _, interleaved = stored
+    cancels = fi.read_where(spark, interleaved, {m.AUDIT_OPERATION_ID: (5, 5)})
+    assert len(cancels.inputFiles()) <= 32
+    assert bag(cancels) == bag(audit.where("audit_operation_id = 5"))
+    expected = daily_cancel.report(audit)
+    assert bag(daily_cancel.report(ops.audit_base(cancels))) == bag(expected)
+    day = (dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21))
+    got = fi.read_where(spark, interleaved, {m.CREATED_DATE: day, m.PROGRAM_ID: (2, 3)})
+    assert bag(got) == bag(audit.where("program_id IN (2, 3) AND created_date BETWEEN '2024-01-20' AND '2024-01-21'"))
+    assert fi.read_where(spark, interleaved, {m.PROGRAM_ID: (77, 90)}).count() == 0
+
+
+def test_interleaved_key_of_skewed_null_and_text_columns(spark):
+    """Nine tenths of the rows in one program, nulls, strings: rows are kept and files
+    of the other column still prune."""
+    df = spark.range(0, 40_000, 1, 8).selectExpr(
+        "IF(id % 10 = 0, id % 500, 7) AS program", "concat('op', (id * 7919) % 8) AS op", "IF(id % 13 = 0, NULL, id * 31 % 40000) AS t"
+    )
+    target = scratch_path(spark, "test/interleaved_skew")
+    fi.write_interleaved(df, target, ["program", "op", "t"], 32)
+    assert bag(read_table(spark, target)) == bag(df)
+    for column, value, most in (("op", "op3", 12), ("t", 20_000, 16)):
+        read, files = files_for(spark, target, column, value)
+        assert read <= most < files
+    with pytest.raises(ValueError):
+        fi.interleaved_key(df, ["program"] * 20)
+    assert fi.interleave(df.limit(0), ["program", "op"]).count() == 0

@@ -43,7 +43,7 @@ def test_waitlist(case):
     assert bag(out.collect()) == bag(expected)
 
 
-@pytest.mark.parametrize("max_pairs", [float("inf"), 1, -1, signup_time.MAX_PAIRS_PER_KEY])
+@pytest.mark.parametrize("max_pairs", [float("inf"), 1, -1, signup_time.MAX_PAIRS_PER_USER])
 def test_signup_time_is_a_bag(case, max_pairs):
     """No hot key, some hot keys, all keys hot, and the default bound."""
     name, audit, _, _ = case

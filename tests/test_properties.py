@@ -68,12 +68,10 @@ def test_hot_user_plans_agree(spark, all_tied):
     assert all_tied or split.count() > 100_000
 
 
-def test_only_hot_keys_leave_the_join(spark):
+def test_only_hot_users_leave_the_join(spark):
     log = hot_user_log(spark)
-    hot = signup_time.hot_keys(
-        signup_time._schedules(log), signup_time._waitlists(log), signup_time.USER_EVENT, None, 10_000
-    )
-    assert {r["user_id"] for r in hot.collect()} == {1}
+    assert {r["user_id"] for r in signup_time.hot_users(log, 10_000).collect()} == {1}
+    assert {r["user_id"] for r in signup_time.hot_users(log, 10_000, invitations=False).collect()} == {1}
 
 
 def test_tied_rows_of_a_hot_user_become_one_weighted_row(spark):
@@ -94,13 +92,6 @@ def test_tied_rows_of_a_hot_user_become_one_weighted_row(spark):
     assert sum(per_task) == 60_000 and len(per_task) > 1
 
 
-def test_pair_counts_do_not_overflow(spark):
-    """Two sides of 4e9 rows per key: the product is counted as a double."""
-    sides = spark.createDataFrame([(1, 4 * 10**9)], "k long, w long")
-    many = sides.selectExpr("k", "CAST(w AS DOUBLE) * 4e9D AS w")  # 1.6e19, more than a long holds
-    assert signup_time.hot_keys(many, sides.select("k"), ["k"], "w", 1e18).count() == 1
-
-
 def test_ordered_counts_empty_sides(spark):
     p = spark.createDataFrame([(1, 1, 5), (2, 1, 7)], "pid long, k long, o long")
     empty = spark.createDataFrame([], "k long, o long")

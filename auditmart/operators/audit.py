@@ -194,8 +194,9 @@ def first_action_waitlist(audit: DataFrame, colocated: bool = False) -> DataFram
         *ACTOR_KEYS, F.col(m.CREATED_DATE).alias(WAITLIST_DATE), m.APPLICATION_ID
     )
     if colocated:
-        first = F.col("_first")
-        joined = signups.join(firsts.withColumnRenamed(WAITLIST_DATE, "_first"), ACTOR_KEYS).where(F.col(WAITLIST_DATE) == first)
+        # two inequalities: an equality would become a fourth join key and shuffle both sides
+        at_first = F.col(WAITLIST_DATE).between(F.col("_first"), F.col("_first"))
+        joined = signups.join(firsts.withColumnRenamed(WAITLIST_DATE, "_first"), ACTOR_KEYS).where(at_first)
     else:
         joined = signups.join(firsts, [*ACTOR_KEYS, WAITLIST_DATE])
     return joined.select(*ACTOR_KEYS, m.APPLICATION_ID, HAS_SCHEDULED).dropDuplicates([*ACTOR_KEYS, m.APPLICATION_ID])

@@ -31,13 +31,13 @@ def stored(spark, log_rows, name, hot_rows):
 def ancestors(plan):
     """For every file scan of an executed plan's text, the operators above it, nearest
     first."""
-    lines = [(len(x) - len(x.lstrip(" :+-*()0123456789")), x) for x in plan.splitlines() if x.strip()]
+    lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in plan.splitlines() if x.strip()]
     for i, (depth, text) in enumerate(lines):
         if "FileScan" in text:
             above = []
             for d, t in reversed(lines[:i]):
                 if d < depth:
-                    above.append(t.lstrip(" :+-*()0123456789"))
+                    above.append(t.lstrip(" :+-"))
                     depth = d
             yield text, above
 

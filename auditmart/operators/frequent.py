@@ -18,7 +18,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import scratch_path, write_table
+from ..sources.tables import scratch_copy
 
 SKETCH_ITEMS = 65_536  # items that one sketch follows
 
@@ -84,7 +84,7 @@ def heavy_items(
         *(F.max(f"_entry._n_{n}").alias(f"_n_{n}") for n in names)
     )
     bounds = {n: F.greatest(F.col(f"_n_{n}"), F.col(f"_rest_{n}")) for n in names}
-    found = _written(counts.where(F.col("_weak") | heavy(bounds)).select(item, "_bucket", "_weak"))
+    found = scratch_copy(counts.where(F.col("_weak") | heavy(bounds)).select(item, "_bucket", "_weak"), "heavy_items")
     weak = found.where("_weak").select("_bucket")
     known = found.where("NOT _weak").select(item)
     if weak.isEmpty():
@@ -92,10 +92,4 @@ def heavy_items(
     exact = tagged.join(weak, "_bucket", "left_semi").groupBy(F.col("_item").alias(item)).agg(
         *(F.count(F.when(F.col(f"_is_{n}"), 1)).alias(f"_n_{n}") for n in names)
     )
-    return _written(known.unionByName(exact.where(heavy({n: F.col(f"_n_{n}") for n in names})).select(item)))
-
-
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "heavy_items")
-    write_table(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return scratch_copy(known.unionByName(exact.where(heavy({n: F.col(f"_n_{n}") for n in names})).select(item)), "heavy_items")

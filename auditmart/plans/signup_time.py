@@ -7,9 +7,9 @@ bag: one row per (invitation, schedule, waitlist) triple (Q5).
 
 One plan at every size, over two disjoint sets of users.  Every join key holds the
 user, so a user's numbers of invitations, schedules and waitlists bound the pairs of
-all its keys.  One scan of the log before the joins bounds them by a frequency sketch
-(:mod:`auditmart.operators.frequent`); a user with more than ``MAX_PAIRS_PER_USER``
-possible pairs is *hot*.
+all its keys.  One scan of the log before the joins finds the users with many rows by a
+frequency sketch (:mod:`auditmart.operators.frequent`), and only these are counted
+exactly; a user with more than ``MAX_PAIRS_PER_USER`` possible pairs is *hot*.
 
 Cold users take the source's equi-joins with residual inequalities, the
 schedule-waitlist pairs counted per schedule before the second join.
@@ -33,6 +33,9 @@ Hot users never enumerate candidate pairs:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,7 @@ from .. import model as m
 from ..functions import epoch_micros, seconds_between
 from ..operators.frequent import heavy_items
 from ..operators.ordered import ordered_counts, with_range
+from ..sources.tables import scratch_copy
 
 INVITE_DATE = "invite_date"
 SCHEDULE_DATE = "schedule_date"
@@ -114,24 +118,33 @@ USER_GROUP = [m.USER_ID, m.PROGRAM_ID, m.CALENDAR_SEASON_ID]
 def hot_users(audit: DataFrame, max_pairs: float, invitations: bool = True) -> DataFrame:
     """(user_id) of the users that could make more than ``max_pairs`` schedule-waitlist
     or invitation-schedule pairs, or ``ROWS_PER_PAIR`` times as many output rows;
-    without ``invitations`` only the first count.  A superset by the sketch's bounds:
-    a user found wrongly takes the dearer plan, with the same rows.  Counts
-    multiply as doubles, so no product overflows."""
+    without ``invitations`` only the first count.
+
+    n rows make at most (n/2)^2 pairs and (n/3)^3 triples, so one sketch of rows per user
+    finds all candidates in one scan.  Only where there are any, a second scan counts
+    their operations exactly.  Counts multiply as doubles, so no product overflows."""
+    limit = F.lit(float(max_pairs))
     sides = {"schedules": (_op() == m.SIGNUP_INTERVIEW) & _user_event(), "waitlists": (_op() == m.SIGNUP_WAITLIST) & _user_event()}
     if invitations:
         sides["invites"] = (_op() == m.INVITE) & _group_keys() & F.col(m.CREATED_DATE).isNotNull()
 
-    def heavy(n: dict[str, Column]) -> Column:
-        rows = {side: bound.cast("double") for side, bound in n.items()}
-        limit = F.lit(float(max_pairs))
-        many = rows["schedules"] * rows["waitlists"] > limit
-        if invitations:
-            invited = rows["invites"] * rows["schedules"]
-            many = many | (invited > limit) | (invited * rows["waitlists"] > limit * ROWS_PER_PAIR)
-        return many
-
-    codes = [m.INVITE, m.SIGNUP_INTERVIEW, m.SIGNUP_WAITLIST] if invitations else [m.SIGNUP_INTERVIEW, m.SIGNUP_WAITLIST]
-    return heavy_items(audit.where(_op().isin(codes)), m.USER_ID, sides, heavy)
+    def possible(n: dict[str, Column]) -> Column:
+        rows = n["rows"].cast("double")
+        many = rows * rows / 4 > limit
+        return many | (rows * rows * rows / 27 > limit * ROWS_PER_PAIR) if invitations else many
+
+    rows = audit.where(reduce(or_, sides.values()))
+    candidates = heavy_items(rows, m.USER_ID, {"rows": F.lit(True)}, possible)
+    if candidates.isEmpty():
+        return candidates
+    counts = rows.join(candidates, m.USER_ID, "left_semi").groupBy(m.USER_ID).agg(
+        *(F.count(F.when(side, 1)).cast("double").alias(name) for name, side in sides.items())
+    )
+    many = F.col("schedules") * F.col("waitlists") > limit
+    if invitations:
+        invited = F.col("invites") * F.col("schedules")
+        many = many | (invited > limit) | (invited * F.col("waitlists") > limit * ROWS_PER_PAIR)
+    return scratch_copy(counts.where(many).select(m.USER_ID), "hot_users")
 
 
 def _split(audit: DataFrame, max_pairs: float, invitations: bool = True) -> tuple[DataFrame | None, DataFrame | None]:

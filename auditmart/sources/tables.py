@@ -229,6 +229,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{base}/{purpose}/{uuid.uuid4().hex}"
 
 
+def scratch_copy(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a scratch table and read back: lineage is cut, and later plans
+    know the table's size."""
+    path = scratch_path(df.sparkSession, purpose)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _application(spark: SparkSession) -> str:
     """The application id; on the first call its scratch folder is made and
     handed to the file system for deletion at exit."""

@@ -70,6 +70,8 @@ class Vocabularies:
             "a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        if not all(bytes([b]) in ranks for b in range(256)):
+            raise ValueError("A has no token for some byte, so it cannot spell every text")
         self.a_bytes = [b""] * (max(ranks.values()) + 1)
         for piece, i in ranks.items():
             self.a_bytes[i] = piece
@@ -78,6 +80,8 @@ class Vocabularies:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(self.b.id_to_piece(list(range(n))))
         ]
+        # ids as 2 bytes where both vocabularies allow: shorter keys of windows
+        self.dtype, self.code = ("<u2", "H") if max(n, len(self.a_bytes)) <= 1 << 16 else ("<u4", "I")
         self.a_length, self.a_space = self._sizes(self.a_bytes)
         self.b_length, self.b_space = self._sizes(self.b_bytes)
 
@@ -85,16 +89,21 @@ class Vocabularies:
     def _sizes(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.array([len(p) for p in pieces], np.int64), np.array([p[:1] == b" " for p in pieces], bool)
 
-    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of space + text by A and of text by B (which adds the space); None for
-        an empty text or one that either does not spell out byte by byte."""
+        an empty text or one that either does not spell out byte by byte.  A never
+        changes a byte (it has a token for each), so its length tells; B normalises, so
+        its bytes are compared."""
         if not text:
             return None
-        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text)
         whole = (" " + text).encode("utf-8")
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+        b = self.b.encode(text)
+        if b"".join(map(self.b_bytes.__getitem__, b)) != whole:
             return None
-        return a, b
+        a = np.array(self.a.encode_ordinary(" " + text), self.dtype)
+        if int(self.a_length[a].sum()) != len(whole):
+            return None
+        return a, np.array(b, self.dtype)
 
 
 class Aligner:
@@ -117,14 +126,14 @@ class Aligner:
     def _learn(self, key: tuple[bytes, bytes]) -> int:
         """Align a new window: a group ends where A and B have spelt equally many bytes.  A
         pair may be listed more than once; its links are summed per text."""
-        b = array("I", key[1])
+        b = array(self.words.code, key[1])
         a_length, b_length, a_text, b_text, n_b = self.tools
         text: list[str] = []
         codes: list[int] = []
         ga: list[int] = []
         j = ahead = 0  # ahead: bytes of A beyond those of B
         from_b = 0
-        for x in array("I", key[0]):
+        for x in array(self.words.code, key[0]):
             ga.append(x)
             ahead += a_length[x]
             while ahead > 0:
@@ -171,7 +180,7 @@ class Aligner:
         ids = [(i, e) for i, e in enumerate(map(self.words.encode, texts)) if e]
         if not ids:
             return out
-        a, b = (np.concatenate([np.array(e[k], np.uint32) for _, e in ids]) for k in (0, 1))
+        a, b = (np.concatenate([e[k] for _, e in ids]) for k in (0, 1))
         n_a, n_b = (np.array([len(e[k]) for _, e in ids]) for k in (0, 1))
         begin_a, begin_b = self._begins(a, self.words.a_length), self._begins(b, self.words.b_length)
         first = begin_a[np.cumsum(n_a) - n_a]  # byte at which each text begins, in both
@@ -198,7 +207,7 @@ class Aligner:
 
     def _windows(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
         raw_a, raw_b, known = a.tobytes(), b.tobytes(), self.known
-        edges_a, edges_b = [*(at_a * 4).tolist(), len(raw_a)], [*(at_b * 4).tolist(), len(raw_b)]
+        edges_a, edges_b = [*(at_a * a.itemsize).tolist(), len(raw_a)], [*(at_b * b.itemsize).tolist(), len(raw_b)]
         out = []
         for i, j, k, m in zip(edges_a, edges_a[1:], edges_b, edges_b[1:]):
             key = (raw_a[i:j], raw_b[k:m])

@@ -1,5 +1,7 @@
 """Operators 2 and 5 against the tokenizer itself."""
 
+import json
+import random
 import zlib
 from collections import Counter
 
@@ -31,6 +33,30 @@ def test_encoder_equals_the_tokenizer(tokenizer, spark, sf):
         assert got == [ids_of(tokenizer, t) for t in texts]
 
 
+def test_plain_texts_by_ranks_equal_the_tokenizer(tokenizer):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZ éèÀßÿ0123456789''''.,!?-&#$%*()\n\t  stmdrevell"
+    pieces = [p.replace("</w>", " ") for p in tokenizer.get_vocab() if not p.startswith("<|")]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 300))) for _ in range(2000)]
+    texts += ["".join(rng.choices(pieces, k=40)) for _ in range(500)]
+    texts += ["it's we'll I'm they'RE 'tis 's ''s 'lll a'b'c'd 1's é's don't'd've", "", " ", "'", "x'", "'ll", "a" * 400]
+    texts += ["<|endoftext|>", "a" * 401, "two\u00a0words", "cafe\u0301", "日本 text", "×÷ ª²", "\x00a"]  # not plain
+    enc = tokens.Encoder(tokens.vocabulary_path())
+    got = enc.ranks.encode(texts)
+    assert got[-7:] == [None] * 7 and sum(x is not None for x in got) > 2000
+    want = [np.array(e.ids, enc.dtype).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert all(x is None or x == y for x, y in zip(got, want))
+    assert enc.encode(texts) == want
+
+
+def test_other_rules_take_no_ranks(tmp_path):
+    with open(tokens.vocabulary_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"]["normalizers"].pop(0)
+    (tmp_path / "v.json").write_text(json.dumps(spec))
+    assert tokens.Encoder(str(tmp_path / "v.json")).ranks is None
+
+
 def test_histogram_against_brute_force(spark, docs_of, tokenizer):
     docs = docs_of([(i, t) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0])])
     n = [len(ids_of(tokenizer, r["text"])) for r in docs.collect()]

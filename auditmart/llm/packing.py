@@ -6,13 +6,17 @@ of the window's tokens; what rounding leaves is carried as the queue's deficit
 into the next window.  A queue that runs dry leaves its share to the others.
 
 With fixed shares the round-robin has a closed form, so windows need no
-sequential pass.  In virtual time ``v`` queue s has served
-``min(total_s, weight_s * v)`` tokens; window w ends at the ``v`` at which all
-queues together have served ``w * window`` tokens, and rounding down the running
-sum over the queues (in queue order) gives whole tokens that add up to exactly
-the window.  The deficit of a queue, its exact share less what it was served, is
-therefore less than one token after every window, over the whole corpus and all
-partitions.  Each document needs only its queue's offset: offsets inside an input
+sequential pass.  In virtual time ``v`` a queue is owed ``weight * v`` tokens and has
+been served that number, rounded, up to its total.  Token j of a queue is thus due at
+``(j + 1/2) / weight``, and the stream is all tokens by their due time, ties (in
+floats) by queue.  Window w ends at the earliest time by which ``w * window`` tokens are due; of
+those due at just that time the first queues' go in.  Served counts never fall from
+one window to the next, however small a queue's share of a window is, and after
+every window a queue's deficit is at most one token more than its share of half a
+token per queue (no drift over the corpus).  Finding a window's end costs one pass
+over the queues per bit of a float, whatever the number of windows.
+
+Each document needs only its queue's offset: offsets inside an input
 partition are counted while encoding, and the partitions' totals (one row per
 partition and queue) are summed by a window, so a source holding a third of all
 rows is never gathered in one task.
@@ -24,7 +28,6 @@ are powers of two, so there is no padding."""
 from __future__ import annotations
 
 import zlib
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +40,11 @@ from .tokens import encoder, vocabulary_path
 
 SEQUENCE = 4096
 WINDOW_SEQUENCES = 64
-MAX_QUEUES = 1024  # the smallest sources beyond that share one queue
+MAX_QUEUES = 1024  # the smallest sources without a weight of their own share one queue beyond that
+CACHE_BYTES = 16 << 20  # ends of windows that a task remembers
 END_ID = 2
 
+_REST = "\0rest"
 _ENCODED = "doc_id long, queue string, lane int, lane_start long, n long, ids binary"
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -76,77 +81,92 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(run, _ENCODED)
 
 
+class Phase:
+    """Queues that are served together, by their weights."""
+
+    def __init__(self, totals: list[int], weights: list[float]):
+        self.totals = np.array(totals, np.int64)
+        self.total = int(self.totals.sum())
+        self.weights = np.array(weights, np.float64)
+        if len(totals):
+            self.weights = self.weights / self.weights.max()
+        # a little later than the last token is due, so that rounding loses none
+        self.end = float(((self.totals + 1) / self.weights).max()) if len(totals) else 0.0
+
+    def due(self, v: float) -> np.ndarray:
+        """Tokens of each queue that are due by the time ``v``."""
+        return np.minimum(self.totals, np.floor(self.weights * v + 0.5).astype(np.int64))
+
+    def served(self, goal: int) -> np.ndarray:
+        """Tokens of each queue among the first ``goal`` tokens of the stream."""
+        if goal >= self.total:
+            return self.totals
+        # positive floats are ordered like their bits: bisect to two neighbours
+        low, high = 0, int(np.float64(self.end).view(np.int64))
+        while high - low > 1:
+            middle = (low + high) // 2
+            if int(self.due(float(np.int64(middle).view(np.float64))).sum()) > goal:
+                high = middle
+            else:
+                low = middle
+        before = self.due(float(np.int64(low).view(np.float64)))
+        tied = self.due(float(np.int64(high).view(np.float64))) - before
+        room = np.clip(goal - int(before.sum()) - (np.cumsum(tied) - tied), 0, tied)
+        return before + room
+
+    def rank(self, i: int, token: int) -> int:
+        """About where a queue's token stands in the stream."""
+        return int(self.due((token + 0.5) / float(self.weights[i])).sum())
+
+
 class Shares:
     """What each queue has been served after each window (see the module)."""
 
     def __init__(self, totals: dict[str, int], weights: dict[str, float] | None, window: int):
         self.window, self.total = window, sum(totals.values())
-        self.queues = sorted(q for q in totals if totals[q])
-        self.totals = [totals[q] for q in self.queues]
-        if weights is None:
-            self.weights = [Fraction(t) for t in self.totals]
-        else:
-            self.weights = [Fraction(weights.get(q, 0)).limit_denominator(10**6) for q in self.queues]
+        self.last = max(0, -(-self.total // window) - 1)
+        queues = sorted(q for q in totals if totals[q])
+        weight = {q: float(totals[q]) if weights is None else float(weights.get(q, 0)) for q in queues}
         # queues without a weight are served when all others are dry
-        late = [i for i, w in enumerate(self.weights) if w <= 0]
-        dry = max((Fraction(t) / w for t, w in zip(self.totals, self.weights) if w > 0), default=Fraction(0))
-        self.begin = [dry if i in set(late) else Fraction(0) for i in range(len(self.queues))]
-        for i in late:
-            self.weights[i] = Fraction(self.totals[i])
-        ends = {b + Fraction(t) / w for t, w, b in zip(self.totals, self.weights, self.begin)}
-        self.knots = sorted(ends | set(self.begin) | {Fraction(0)})
-        self.at_knot = [self._served(v) for v in self.knots]
-        self.index = {q: i for i, q in enumerate(self.queues)}
-        self._cache: dict[int, list[int]] = {}
-
-    def _queue(self, i: int, v: Fraction) -> Fraction:
-        return min(Fraction(self.totals[i]), max(Fraction(0), self.weights[i] * (v - self.begin[i])))
-
-    def _served(self, v: Fraction) -> Fraction:
-        return sum((self._queue(i, v) for i in range(len(self.queues))), Fraction(0))
-
-    def running(self, w: int) -> list[int]:
-        """Tokens served to queues 0..i together before window ``w``."""
-        if w not in self._cache:
-            if len(self._cache) > 4096:
-                self._cache.clear()
-            goal = min(Fraction(w * self.window), Fraction(self.total))
-            k = next((i for i, s in enumerate(self.at_knot) if s >= goal), 0)
-            if self.at_knot[k] == goal or k == 0:
-                v = self.knots[k]
-            else:
-                a, b = self.knots[k - 1], self.knots[k]
-                sa, sb = self.at_knot[k - 1], self.at_knot[k]
-                v = a + (b - a) * (goal - sa) / (sb - sa)
-            out, acc = [0], Fraction(0)
-            for i in range(len(self.queues)):
-                acc += self._queue(i, v)
-                out.append(int(acc))
-            self._cache[w] = out
-        return self._cache[w]
-
-    def served(self, i: int, w: int) -> int:
-        r = self.running(w)
-        return r[i + 1] - r[i]
+        first, late = [q for q in queues if weight[q] > 0], [q for q in queues if not weight[q] > 0]
+        self.first = Phase([totals[q] for q in first], [weight[q] for q in first])
+        self.late = Phase([totals[q] for q in late], [totals[q] for q in late])
+        self.index = {q: i for i, q in enumerate([*first, *late])}
+        self._ends: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def ends(self, w: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens served to each queue before window ``w``, and to all queues up to
+        each one together."""
+        if w not in self._ends:
+            if len(self._ends) * 16 * len(self.index) > CACHE_BYTES:
+                self._ends.clear()
+            goal = min(w * self.window, self.total)
+            late = self.late.served(goal - self.first.total) if goal > self.first.total else np.zeros_like(self.late.totals)
+            served = np.concatenate([self.first.served(min(goal, self.first.total)), late])
+            self._ends[w] = served, np.cumsum(served) - served
+        return self._ends[w]
+
+    def window_of(self, i: int, token: int) -> int:
+        """The window that serves a queue's token."""
+        n = len(self.first.totals)
+        rank = self.first.rank(i, token) if i < n else self.first.total + self.late.rank(i - n, token)
+        w = min(self.last, max(0, rank - 1) // self.window)
+        while self.ends(w)[0][i] > token:
+            w -= 1
+        while self.ends(w + 1)[0][i] <= token:
+            w += 1
+        return w
 
     def cuts(self, queue: str, begin: int, end: int):
         """(queue offset, length, window, position in the stream) of the pieces
         of the tokens ``begin .. end-1`` of a queue, one per window."""
         i = self.index[queue]
-        last = max(0, -(-self.total // self.window) - 1)
-        lo, hi = 0, last  # last window whose served(i, w) <= begin
-        while lo < hi:
-            mid = (lo + hi + 1) // 2
-            lo, hi = (mid, hi) if self.served(i, mid) <= begin else (lo, mid - 1)
-        w = lo
         while begin < end:
-            until = self.served(i, w + 1)
-            if until > begin:
-                n = min(end, until) - begin
-                ahead = self.running(w + 1)[i] - self.running(w)[i]
-                yield begin, n, w, w * self.window + ahead + begin - self.served(i, w)
-                begin += n
-            w += 1
+            w = self.window_of(i, begin)
+            (before, ahead), (after, ahead_after) = self.ends(w), self.ends(w + 1)
+            n = min(end, int(after[i])) - begin
+            yield begin, n, w, w * self.window + int(ahead_after[i] - ahead[i] - before[i]) + begin
+            begin += n
 
 
 def sequence_of(position: int, total: int, size: int) -> tuple[int, int, int]:
@@ -176,30 +196,37 @@ def pack(
     piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     source, window_id`` and the piece's ``ids`` (little-endian uint16).
 
-    ``weights``: target share of each source; None: the sources' own shares, so
-    that all queues end together.  Sources without a weight come last.  A null
-    text counts as empty (its end id alone), a null source as the source ``""``;
-    a null doc_id stays null; repeated rows are packed once each; extra columns
-    are ignored; an empty table gives no rows.  Past ``max_queues`` sources, the
-    smallest share one queue (all their tokens are packed)."""
+    ``weights``: target share of each source, any positive numbers; None: the
+    sources' own shares, so that all queues end together.  Sources without a weight
+    come last.  Every source in ``weights`` is a queue of its own, and so are the
+    ``max_queues`` largest others; the rest are served as one queue with the sum of
+    their shares, in mixed order (all their tokens are packed).  A null text
+    counts as empty (its end id alone), a null source as the source ``""``;
+    a null doc_id stays null; repeated rows are packed once each; a text longer
+    than a window runs through several; extra columns are ignored; an empty table gives
+    no rows."""
     spark = prepare(docs.sparkSession)
     encoded = materialise(encode(docs, vocabulary or vocabulary_path(), end_id), "packing")
     lanes = encoded.groupBy("queue", "lane").agg(F.sum("n").alias("n"))
     lanes = materialise(lanes, "packing_lanes")
     per_source = lanes.groupBy("queue").agg(F.sum("n").alias("n"))
-    # at most max_queues rows reach the driver; the rest is one number
-    largest = per_source.orderBy(F.desc("n"), "queue").limit(max_queues).collect()
-    everything = lanes.agg(F.sum("n")).first()[0] or 0
-    totals = {r["queue"]: r["n"] for r in largest}
-    named = set(totals)
-    rest = everything - sum(totals.values())
+    # the caller's sources and at most max_queues others reach the driver; the rest is one number
+    weighted = spark.createDataFrame([(q,) for q in weights or {}], "queue string")
+    largest = per_source.join(weighted, "queue", "left_anti").orderBy(F.desc("n"), "queue").limit(max_queues)
+    own = per_source.join(weighted, "queue", "left_semi").union(largest).collect()
+    totals = {r["queue"]: r["n"] for r in own}
+    named = spark.createDataFrame([(q,) for q in totals], "queue string").withColumn("served_as", F.col("queue"))
+    rest = (lanes.agg(F.sum("n")).first()[0] or 0) - sum(totals.values())
     if rest:
-        totals["\0rest"] = rest
+        totals[_REST] = rest
     shares = Shares(totals, weights, sequence * window_sequences)
-    in_queue = F.col("queue") if not rest else F.when(F.col("queue").isin(*named), F.col("queue")).otherwise("\0rest")
-    before = Window.partitionBy("served_as").orderBy("queue", "lane")
-    starts = lanes.withColumn("served_as", in_queue).withColumn("base", F.sum("n").over(before) - F.col("n"))
-    rows = encoded.join(starts.select("queue", "lane", "served_as", "base"), ["queue", "lane"]).select(
+    before = Window.partitionBy("served_as").orderBy(F.xxhash64("queue", "lane"), "queue", "lane")
+    starts = lanes.join(F.broadcast(named), "queue", "left").withColumn(
+        "served_as", F.coalesce("served_as", F.lit(_REST))
+    ).withColumn("base", F.sum("n").over(before) - F.col("n"))
+    # written, so that Spark knows its size: a few rows per source and input partition
+    starts = materialise(starts.select("queue", "lane", "served_as", "base"), "packing_starts")
+    rows = encoded.join(starts, ["queue", "lane"]).select(
         "doc_id", "queue", "served_as", (F.col("base") + F.col("lane_start")).alias("begin"), "n", "ids"
     )
 

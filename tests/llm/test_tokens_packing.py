@@ -4,6 +4,7 @@ import json
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -133,6 +134,66 @@ def test_small_sources_share_a_queue_and_lose_nothing(spark, docs_of, tokenizer)
     assert packing.pack(docs_of(texts).limit(0)).count() == 0
 
 
+def test_every_weighted_source_keeps_its_share(spark, docs_of, tokenizer):
+    texts = [(i, "one two three four", f"s{i % 6}") for i in range(240)]
+    weights = {"s5": 10.0, **{f"s{i}": 1.0 for i in range(5)}}
+    pieces = packing.pack(docs_of(texts), weights, sequence=32, window_sequences=2, max_queues=3).collect()
+    check_packed(pieces, [t[:2] for t in texts], tokenizer, 32)
+    first = [p for p in pieces if p["window_id"] < 4]  # s5 is dry after 200 of its tokens
+    assert sum(p["length"] for p in first if p["source"] == "s5") / 256 == pytest.approx(10 / 15, abs=0.03)
+
+
+def round_robin(totals, weights, window):
+    """Token by token: the queue whose next token is due first is served."""
+    left, served, out = dict(totals), dict.fromkeys(totals, 0), []
+    for late in (False, True):
+        queues = sorted(q for q in totals if (weights[q] <= 0) == late)
+        while any(left[q] for q in queues):
+            q = min((q for q in queues if left[q]),
+                    key=lambda q: (Fraction(2 * served[q] + 1, 2) / (totals[q] if late else weights[q]), q))
+            left[q], served[q] = left[q] - 1, served[q] + 1
+            out.append(q)
+    return [Counter(out[i : i + window]) for i in range(0, len(out), window)]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_shares_against_a_sequential_round_robin(seed):
+    """Also with queues that get less than a token of a window.  Tokens due at the same
+    time may change places where floats cannot hold that time."""
+    rng = random.Random(seed)
+    totals = {f"q{i:02d}": rng.choice([0, 1, 2, 7, 50, 400]) for i in range(rng.randint(1, 25))} | {"big": 900}
+    weights = [None, {q: rng.choice([0, 1, 5, 64]) for q in totals}, {q: rng.choice([1, 2, 64]) for q in totals}][seed % 3]
+    window = rng.choice([3, 16, 64])
+    shares = packing.Shares(totals, weights, window)
+    want = round_robin(totals, weights or totals, window)
+    got, places = [Counter() for _ in want], []
+    for q, n in totals.items():
+        at = 0
+        while at < n:  # as documents of any length
+            stop = min(n, at + rng.randint(1, 90))
+            for begin, length, w, position in shares.cuts(q, at, stop):
+                assert begin == at and length > 0
+                at += length
+                got[w][q] += length
+                places += range(position, position + length)
+                assert w * window <= position and position + length <= (w + 1) * window
+    assert sorted(places) == list(range(sum(totals.values())))
+    assert seed % 3 < 2 or got == want
+    for q in totals:
+        sums = np.cumsum([[g[q], x[q]] for g, x in zip(got, want)], axis=0)
+        assert np.abs(sums[:, 0] - sums[:, 1]).max() <= 1
+
+
+def test_three_thousand_weighted_sources():
+    totals = {f"s{i}": 1000 + i for i in range(3000)}
+    weights = {q: 1.0 + (i % 7) for i, q in enumerate(totals)} | {"s7": 1e-9}
+    shares = packing.Shares(totals, weights, 1 << 18)
+    served = shares.ends(1)[0]
+    for q, i in shares.index.items():
+        assert abs(served[i] - (1 << 18) * weights[q] / sum(weights.values())) <= 2
+    assert shares.window_of(shares.index["s7"], 0) > 8  # tiny weights are kept, not rounded to none
+
+
 def test_repeated_rows_and_null_ids_are_packed(spark, docs_of):
     docs = docs_of([(1, "a b"), (1, "a b"), (None, "c"), (None, None)])
     assert packing.pack(docs).agg(F.sum("length")).first()[0] == 3 + 3 + 2 + 1

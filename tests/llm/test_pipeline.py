@@ -8,7 +8,7 @@ from auditmart.llm import queries
 
 def test_queries_are_registered_once_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_keep_the_columns_and_their_decisions(spark, sf):

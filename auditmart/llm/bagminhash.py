@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, Words, components, materialise, mix, prepare, shingles, signed, text_or_empty
+from .common import Batches, Words, components, discard, materialise, mix, prepare, shingles, signed, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -132,7 +132,8 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float = LEAST_AGREEMENT) -
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
     """The (a, b) whose bags of shingles have that weighted Jaccard similarity;
-    ``texts``: (row, text) of at least the pairs' members."""
+    ``texts``: (row, text) of at least the pairs' members, and where it has the
+    columns ``is_a`` and ``is_b``, which side's texts each row is asked for."""
 
     def run(batches: Batches) -> Batches:
         for b in batches:
@@ -150,8 +151,10 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
                 keep.append(bool(total) and both >= similarity * total)
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
+    a, b = (texts.where(side) if side in texts.columns else texts for side in ("is_a", "is_b"))
     return (
-        pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+        pairs.join(a.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(b.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
     )
 
@@ -176,7 +179,7 @@ def compare_buckets(
     and every two blocks of a bucket meet in a task, so no pair becomes a row and
     no task holds a whole bucket.  Pairs whose signatures agree too little are left
     out; all others are compared on their whole bags.  A task returns the links that
-    join classes it has not joined yet."""
+    join classes it has not joined yet.  ``texts`` is read before this returns."""
     members = placed.select(F.col("node").alias("row")).distinct()
 
     def bag(batches: Batches) -> Batches:
@@ -185,7 +188,7 @@ def compare_buckets(
             sets = expanded(*bags(found, size), len(found)) if found else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "bag"])
 
-    found = texts.join(members, "row", "left_semi").mapInArrow(bag, "node long, bag binary")
+    found = texts.select("row", "text").join(members, "row", "left_semi").mapInArrow(bag, "node long, bag binary")
     found = materialise(found.join(nodes.select("node", "sig"), "node"), "bags")
     sizes = placed.join(found.select("node", F.length("bag").alias("bytes")), "node").groupBy("band").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_NODES)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)), F.lit(1))
@@ -239,19 +242,27 @@ def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
     is the least row of the connected component of equal texts and of pairs with
     the given similarity."""
     signed_rows = materialise(sign(rows, size), "signatures")
-    copies = materialise(signed_rows.groupBy("sha").agg(F.min("row").alias("node")), "copies")
+    ids = materialise(signed_rows.select("row", "sha"), "ids")
+    copies = materialise(ids.groupBy("sha").agg(F.min("row").alias("node")), "copies")
     nodes = signed_rows.join(copies.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     nodes = materialise(nodes.select("node", "sig", "bands"), "nodes")
+    discard(signed_rows)
     keyed = materialise(nodes.select("node", F.explode("bands").alias("band")), "bands")
     shared = keyed.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialise(shared, "shared_bands")
     heads = keyed.join(shared, "band").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     tested = materialise(likely(heads.distinct(), nodes), "pairs")
     # the texts of all that share a bucket are fetched once, by one shuffle of the
-    # texts at every size (a broadcast would only suit small tables)
+    # texts at every size (a broadcast would only suit small tables); those that
+    # only head their buckets, or never do, are needed on one side of a pair alone
     sharing = keyed.join(shared.select("band"), "band", "left_semi").select(F.col("node").alias("row")).distinct()
-    texts = materialise(rows.select("row", "text").join(sharing.hint("merge"), "row", "left_semi"), "candidate_texts")
+    sides = tested.select(F.col("a").alias("row"), F.lit(True).alias("is_a"), F.lit(False).alias("is_b")).union(
+        tested.select(F.col("b"), F.lit(False), F.lit(True))
+    ).groupBy("row").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b"))
+    sharing = sharing.join(sides, "row", "left").na.fill(False, ["is_a", "is_b"])
+    texts = materialise(rows.select("row", "text").join(sharing.hint("merge"), "row"), "candidate_texts")
     links = materialise(verify(tested, texts, similarity, size), "links")
+    discard(tested)
     labels = materialise(components(links, "a", "b"), "labels")
     # buckets whose members are still in several classes
     placed = keyed.join(shared.select("band"), "band", "left_semi").join(labels, "node", "left").select(
@@ -259,10 +270,12 @@ def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
     )
     mixed = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
     placed = materialise(placed.join(mixed, "band"), "mixed_bands")
-    links = links.union(materialise(compare_buckets(placed, nodes, texts, similarity, size), "links"))
+    across = compare_buckets(placed, nodes, texts, similarity, size)
+    discard(texts)
+    links = links.union(materialise(across, "links"))
     labels = components(links, "a", "b")
     by_copy = copies.join(labels, "node", "left").select("sha", F.coalesce("label", "node").alias("class"))
-    return signed_rows.select("row", "sha").join(by_copy, "sha").select("row", "class")
+    return ids.join(by_copy, "sha").select("row", "class")
 
 
 def _rows(docs: DataFrame) -> DataFrame:

@@ -59,7 +59,19 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     release(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     release(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables from ``materialise`` once all that reads them is
+    written itself, so that disk holds the steps still needed and no more.  A
+    later loss of an executor needs none of them."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -105,12 +105,17 @@ class Scorer:
         for w in [*insults, *THREAT]:
             self.trie.add_word(w.rstrip("*"), (len(w.rstrip("*")), w.endswith("*")))
         self.trie.make_automaton()
+        self.read = lru_cache(maxsize=100_000)(self._read)
+
+    def _read(self, word: str) -> tuple[int, float]:
+        """The symbol of a word and its insult weight."""
+        weight = max(self.insults.get(x, 0.0) for x in _forms(word))
+        return (INSULT if weight else self.symbols.get(word, OTHER)), weight
 
     def clause(self, words: list[str]) -> float:
         state, total = 0, 0.0
         for w in words:
-            weight = max(self.insults.get(x, 0.0) for x in _forms(w))
-            symbol = INSULT if weight else self.symbols.get(w, OTHER)
+            symbol, weight = self.read(w)
             state, factor, added = GRAMMAR[state][symbol]
             total += weight * factor + added
         return total
@@ -125,7 +130,8 @@ class Scorer:
                 continue
             if not stem and last + 1 < len(text) and _wordy(text[last + 1]):
                 continue
-            begin = max(text.rfind(c, 0, start) for c in ".,;:!?\n") + 1
+            # the last clause ended at a separator, so no search goes back beyond it
+            begin = max(text.rfind(c, max(done, 0), start) for c in ".,;:!?\n") + 1
             end = _CLAUSE_END.search(text, last)
             done = end.start() if end else len(text)
             score = self.clause(_WORD.findall(text, begin, done))
@@ -259,7 +265,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
     Null texts score like empty ones; a null doc_id stays null and is not held
     out; repeated rows give repeated results; extra columns are ignored; an empty
-    table gives no rows."""
+    table gives no rows.  A text of any length is read whole, in time linear in it."""
     model = fit(docs, labels, sample)
     scored = model.score(docs.select(F.col("doc_id").cast("long"), "text"), "text", ["doc_id"])
     return scored.select(
@@ -268,7 +274,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` whose score is below the threshold, all columns."""
+    """The rows of ``docs`` whose score is below the threshold, all columns, whatever
+    their names.  Null and empty texts score like a text without a match; repeated rows are
+    kept or dropped together; an empty table gives no rows."""
     model = fit(docs, labels, sample)
     kept = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("text").alias("_text"))
     scored = model.score(kept, "_text", ["_row"])

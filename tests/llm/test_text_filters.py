@@ -1,6 +1,9 @@
 """Operators 1, 3, 7 and 9."""
 
+import math
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +68,38 @@ def test_grammar_weighs_clauses():
     assert s.features("grobnik. fine, grobbed")[2] == pytest.approx(1.0986, abs=1e-3)
 
 
+def slow_features(scorer, text):
+    """Every clause cut at the separators, every word of it looked up."""
+    text, scores = text.lower(), []
+    stems = {w.rstrip("*"): w.endswith("*") for w in [*scorer.insults, *toxicity.THREAT]}
+    for clause in re.split(r"[.,;:!?\n]", text):
+        runs = re.findall(r"\w+", clause)
+        if any(r == w or (stem and r.startswith(w)) for r in runs for w, stem in stems.items()):
+            score = scorer.clause(re.findall(r"\w+(?:'\w+)?", clause))
+            scores += [score] if score > 0 else []
+    length = math.log1p(len(text)) if scores else 0.0
+    return math.log1p(sum(scores)), max(scores, default=0.0), math.log1p(len(scores)), length
+
+
+def test_clause_features_against_every_clause():
+    rnd = random.Random(12)
+    scorer = toxicity.Scorer({"snarvel": 2.0, "grob*": 1.0})
+    parts = "snarvel grobnik grob you not said kill them they're river x snarvels unsnarvel Ü42".split()
+    for _ in range(400):
+        text = "".join(rnd.choice(parts) + rnd.choice([" ", " ", " ", ". ", ",", "!?", "\n", " - "]) for _ in range(rnd.randrange(30)))
+        assert scorer.features(text) == pytest.approx(slow_features(scorer, text))
+
+
+@pytest.mark.parametrize("end", [". ", " "])
+def test_long_texts_are_scored_in_linear_time(end):
+    scorer = toxicity.Scorer({"snarvel": 2.0})
+    text = (f"you are a snarvel and so on{end}") * 150_000  # over 4 MB, six separators never occur
+    before = time.process_time()
+    found = scorer.features(text)
+    assert found[2] == pytest.approx(math.log1p(150_000 if end == ". " else 1))
+    assert time.process_time() - before < 10
+
+
 # --- decontamination -----------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import uuid
 import zipfile
 from typing import Iterator, Sequence
 
@@ -64,11 +65,29 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return out
 
 
+def materialise_by(df: DataFrame, purpose: str, key: str, buckets: int) -> DataFrame:
+    """Like ``materialise``, in buckets of ``key``: a join on ``key`` moves the other side
+    only.  A bucketed table needs a name in the catalog; ``discard`` takes it out again."""
+    spark, name = df.sparkSession, f"auditmart_{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"llm/{purpose}")
+    release(spark)
+    (
+        df.repartition(buckets, key).write.option("compression", "zstd").option("path", path)
+        .bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    )
+    release(spark)
+    out = spark.table(name)
+    out._written_to, out._table = path, name
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete the files of tables from ``materialise`` once all that reads them is
-    written itself, so that disk holds the steps still needed and no more.  A
-    later loss of an executor needs none of them."""
+    """Delete the files of tables from ``materialise`` or ``materialise_by`` once all
+    that reads them is written itself, so that disk holds the steps still needed and no
+    more.  A later loss of an executor needs none of them."""
     for df in tables:
+        if name := df.__dict__.get("_table"):
+            df.sparkSession.sql(f"DROP TABLE {name}")
         sc = df.sparkSession.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(df._written_to)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
@@ -116,6 +135,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(raw + (ends - starts).astype(np.uint64))
 
 
+def rolling_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """``span_hashes`` of every run of ``width`` bytes."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
+    raw = sums[width:] - sums[:-width]
+    raw *= down[: len(raw)]
+    raw += np.uint64(width)
+    return mix(raw)
+
+
 class Words:
     """The words of a batch of texts: runs of letters, digits and other
     non-ASCII bytes and ``_``, lower-cased; ``hashes`` of all words, ``first[i]``

@@ -14,18 +14,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, materialise, prepare, text_or_empty
+from .common import Batches, materialise, materialise_by, prepare, text_or_empty
 
 LANE_BYTES = 2 << 20  # a longer text is a lane of its own
+ROW_BYTES = 16  # what a document counts beside its text, so that empty ones fill lanes too
 LAST = 2**62  # order of lanes without doc_id
 
 LANES = "lane long, ord long, ids array<long>, sizes array<long>, data binary"
 
 
-def lanes(docs: DataFrame, lane_bytes: int = LANE_BYTES) -> DataFrame:
+def lanes(docs: DataFrame, lane_bytes: int = LANE_BYTES, *, buckets: int = 0) -> DataFrame:
     """``docs`` (doc_id, text) as a written table of lanes: ``ids`` and UTF-8
     ``sizes`` of the texts, ``data`` their bytes, ``ord`` rising with doc_id.  Equal
-    ids share a lane; null ids come last, in lanes of the same order."""
+    ids share a lane, or fill lanes of their own that have one ``ord``; null ids come
+    last, in lanes of one ``ord``.  With ``buckets`` the table lies in buckets of ``lane``."""
     spark = prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     none = F.col("doc_id").isNull()
@@ -40,28 +42,44 @@ def lanes(docs: DataFrame, lane_bytes: int = LANE_BYTES) -> DataFrame:
         texts: list[bytes] = []
         size = number = part = 0
 
-        def lane() -> pa.RecordBatch:
+        order = None  # of the lanes that the last id fills alone
+
+        def lane(upto: int) -> pa.RecordBatch:
+            """The first ``upto`` texts as a lane; the others stay."""
+            nonlocal ids, texts, size, number
             at = (part << 20) | number
-            return pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int64()), pa.array([LAST if ids[0] is None else at], pa.int64()),
-                 pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-                 pa.array([b"".join(texts)], pa.binary())],
+            place = LAST if ids[0] is None else at if order is None else order
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([at], pa.int64()), pa.array([place], pa.int64()),
+                 pa.array([ids[:upto]], pa.list_(pa.int64())), pa.array([[len(t) for t in texts[:upto]]], pa.list_(pa.int64())),
+                 pa.array([b"".join(texts[:upto])], pa.binary())],
                 ["lane", "ord", "ids", "sizes", "data"],
             )
+            ids, texts, number = ids[upto:], texts[upto:], number + 1
+            size = sum(len(t) + ROW_BYTES for t in texts)
+            return out
 
         for b in batches:
             for part, doc, text in zip(*(c.to_pylist() for c in b.columns)):
-                full = size and size + len(text) > lane_bytes and (doc is None or doc != ids[-1])
-                if full or (ids and (ids[-1] is None) != (doc is None)):
-                    yield lane()
-                    ids, texts, size, number = [], [], 0, number + 1
+                if ids and doc != ids[-1] and (order is not None or ids[-1] is None or doc is None):
+                    yield lane(len(ids))  # the lanes of one id, or of ids before the null ones, end
+                    order = None
+                elif size and size + len(text) > lane_bytes:
+                    if doc is not None and doc == ids[-1]:
+                        if ids[0] != doc:  # what lies before the id
+                            yield lane(ids.index(doc))
+                        if order is None:
+                            order = (part << 20) | number
+                    if size and size + len(text) > lane_bytes:
+                        yield lane(len(ids))
                 ids.append(doc)
                 texts.append(text)
-                size += len(text)
+                size += len(text) + ROW_BYTES
         if ids:
-            yield lane()
+            yield lane(len(ids))
 
-    return materialise(ordered.mapInArrow(gather, LANES), "lanes")
+    made = ordered.mapInArrow(gather, LANES)
+    return materialise_by(made, "lanes", "lane", buckets) if buckets else materialise(made, "lanes")
 
 
 class Lane:

@@ -5,8 +5,10 @@ removed.  Sorting all suffixes would move each text 50 times, so the suffix arra
 sparse: among the suffixes starting inside a 50-byte string, the one whose leading
 ``SEED`` bytes hash least is its sample, equal strings have equal samples, and
 about one suffix in 16 is one.  Sampled suffixes are dealt to buckets by sampled
-splitters on their leading bytes, sorted there token by token (leading seed, then
-context) and compared with their neighbours and with those of the other lanes.
+splitters on their leading bytes; inside a bucket hashes stand for the bytes: suffixes
+are ordered by the hash of their seed and of their context and compared with their
+neighbours, which come from all lanes.  (Equal strings have equal leading bytes and so
+one bucket: nothing is left to compare across bucket edges.)
 
 Each sample stands for the strings around it.  If all lanes that know a seed
 have it in one context, the strings in it are equal and only the order of the lanes
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batches, materialise, mix, prepare, signed, span_hashes
+from .common import Batches, discard, materialise, mix, prepare, rolling_hashes, signed, span_hashes
 from .shared_keys import Lane, answers, lanes, route, sampled_splitters
 
 LENGTH = 50
@@ -55,8 +57,18 @@ def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return key
 
 
+def _in_buckets(bucket: np.ndarray, key: np.ndarray, tie: np.ndarray | None = None) -> np.ndarray:
+    """An order by bucket and, inside it, by ``key`` and ``tie``."""
+    order = np.argsort(key)
+    if tie is not None:
+        k, t = key[order], tie[order]
+        if ((k[1:] == k[:-1]) & (t[1:] != t[:-1])).any():
+            order = np.lexsort((tie, key))
+    return order[np.argsort(bucket[order].astype(np.uint32), kind="stable")]
+
+
 class Suffixes:
-    """The sampled suffixes of a lane and what is known of its strings."""
+    """The sampled suffixes of a lane and what the first round says of its strings."""
 
     def __init__(self, lane: Lane, splitters: np.ndarray, length: int = LENGTH, seed: int = SEED):
         self.lane, self.length, self.splitters = lane, length, splitters
@@ -66,12 +78,10 @@ class Suffixes:
         self.valid = np.zeros(n, bool)
         for a, b in zip(lane.at[:-1].tolist(), lane.at[1:].tolist()):
             self.valid[a : max(a, b - length + 1)] = True
-        self.removed = np.zeros(n, bool)  # by start of the string
         self.start = np.zeros(0, np.int64)
         if n < length:
             return
-        begin = np.arange(n - seed + 1)
-        hashes = span_hashes(data, begin, begin + seed)
+        hashes = rolling_hashes(data, seed)
         self.least = np.full(n, np.uint64(0), np.uint64)
         m = _sliding(hashes, self.width, np.minimum)  # m[i]: least seed inside string i
         self.least[: len(m)] = m
@@ -92,29 +102,27 @@ class Suffixes:
         if not len(self.start):
             return []
         seed = (self.seed >> np.uint64(32)).astype(np.uint32)
-        order = np.lexsort((self.context, seed, self.bucket))
+        order = _in_buckets(self.bucket, seed)
         b, s, c = self.bucket[order], seed[order], self.context[order]
         new = np.ones(len(b), bool)
         new[1:] = (b[1:] != b[:-1]) | (s[1:] != s[:-1])
         group = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(b)) - 1
-        several = c[first] != c[last]
+        context = np.minimum.reduceat(c, first)
+        several = context != np.maximum.reduceat(c, first)
         # of each sampled suffix: its group, and whether an earlier document has it
         self.group = np.zeros(len(b), np.int64)
         self.group[order] = group
         rank = self.lane.rank[self.doc]
-        low = np.full(len(first), len(self.lane.ids) + 1)
-        np.minimum.at(low, self.group, rank)
-        self.later = rank > low[self.group]
+        self.later = rank > np.minimum.reduceat(rank[order], first)[self.group]
         self.several = several
         keys = np.zeros(len(first), _SINGLE)
-        keys["seed"], keys["context"] = s[first], np.where(several, _SEVERAL, c[first])
+        keys["seed"], keys["context"] = s[first], np.where(several, _SEVERAL, context)
         self.cut = np.searchsorted(b[first], np.arange(len(self.splitters) + 2))
         return [(k, keys[i:j]) for k, (i, j) in enumerate(zip(self.cut, self.cut[1:])) if j > i]
 
     def _strings(self, pick: np.ndarray) -> np.ndarray:
-        """Starts of the strings whose samples are the picked suffixes."""
+        """Which strings have one of the picked suffixes as their sample."""
         at, seed = self.start[pick], self.seed[pick]
         found = np.zeros(len(self.valid), bool)
         for d in range(self.width):
@@ -122,14 +130,13 @@ class Suffixes:
             ok = i >= 0
             ok[ok] = self.valid[i[ok]] & (self.least[i[ok]] == seed[ok])
             found[i[ok]] = True
-        return np.flatnonzero(found)
+        return found
 
-    def settle(self, replies: list[tuple[int, bytes]]) -> None:
-        """Take the first round's answers: strings with one context are
-        removed or kept, the others become suffixes of the second round."""
-        self.second = np.zeros(0, np.int64)
+    def settle(self, replies: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Take the first round's answers, by start of the string: which strings are
+        removed, and which become suffixes of the second round."""
         if not len(self.start):
-            return
+            return np.zeros(len(self.valid), bool), np.zeros(len(self.valid), bool)
         self.singles()
         state = np.zeros(len(self.several), np.uint8)
         for bucket, reply in replies:
@@ -137,51 +144,62 @@ class Suffixes:
             state[self.cut[bucket] + at] = np.frombuffer(reply[len(reply) // 5 * 4 :], np.uint8)
         state[self.several] = _MIXED
         mine = state[self.group]
-        self.removed[self._strings(np.flatnonzero((mine == _EARLIER) | ((mine == 0) & self.later)))] = True
-        second = self._strings(np.flatnonzero(mine == _MIXED))
-        self.second = second[~self.removed[second]]
+        removed = self._strings(np.flatnonzero((mine == _EARLIER) | ((mine == 0) & self.later)))
+        return removed, self._strings(np.flatnonzero(mine == _MIXED)) & ~removed
+
+
+class Strings:
+    """The strings of a lane that the first round left open, as suffixes of their own."""
+
+    def __init__(self, lane: Lane, open_: bytes, splitters: np.ndarray, length: int = LENGTH):
+        self.lane, self.length, self.splitters = lane, length, splitters
+        self.at = np.flatnonzero(_bits(open_, len(lane.data)))
 
     def doubles(self) -> list[tuple[int, np.ndarray]]:
-        """Per bucket the distinct strings of the second round, sorted."""
-        at = self.second
+        """Per bucket the distinct strings, sorted."""
+        at = self.at
         if not len(at):
             return []
         data = self.lane.data
         a = span_hashes(data, at, at + self.length)
         b = (span_hashes(data, at, at + self.length // 2) >> np.uint64(48)).astype(np.uint16)
         bucket = route(leading(data, at), self.splitters)
-        order = np.lexsort((b, a, bucket))
+        order = _in_buckets(bucket, a, b)
         k, x, y = bucket[order], a[order], b[order]
         new = np.ones(len(k), bool)
         new[1:] = (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
         first = np.flatnonzero(new)
-        self.group2 = np.zeros(len(k), np.int64)
-        self.group2[order] = np.cumsum(new) - 1
+        self.group = np.zeros(len(k), np.int64)
+        self.group[order] = np.cumsum(new) - 1
         rank = self.lane.rank[np.searchsorted(self.lane.at, at, "right") - 1]
-        low = np.full(len(first), len(self.lane.ids) + 1)
-        np.minimum.at(low, self.group2, rank)
-        self.later2 = rank > low[self.group2]
+        self.later = rank > np.minimum.reduceat(rank[order], first)[self.group]
         keys = np.zeros(len(first), _DOUBLE)
         keys["a"], keys["b"] = x[first], y[first]
-        self.cut2 = np.searchsorted(k[first], np.arange(len(self.splitters) + 2))
-        return [(q, keys[i:j]) for q, (i, j) in enumerate(zip(self.cut2, self.cut2[1:])) if j > i]
+        self.cut = np.searchsorted(k[first], np.arange(len(self.splitters) + 2))
+        return [(q, keys[i:j]) for q, (i, j) in enumerate(zip(self.cut, self.cut[1:])) if j > i]
 
-    def finish(self, replies: list[tuple[int, bytes]]) -> np.ndarray:
-        """Which bytes of the lane are removed."""
+    def finish(self, removed: bytes, replies: list[tuple[int, bytes]]) -> np.ndarray:
+        """Which bytes of the lane are removed, from the strings removed in the first round
+        and the second round's answers."""
+        gone = _bits(removed, len(self.lane.data))
         if self.doubles():
-            earlier = np.zeros(int(self.cut2[-1]), bool)
+            earlier = np.zeros(int(self.cut[-1]), bool)
             for bucket, reply in replies:
-                earlier[self.cut2[bucket] + np.frombuffer(reply, "<u4").astype(np.int64)] = True
-            self.removed[self.second[earlier[self.group2] | self.later2]] = True
-        covered = np.zeros(len(self.removed) + self.length + 1, np.int32)
-        at = np.flatnonzero(self.removed)
-        np.add.at(covered, at, 1)
-        np.add.at(covered, at + self.length, -1)
-        return np.cumsum(covered)[: len(self.removed)] > 0
+                earlier[self.cut[bucket] + np.frombuffer(reply, "<u4").astype(np.int64)] = True
+            gone[self.at[earlier[self.group] | self.later]] = True
+        covered = np.zeros(len(gone) + self.length + 1, np.int32)
+        at = np.flatnonzero(gone)
+        covered[at] += 1
+        covered[at + self.length] -= 1
+        return np.cumsum(covered)[: len(gone)] > 0
+
+
+def _bits(packed: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
 
 
 def _merge(lane: list[int], order: list[int], keys: list[bytes], kind: np.dtype):
-    """All keys of a bucket sorted token by token, with their lane's number,
+    """All keys of a bucket in order, with their lane's number,
     order and place, and where runs of an equal first token begin."""
     parts = [np.frombuffer(k, kind) for k in keys]
     all_keys = np.concatenate(parts)
@@ -234,14 +252,21 @@ def _named(found: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
 
 
 _NAMED = "bucket long, lane long, ord long, keys binary"
-_REPLY = "array<struct<bucket:bigint,reply:binary>>"
+_STATE = "lane long, removed binary, open binary"
+_RESULT = (
+    "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+    "spans array<struct<start:bigint,end:bigint>>"
+)
 
 
 def _rows(b: pa.RecordBatch):
-    """(Lane, ord, first replies, second replies) of each row of a batch."""
+    """(Lane, row) of each row of a batch of lanes with further columns."""
     for row in b.to_pylist():
-        pairs = [[(r["bucket"], r["reply"]) for r in row.get(c) or []] for c in ("first", "second")]
-        yield Lane(row["lane"], row["ids"], row["sizes"], row["data"]), row["ord"], *pairs
+        yield Lane(row["lane"], row["ids"], row["sizes"], row.pop("data")), row
+
+
+def _replies(row: dict) -> list[tuple[int, bytes]]:
+    return [(r["bucket"], r["reply"]) for r in row["replies"] or []]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
@@ -251,57 +276,63 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     A null text is empty.  Strings never cross documents and are judged on the
     input.  A null doc_id is larger than any other and null ids do not remove from
     each other; neither do repeated rows of one doc_id; extra columns are ignored;
-    an empty table gives no rows."""
+    an empty table gives no rows.  A text of any length is read whole, in one lane.
+
+    Lanes lie in buckets of their number, so that of the two rounds only keys and
+    answers are shuffled; what a step wrote goes when the next has read it."""
     spark = prepare(docs.sparkSession)
-    laid = lanes(docs)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    laid = lanes(docs, buckets=n)
     total = laid.agg(F.sum(F.length("data"))).first()[0] or 0
 
     def sample(batches: Batches) -> Batches:
         for b in batches:
-            for lane, _, _, _ in _rows(b):
+            for lane, _ in _rows(b):
                 found = Suffixes(lane, np.zeros(0, np.uint64), length, seed)
                 keys = leading(lane.data, found.start)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(keys[:: max(1, len(keys) // 200)]))], ["key"])
 
     heads = laid.select(
-        "lane", "ord", F.array(F.lit(None).cast("long")).alias("ids"),
+        "lane", F.array(F.lit(None).cast("long")).alias("ids"),
         F.array(F.least(F.length("data"), F.lit(SAMPLE_BYTES)).cast("long")).alias("sizes"),
         F.substring("data", 1, SAMPLE_BYTES).alias("data"),
     )
     splitters = sampled_splitters(heads.mapInArrow(sample, "key long"), -(-total // BUCKET_BYTES))
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def first(batches: Batches) -> Batches:
         for b in batches:
-            for lane, order, _, _ in _rows(b):
+            for lane, row in _rows(b):
                 found = Suffixes(lane, splitters, length, seed).singles()
-                yield _named([(k, lane.lane, order, keys) for k, keys in found])
+                yield _named([(k, lane.lane, row["ord"], keys) for k, keys in found])
 
-    one = materialise(answers(laid.mapInArrow(first, _NAMED), _compare_singles, n), "first_answers")
-    # the lanes move the same way at every size, whatever the answers would allow
-    answered = laid.join(one.withColumnRenamed("replies", "first").hint("merge"), "lane", "left")
+    def settle(batches: Batches) -> Batches:
+        for b in batches:
+            for lane, row in _rows(b):
+                state = Suffixes(lane, splitters, length, seed).settle(_replies(row))
+                packed = [pa.array([np.packbits(x).tobytes()], pa.binary()) for x in state]
+                yield pa.RecordBatch.from_arrays([pa.array([lane.lane], pa.int64()), *packed], ["lane", "removed", "open"])
 
     def second(batches: Batches) -> Batches:
         for b in batches:
-            for lane, order, replies, _ in _rows(b):
-                found = Suffixes(lane, splitters, length, seed)
-                found.settle(replies)
-                yield _named([(k, lane.lane, order, keys) for k, keys in found.doubles()])
-
-    two = materialise(answers(answered.mapInArrow(second, _NAMED), _compare_doubles, n), "second_answers")
+            for lane, row in _rows(b):
+                found = Strings(lane, row["open"], splitters, length).doubles()
+                yield _named([(k, lane.lane, row["ord"], keys) for k, keys in found])
 
     def finish(batches: Batches) -> Batches:
         for b in batches:
-            for lane, _, replies, more in _rows(b):
-                found = Suffixes(lane, splitters, length, seed)
-                found.settle(replies)
-                yield _result(lane, found.finish(more))
-
-    return answered.join(two.withColumnRenamed("replies", "second").hint("merge"), "lane", "left").mapInArrow(
-        finish,
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-        "spans array<struct<start:bigint,end:bigint>>",
-    )
+            for lane, row in _rows(b):
+                strings = Strings(lane, row["open"], splitters, length)
+                yield _result(lane, strings.finish(row["removed"], _replies(row)))
+
+    # the lanes stay where they are at every size, whatever the other side would allow
+    one = materialise(answers(laid.mapInArrow(first, _NAMED), _compare_singles, n), "first_answers")
+    state = materialise(laid.join(one.hint("merge"), "lane", "left").mapInArrow(settle, _STATE), "first_state")
+    discard(one)
+    opened = laid.join(state.hint("merge"), "lane")
+    two = materialise(answers(opened.mapInArrow(second, _NAMED), _compare_doubles, n), "second_answers")
+    out = materialise(opened.join(two.hint("merge"), "lane", "left").mapInArrow(finish, _RESULT), "kept")
+    discard(laid, state, two)
+    return out
 
 
 def _result(lane: Lane, gone: np.ndarray) -> pa.RecordBatch:

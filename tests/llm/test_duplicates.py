@@ -149,6 +149,8 @@ def test_suffix_dedup_against_brute_force(spark, docs_of, monkeypatch, lane_byte
     rows += [(5, rows[0][1]), (6, rows[0][1][:49]), (7, rows[0][1][:50]), (8, None), (9, ""), (10, "é" * 120), (11, "é" * 90),
              (12, "ab" * 400), (13, "ba" * 100), (14, "!" * 70), (15, "!" * 500), (None, rows[1][1]), (None, rows[1][1]),
              (16, shared[2]), (16, shared[2])]
+    # one id with more rows than a lane holds, between others with the same texts
+    rows += [(2000 + d, rnd.choice(shared) + f" {i}") for d, n in ((0, 3), (1, 25), (2, 3)) for i in range(n)]
     table = docs_of(rows).repartition(3)
     got = suffix_dedup.remove_repeats(table).collect()
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == brute_repeats(rows)
@@ -156,6 +158,43 @@ def test_suffix_dedup_against_brute_force(spark, docs_of, monkeypatch, lane_byte
     assert suffix_dedup.remove_repeats(table.limit(0)).count() == 0
 
 
+def test_suffix_dedup_of_a_long_text(spark, docs_of):
+    rnd = random.Random(31)
+    letters = "".join(rnd.choice("abcdefgh ") for _ in range(1_200_000))
+    tail = "".join(rnd.choice("abcdefgh ") for _ in range(70_000))
+    rows = [(3, letters + tail), (7, letters[500_000:500_049] + "#" + letters[700_000:700_300] + tail), (1, tail[60_000:])]
+    got = suffix_dedup.remove_repeats(docs_of(rows)).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == brute_repeats(rows)
+
+
+def test_suffix_dedup_moves_lanes_once_and_clears_up(spark, docs_of):
+    before = {t.name for t in spark.catalog.listTables()}
+    texts = [(i, f"{i} " + "the same passage in every document, over fifty bytes long") for i in range(50)]
+    assert suffix_dedup.remove_repeats(docs_of(texts)).where("n_removed > 0").count() == 49
+    assert {t.name for t in spark.catalog.listTables()} == before
+    laid = shared_keys.lanes(docs_of(texts), buckets=4)
+    plan = laid.join(spark.createDataFrame([(1, b"x")], "lane long, reply binary").hint("merge"), "lane", "left")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(lane") == 1  # the replies only
+    common.discard(laid)
+
+
+def test_equal_ids_fill_lanes_of_one_place(spark, docs_of):
+    rows = [(1, "a" * 90), (2, "b" * 90), *((5, f"{i:090d}") for i in range(30)), (6, "c" * 90), (None, "d" * 400), (None, "e" * 400)]
+    laid = shared_keys.lanes(docs_of(rows).repartition(3), 500).collect()
+    assert Counter(d for r in laid for d in r["ids"]) == Counter(d for d, _ in rows)
+    for r in laid:
+        assert len(r["data"]) == sum(r["sizes"]) <= 500
+    places = {}
+    for r in laid:
+        for d in r["ids"]:
+            places.setdefault(d, set()).add(r["ord"])
+    assert all(len(p) == 1 for p in places.values())
+    assert len([r for r in laid if set(r["ids"]) == {5}]) >= 6
+    by_id = [places[d].pop() for d in (1, 2, 5, 6, None)]
+    assert by_id == sorted(by_id)
+
+
 # --- fingerprints -----------------------------------------------------------------------------
 
 

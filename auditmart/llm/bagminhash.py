@@ -301,8 +301,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per class, that with the least doc_id (null ids
-    last), all columns."""
+    """One row of ``docs`` per class, that with the least doc_id (null ids last; of
+    tied or repeated rows one), all columns, whatever their names.  Null and empty texts are
+    copies of each other; texts of any length are compared whole; an empty table gives
+    an empty one."""
     rows = _rows(docs)
     texts = rows.select("row", text_or_empty("whole.text").alias("text"))
     doc_id = F.col("whole.doc_id")

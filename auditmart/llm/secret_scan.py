@@ -258,7 +258,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAMPL
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAMPLE, mark: str = "<secret>") -> DataFrame:
     """``docs`` with every confirmed secret replaced by ``mark`` and ``n_chars``
-    (where present) recounted; all rows and columns stay."""
+    (where present) recounted; all rows and columns stay, whatever the columns' names.
+    Null and empty texts stay as they are, repeated rows are redacted alike, a text of any
+    length is read whole and an empty table gives an empty one."""
     rows = materialise(
         docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")),
         "redact",

@@ -1,9 +1,19 @@
 """The corpus pipeline: stages against their operators and a planted corpus."""
 
 import inspect
+import random
+import string
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from auditmart.llm import queries
+from auditmart.llm import queries, tokens, toxicity
+
+from .test_duplicates import brute_classes, mutated, words
+from .test_text_filters import brute_overlap, slow_features
 
 
 def test_queries_are_registered_once_per_operator():
@@ -32,3 +42,101 @@ def test_run_handles_an_empty_table(spark, sf, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+# columns whose names the operators also use inside
+CLASHES = ["row", "_row", "_id", "_text", "_spans", "score", "queue", "lane", "n", "ids", "class", "whole", "sum"]
+
+
+def corpus(rnd):
+    """(doc_id, text), labels and benchmark items with every edge case, and the secret."""
+    docs, labels = [], []
+    for i in range(160):
+        text = " ".join(words(rnd, 60))
+        if bad := i % 4 == 0:
+            text += "".join(f". you {words(rnd, 1)[0]} {rnd.choice(['grobnik', 'snarvel'])} again" for _ in range(3))
+        docs.append((i, text))
+        labels.append((i, 1, int(bad)))
+    items = [(k, " ".join(words(rnd, 30))) for k in range(4)] + [(9, None), (10, "")]
+    clean = docs[1][1]
+    secret = "".join(rnd.choice(string.hexdigits[:16]) for _ in range(40))
+    docs += [
+        (200, None), (201, ""), (202, None), (None, " ".join(words(rnd, 50))), (None, clean),  # nulls, empty, copy
+        (203, clean), (203, clean), docs[2],  # ties and repeated rows
+        (204, " ".join(mutated(rnd, clean.split(), 1))),  # a near copy
+        (205, " ".join(words(rnd, 20)) + " " + items[1][1] + " " + " ".join(words(rnd, 20))),
+        (206, " ".join(mutated(rnd, items[2][1].split(), 3))),  # nine of ten words of an item
+        (207, "x y " * 200_000), (208, " ".join(words(rnd, 60_000, 10**6))),  # very long
+        (209, " ".join(words(rnd, 30)) + f' token = "{secret}" ' + " ".join(words(rnd, 30))),
+    ]
+    return docs, labels, items, secret
+
+
+def by_row(df):
+    return Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+
+def test_every_stage_against_brute_force_on_edge_cases(spark, tmp_path):
+    rnd = random.Random(17)
+    rows, labels, items, secret = corpus(rnd)
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", F.lit(None).cast("string").alias("lang"), F.when(F.col("doc_id") % 3 > 0, "s").alias("source"),
+        F.length("text").cast("long").alias("n_chars"), *(F.lit("c").alias(c) for c in CLASHES),
+    )
+    stages = dict(corpus_pipeline.STAGES)
+
+    def stage(name, docs):
+        out = corpus_pipeline.materialise(stages[name](spark, docs, str(tmp_path)), f"test/{name}")
+        assert name == "packing" or out.columns == docs.columns
+        return out
+
+    # toxicity: the fitted curve over clauses cut and read one by one
+    model = toxicity.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    scorer = toxicity.Scorer(model.insults)
+
+    def toxic(text):
+        z = float(np.dot([*slow_features(scorer, text or ""), 1.0], model.curve))
+        return 1 / (1 + np.exp(-z)) >= toxicity.THRESHOLD
+
+    kept = stage("toxicity", docs)
+    want = Counter((d, t) for d, t in rows if not toxic(t))
+    assert by_row(kept) == want and not any("grobnik" in (t or "") for _, t in want)
+
+    # near duplicates: one row of each class by exact similarity of all pairs
+    before = list(want.elements())
+    kept = stage("near_dedup", kept)
+    classes = brute_classes(before)
+    got = by_row(kept)
+    assert max(got.values()) == 1 and not got - want
+    assert Counter(d for d, _ in got) == Counter(set(classes.values())) and None in {d for d, _ in got}
+
+    # decontamination: every diagonal of every document and item
+    before = list(got)
+    kept = stage("decontamination", kept)
+    parts = [t.split() for _, t in items if t]
+
+    def leaked(text):
+        w = (text or "").split()
+        return len(w) < 1000 and any(brute_overlap(w, p, 13) for p in parts)
+
+    got = by_row(kept)
+    assert got == Counter(x for x in before if not leaked(x[1]))
+    assert {205, 206} <= {d for d, _ in before} and not {205, 206} & {d for d, _ in got}
+
+    # secrets: only the planted value goes, and its row's n_chars follows
+    kept = stage("secrets", kept)
+    assert by_row(kept) == Counter((d, t and t.replace(secret, "<secret>")) for d, t in got)
+    assert all(r["n_chars"] == (r["text"] and len(r["text"])) for r in kept.collect())
+    assert all(r[c] == "c" for r in kept.collect() for c in CLASHES)
+
+    # packing: every token of every document once
+    last = [(r["doc_id"], r["text"], r["source"]) for r in kept.collect()]
+    pieces = stage("packing", kept).collect()
+    tokenizer = Tokenizer.from_file(tokens.vocabulary_path())
+    size = Counter()
+    for p in pieces:
+        size[p["doc_id"]] += p["length"]
+    assert size == Counter({d: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for d, t, _ in last})
+    assert Counter(p["doc_id"] for p in pieces if p["start"] == 0) == Counter(d for d, _, _ in last)

@@ -3,7 +3,12 @@ before it kept and is written as Parquet and read again.
 
 Toxic documents go; one document of each class of copies and near copies stays;
 documents that overlap a benchmark item go; confirmed secrets are replaced by a
-mark (the document stays); the rest is packed into sequences."""
+mark (the document stays); the rest is packed into sequences.
+
+Every stage takes any columns beside doc_id, text and source, whatever their names,
+with nulls in all of them, and all but the last return them unchanged (secrets: with
+``n_chars`` recounted).  A null text counts as empty; an empty table gives an empty one;
+texts of any length are read whole."""
 
 from __future__ import annotations
 
@@ -14,23 +19,34 @@ from auditmart.llm.common import materialise, prepare, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scored below the threshold stay.  Repeated rows share their fate; null and
+    empty texts stay; without labels of both classes nothing goes."""
     prepare(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of copies and near copies the row with the least doc_id stays (a
+    null id counts as larger than any; of tied rows one stays).  Null and empty texts
+    are copies of each other."""
     return bagminhash.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that share no passage with a benchmark item stay; null and empty texts and
+    items match nothing."""
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows stay, repeated ones too; a confirmed secret becomes ``<secret>``; null texts
+    stay null."""
     return secret_scan.redact(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document.  A null or empty text is its end id alone; a
+    repeated row is packed again; a null source is a source of its own."""
     return packing.pack(docs).drop("ids")
 
 

@@ -329,3 +329,40 @@ def test_passages_with_an_edit_at_any_word():
     short = words(rnd, 40)
     x, y = (tokens(words(rnd, 30) + short + words(rnd, 30)) for _ in range(2))
     assert not list(passages.aligned(x, y, [45]))
+
+
+@pytest.mark.parametrize("block", [1000, 3])
+def test_copies_behind_partial_ones_are_linked(spark, docs_of, monkeypatch, block):
+    """Copies whose every window an earlier document has too, which is no partner itself."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rnd = random.Random(41)
+    rows, pairs = [], []
+    for case in range(25):
+        passage, d = words(rnd, 56), 10 * case
+        parts = [passage[:44], passage[-44:], passage, passage]
+        rows += [(d + k, " ".join(words(rnd, 60) + p + words(rnd, 60))) for k, p in enumerate(parts)]
+        pairs.append((d + 2, d + 3))
+    line = " ".join(words(rnd, 7))
+    rows += [(900 + k, " ".join(words(rnd, 50)) + f" {line}" * n) for k, n in enumerate((4, 30, 40, 3, 50))]
+    found = passages.repeated_passages(docs_of(rows)).collect()
+    classes = defaultdict(set)
+    for r in found:
+        classes[r["doc_id"]].add(r["class_id"])
+    assert all(classes[a] & classes[b] for a, b in pairs)
+    assert not any(d in classes for a, b in pairs for d in (a - 2, a - 1))
+    assert classes[901] & classes[902] & classes[904]
+
+
+def test_bound_on_common_tokens_never_drops_a_passage():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = 2 * passages.AROUND + 1
+        x = rng.integers(1, rng.choice([4, 30, 10**6]), n)
+        y = np.where(rng.random(n) < rng.choice([0.02, 0.1, 0.3]), rng.integers(1, 10**6, n), x)
+        _, ids = np.unique(np.concatenate([[0], x, y]), return_inverse=True)
+        a, b = ids[1 : n + 1], ids[n + 1 :]
+        last = passages._last(np.stack([a, b]))
+        aliens = [passages._fewest_distinct(~np.isin(p, q), k) for p, q, k in ((a, b, last[0]), (b, a, last[1]))]
+        spare = len(np.intersect1d(a, b)) * 0.25 + 1e-9
+        if passages.numbered(a, b, [passages.AROUND], np.zeros(ids.max() + 1, bool)):
+            assert sum(aliens) <= spare

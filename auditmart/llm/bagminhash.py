@@ -30,9 +30,21 @@ REGISTERS = BANDS * ROWS
 # pairs whose signatures agree in fewer registers are not verified: at a
 # similarity of 0.8 that happens with probability 3e-7 (five deviations)
 LEAST_AGREEMENT = 0.6
+PART_BYTES = 1 << 20  # of text that a task hashes at once
 BLOCK_NODES, BLOCK_BYTES = 1000, 8 << 20  # members of a bucket, and their bags, per block
 
 
+def _parts(batches: Batches, columns: tuple[int, ...]) -> Batches:
+    """The batches cut so that the texts in ``columns`` hold at most ``PART_BYTES`` before the
+    last row: hashing takes many times the memory of the text."""
+    for b in batches:
+        sizes = sum(np.array([len(t) for t in b.column(c).to_pylist()], np.int64) for c in columns)
+        part = (np.cumsum(sizes) - sizes) // PART_BYTES
+        cut = np.flatnonzero(np.diff(part)) + 1
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), b.num_rows]):
+            yield b.slice(i, j - i)
+
+
 def bags(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, shingle hash, weight) of all texts, sorted by text and hash."""
     found, first = shingles(Words(texts), size)
@@ -93,7 +105,7 @@ def sign(rows: DataFrame, size: int = SHINGLE) -> DataFrame:
     keys; a text without words has no bands."""
 
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in _parts(batches, (2,)):
             texts = b.column(2).to_pylist()
             text, element, weight = bags(texts, size)
             times = signatures(text, element, weight.astype(np.float64), len(texts))
@@ -125,7 +137,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float = LEAST_AGREEMENT) -
 
     sigs = nodes.select("node", "sig")
     return (
-        pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
+        pairs.join(sigs.toDF("a", "sig_a").hint("merge"), "a").join(sigs.toDF("b", "sig_b").hint("merge"), "b")
         .select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
     )
 
@@ -136,7 +148,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
     columns ``is_a`` and ``is_b``, which side's texts each row is asked for."""
 
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in _parts(batches, (2, 3)):
             a_ids, b_ids = b.column(0).to_pylist(), b.column(1).to_pylist()
             known = dict(zip(a_ids, b.column(2).to_pylist())) | dict(zip(b_ids, b.column(3).to_pylist()))
             number = {k: i for i, k in enumerate(known)}
@@ -153,8 +165,8 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
 
     a, b = (texts.where(side) if side in texts.columns else texts for side in ("is_a", "is_b"))
     return (
-        pairs.join(a.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(b.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.join(a.select(F.col("row").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+        .join(b.select(F.col("row").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
         .select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
     )
 
@@ -179,17 +191,18 @@ def compare_buckets(
     and every two blocks of a bucket meet in a task, so no pair becomes a row and
     no task holds a whole bucket.  Pairs whose signatures agree too little are left
     out; all others are compared on their whole bags.  A task returns the links that
-    join classes it has not joined yet.  ``texts`` is read before this returns."""
+    join classes it has not joined yet.  ``texts`` is read, and deleted, before this returns."""
     members = placed.select(F.col("node").alias("row")).distinct()
 
     def bag(batches: Batches) -> Batches:
-        for b in batches:
+        for b in _parts(batches, (1,)):
             found = b.column(1).to_pylist()
             sets = expanded(*bags(found, size), len(found)) if found else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "bag"])
 
-    found = texts.select("row", "text").join(members, "row", "left_semi").mapInArrow(bag, "node long, bag binary")
-    found = materialise(found.join(nodes.select("node", "sig"), "node"), "bags")
+    found = texts.select("row", "text").join(members.hint("merge"), "row", "left_semi").mapInArrow(bag, "node long, bag binary")
+    found = materialise(found.join(nodes.select("node", "sig").hint("merge"), "node"), "bags")
+    discard(texts)
     sizes = placed.join(found.select("node", F.length("bag").alias("bytes")), "node").groupBy("band").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_NODES)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)), F.lit(1))
         .cast("int").alias("blocks")
@@ -234,7 +247,7 @@ def compare_buckets(
         ends = list(zip(*out)) or [(), ()]
         return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
 
-    return dealt.join(found, "node").groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long")
+    return dealt.join(found.hint("merge"), "node").groupBy("band", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
 def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
@@ -270,9 +283,10 @@ def classes(rows: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE
     )
     mixed = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
     placed = materialise(placed.join(mixed, "band"), "mixed_bands")
+    discard(keyed, shared)
     across = compare_buckets(placed, nodes, texts, similarity, size)
-    discard(texts)
     links = links.union(materialise(across, "links"))
+    discard(nodes, placed)
     labels = components(links, "a", "b")
     by_copy = copies.join(labels, "node", "left").select("sha", F.coalesce("label", "node").alias("class"))
     return ids.join(by_copy, "sha").select("row", "class")

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,19 @@ def test_near_duplicates_against_brute_force(spark, docs_of, monkeypatch):
     assert bagminhash.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_texts_are_hashed_in_parts_and_moved_by_shuffles(spark, docs_of):
+    texts = ["x" * 700_000, "", "y" * 700_000, "z" * 5_000_000, "a b", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array([t or "" for t in texts])], ["row", "text"])
+    parts = list(bagminhash._parts([batch, batch.slice(0, 0)], (1,)))
+    assert [r for p in parts for r in p.column(0).to_pylist()] == list(range(6))
+    assert all(sum(len(t) for t in p.column(1).to_pylist()[:-1]) <= bagminhash.PART_BYTES for p in parts) and len(parts) > 2
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    whole = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "row long, text string")
+    found = bagminhash.verify(pairs, whole)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+
+
 # --- suffix dedup -----------------------------------------------------------------------------
 
 

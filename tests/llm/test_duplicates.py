@@ -380,3 +380,68 @@ def test_bound_on_common_tokens_never_drops_a_passage():
         spare = len(np.intersect1d(a, b)) * 0.25 + 1e-9
         if passages.numbered(a, b, [passages.AROUND], np.zeros(ids.max() + 1, bool)):
             assert sum(aliens) <= spare
+
+
+def test_members_of_many_keys_are_compared_at_once(monkeypatch):
+    """The links of all keys of a task join what brute force over every pair joins, and few
+    pairs without a passage reach its verification."""
+    rng, n, size = np.random.default_rng(11), passages.AROUND, 2 * passages.AROUND + 1
+    rows = []
+    for key in range(6):
+        base = rng.integers(1, 2**63, size, dtype=np.uint64)
+        for doc in range(40):
+            x = base.copy()
+            wide = (20, 30, 60)[doc % 3]  # of the tokens about the middle, what all members have
+            other = np.abs(np.arange(size) - n) > wide
+            other[n + rng.integers(16, 30) :][: doc % 5] = True
+            x[other] = rng.integers(1, 2**63, other.sum(), dtype=np.uint64)
+            if key == 5:
+                x = np.tile(x[n - 8 : n + 9], 8)[:size]  # goes round
+            if doc % 7 == 0:
+                x[: rng.integers(0, 40)] = 0  # before the text
+            rows.append((key, 100 * key + doc, 0, doc, doc % 4 > 0, x))
+    t = pa.table({
+        "key": [r[0] for r in rows], "doc": [r[1] for r in rows], "block": [0] * len(rows), "chain": [0] * len(rows),
+        "c": [r[3] for r in rows], "open": [r[4] for r in rows], "tokens": [r[5].tobytes() for r in rows],
+        "lo": [0] * len(rows), "hi": [0] * len(rows),
+    }).take(rng.permutation(len(rows)))
+    verify, calls = passages.numbered, []
+    monkeypatch.setattr(passages, "numbered", lambda *x: calls.append(verify(*x)) or calls[-1])
+    got = {(r["x"], r["y"]) for r in passages._compared(t).to_pylist()}
+    met, linked = len(calls), sum(map(bool, calls))
+
+    def classes(links):
+        parent = {r[1]: r[1] if r[4] else -1 - r[0] for r in rows}
+
+        def find(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        for x, y in links:
+            parent[find(x)] = find(y)
+        groups = defaultdict(set)
+        for r in rows:
+            groups[find(r[1])].add(r[1])
+        return set(map(frozenset, groups.values()))
+
+    want = set()
+    for i, (k, x, _, _, _, a) in enumerate(rows):
+        for k2, y, _, _, _, b in rows[i + 1 :]:
+            if k2 == k:
+                middle = int((b[:n] > 0).sum())
+                if any(p <= int((a[:n] > 0).sum()) < p + m for _, _, p, m in passages.aligned(a[a > 0], b[b > 0], [middle])):
+                    want.add((x, y))
+    assert got and classes(got) == classes(want)
+    assert linked == len(got) and met < 1.5 * len(got) + 20
+
+
+def test_span_search_of_a_pair_skips_marks_that_cannot_hold_a_passage(monkeypatch):
+    """Text whose tokens all stand elsewhere in the other, never together."""
+    rng = np.random.default_rng(12)
+    a = rng.permutation(np.arange(1, 6001)).astype(np.uint64)
+    b = np.concatenate([np.concatenate([part[:16], rng.permutation(a)[:30]]) for part in np.split(a[:4600], 100)])
+    searched, longest = [], passages.longest
+    monkeypatch.setattr(passages, "longest", lambda *x: searched.append(1) or longest(*x))
+    assert not passages.aligned(a, b, list(range(3, 4600, 46)))
+    assert len(searched) == 0
